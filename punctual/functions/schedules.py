@@ -98,18 +98,43 @@ def ordered_deadlines(window: ScheduleWindow) -> Column:
     return F.array_sort(F.transform(dates, with_instant))
 
 
-def neighbours(deadlines: Column) -> Column:
-    """Array of periods: each deadline with the one before and the one after it."""
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` mentions it.
 
-    def period(deadline: Column, position: Column) -> Column:
+    A plain column would be copied into every mention when the optimiser merges projections.
+    """
+
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def period_array(window: ScheduleWindow) -> Column:
+    """Array of periods in time order: each deadline with the one before and the one after it."""
+
+    def with_neighbours(deadlines: Column) -> Column:
+        def period(deadline: Column, position: Column) -> Column:
+            return F.struct(
+                deadline["deadline_date"].alias("deadline_date"),
+                F.get(deadlines, position - 1)["deadline_utc"].alias("previous_deadline_utc"),
+                deadline["deadline_utc"].alias("deadline_utc"),
+                F.get(deadlines, position + 1)["deadline_utc"].alias("next_deadline_utc"),
+            )
+
+        return F.transform(deadlines, period)
+
+    return let(ordered_deadlines(window), with_neighbours)
+
+
+def last_and_next_period(window: ScheduleWindow, as_of: Column) -> Column:
+    """Struct of the latest due and the next eligible period, null where there is none."""
+
+    def choose(periods: Column) -> Column:
+        due = F.filter(periods, lambda period: period["deadline_utc"] <= as_of)
+        upcoming = F.filter(periods, lambda period: period["deadline_utc"] > as_of)
         return F.struct(
-            deadline["deadline_date"].alias("deadline_date"),
-            F.get(deadlines, position - 1)["deadline_utc"].alias("previous_deadline_utc"),
-            deadline["deadline_utc"].alias("deadline_utc"),
-            F.get(deadlines, position + 1)["deadline_utc"].alias("next_deadline_utc"),
+            F.try_element_at(due, F.lit(-1)).alias("last"), F.get(upcoming, F.lit(0)).alias("next")
         )
 
-    return F.transform(deadlines, period)
+    return let(F.filter(period_array(window), is_eligible), choose)
 
 
 def is_eligible(period: Column | None = None) -> Column:

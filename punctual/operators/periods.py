@@ -12,8 +12,8 @@ from punctual.functions.schedules import (
     ScheduleWindow,
     deadline_dates,
     is_eligible,
-    neighbours,
-    ordered_deadlines,
+    last_and_next_period,
+    period_array,
 )
 from punctual.operators.joins import BROADCAST, JoinPlan
 
@@ -31,16 +31,14 @@ def expand_deadlines(workflows: DataFrame, window: ScheduleWindow) -> DataFrame:
     return dated.filter(F.col("deadline_date").isNotNull())
 
 
-def _with_period_array(workflows: DataFrame, window: ScheduleWindow) -> DataFrame:
-    ordered = with_local_today(workflows).withColumn("_deadlines", ordered_deadlines(window))
-    return ordered.withColumn("_periods", neighbours(F.col("_deadlines"))).drop("_deadlines")
-
-
 def deadline_periods(workflows: DataFrame, window: ScheduleWindow) -> DataFrame:
-    """One row per generated deadline with its neighbours, including rows that only bound a period."""
+    """One row per generated deadline with its neighbours, including rows that only bound a period.
+
+    The neighbours come from the workflow's own array, so no shuffle and no sort is needed.
+    """
 
     kept = workflows.columns
-    expanded = _with_period_array(workflows, window).select(*kept, F.inline("_periods"))
+    expanded = with_local_today(workflows).select(*kept, F.inline(period_array(window)))
     return expanded.select(*kept, *PERIOD_FIELDS)
 
 
@@ -51,23 +49,15 @@ def eligible(periods: DataFrame) -> DataFrame:
 def due_periods(workflows: DataFrame, window: ScheduleWindow) -> DataFrame:
     """One row per workflow with its latest due and its next period, null where there is none."""
 
-    periods = F.filter("_periods", is_eligible)
-    due = F.filter(periods, lambda period: period["deadline_utc"] <= F.col("as_of"))
-    upcoming = F.filter(periods, lambda period: period["deadline_utc"] > F.col("as_of"))
-    return (
-        _with_period_array(workflows, window)
-        .select(
-            *workflows.columns,
-            F.try_element_at(due, F.lit(-1)).alias("_last"),
-            F.get(upcoming, F.lit(0)).alias("_next"),
-        )
-        .select(
-            *workflows.columns,
-            F.col("_last.previous_deadline_utc").alias("last_opens_utc"),
-            F.col("_last.deadline_utc").alias("last_deadline_utc"),
-            F.col("_next.previous_deadline_utc").alias("next_opens_utc"),
-            F.col("_next.deadline_utc").alias("next_deadline_utc"),
-        )
+    chosen = with_local_today(workflows).withColumn(
+        "_chosen", last_and_next_period(window, F.col("as_of"))
+    )
+    return chosen.select(
+        *workflows.columns,
+        F.col("_chosen.last.previous_deadline_utc").alias("last_opens_utc"),
+        F.col("_chosen.last.deadline_utc").alias("last_deadline_utc"),
+        F.col("_chosen.next.previous_deadline_utc").alias("next_opens_utc"),
+        F.col("_chosen.next.deadline_utc").alias("next_deadline_utc"),
     )
 
 
