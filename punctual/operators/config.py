@@ -9,7 +9,6 @@ entry_index is null for the header.
 from __future__ import annotations
 
 import zoneinfo
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,101 +52,106 @@ SCHEDULE_MESSAGES = {
     "monthly_extra": "monthly SLA does not accept day_of_week or first_deadline_date",
 }
 
-JSON_TYPE_NAMES = {"integer": "BIGINT", "string": "STRING", "object": "OBJECT", "array": "ARRAY"}
+# The first letters of the type a parsed JSON value reports.
+JSON_TYPES = {"integer": "BIGINT", "string": "STRING", "object": "OBJECT", "array": "ARRAY"}
 
 
 class _Node:
-    """One place in a JSON text, addressed by its path, with the checks a schema can ask of it."""
-
-    def __init__(self, document: Column, json_path: str, label: Column, prefix: Column):
-        self.document = document
-        self.json_path = json_path
-        self.label = label
-        self.prefix = prefix
-        self.value = F.try_variant_get(document, json_path, "variant")
-        self.kind = F.schema_of_variant(self.value)
-        self.text = F.try_variant_get(document, json_path, "string")
-        self.number = F.try_variant_get(document, json_path, "double")
-
-    def child(self, name: str) -> _Node:
-        label = F.concat(self.prefix, F.lit(name))
-        return _Node(self.document, f"{self.json_path}.{name}", label, F.concat(label, F.lit(".")))
+    """SQL checks on one place of a parsed text.
+
+    The surrounding lambda binds ``f``, a struct with the kind ('' when absent), text and number of
+    every place, so each is extracted once and the checks stay small.
+    """
+
+    def __init__(self, name: str, json_path: str, label: str):
+        self.name, self.json_path, self.label = name, json_path, label
+        self.kind, self.text, self.number = (f"f.{name}.{part}" for part in ("kind", "text", "number"))
+        self.present = f"{self.kind} <> ''"
 
     @property
-    def present(self) -> Column:
-        return self.kind.isNotNull()
+    def extraction(self) -> str:
+        return (
+            f"'{self.name}', named_struct("
+            f"'kind', coalesce(schema_of_variant(try_variant_get(v, '{self.json_path}', 'variant')), ''), "
+            f"'text', try_variant_get(v, '{self.json_path}', 'string'), "
+            f"'number', try_variant_get(v, '{self.json_path}', 'double'))"
+        )
 
-    def is_a(self, type_name: str) -> Column:
-        found = F.coalesce(self.kind, F.lit("")).startswith(JSON_TYPE_NAMES[type_name])
+    def child(self, name: str, label: str) -> _Node:
+        return _Node(name, f"{self.json_path}.{name}", label)
+
+    def is_a(self, type_name: str) -> str:
+        found = f"startswith({self.kind}, '{JSON_TYPES[type_name]}')"
         if type_name == "integer":
             # A number without a fraction is an integer however it was written.
-            written = F.coalesce(self.kind, F.lit("")).rlike("^(DECIMAL|DOUBLE)")
-            return found | (written & (self.number == F.floor(self.number)))
+            return f"({found} OR ({self.is_number} AND {self.number} = floor({self.number})))"
         return found
 
     @property
-    def shown(self) -> Column:
+    def is_number(self) -> str:
+        return f"{self.kind} RLIKE '^(BIGINT|DECIMAL|DOUBLE)'"
+
+    @property
+    def shown(self) -> str:
         """The value as error texts show it."""
 
         return (
-            F.when(self.kind == "STRING", F.concat(F.lit("'"), self.text, F.lit("'")))
-            .when(self.kind == "BOOLEAN", F.initcap(self.text))
-            .when(self.kind == "VOID", "None")
-            .otherwise(self.text)
+            f"CASE {self.kind} WHEN 'STRING' THEN concat(\"'\", {self.text}, \"'\") "
+            f"WHEN 'BOOLEAN' THEN initcap({self.text}) WHEN 'VOID' THEN 'None' ELSE {self.text} END"
         )
 
-    def error(self, condition: Column, message: Column) -> Column:
-        """A (path, message) struct, null when the condition does not hold."""
-
-        return F.when(condition, F.struct(self.label.alias("path"), message.alias("message")))
-
-    def type_error(self, type_name: str) -> Column:
-        message = F.concat(self.shown, F.lit(f" is not of type '{type_name}'"))
-        return self.error(self.present & ~self.is_a(type_name), message)
+    def error(self, condition: str, message: str) -> str:
+        found = f"named_struct('path', {self.label}, 'message', {message})"
+        return f"CASE WHEN {condition} THEN {found} END"
 
-    def required(self, name: str) -> Column:
-        missing = self.is_a("object") & ~self.child(name).present
-        return self.error(missing, F.lit(f"'{name}' is a required property"))
+    def value_error(self, condition: str, text: str) -> str:
+        return self.error(condition, f'concat({self.shown}, " {text}")')
 
-    def unknown_keys(self, known: tuple[str, ...]) -> Column:
-        keys = F.json_object_keys(F.to_json(self.value))
-        extra = F.array_sort(F.array_except(keys, F.array(*map(F.lit, known))))
-        listed = F.concat(F.lit("'"), F.array_join(extra, "', '"), F.lit("'"))
-        verb = F.when(F.size(extra) == 1, " was").otherwise(" were")
-        message = F.concat(
-            F.lit("Additional properties are not allowed ("), listed, verb, F.lit(" unexpected)")
+    def type_error(self, type_name: str) -> str:
+        return self.value_error(
+            f"{self.present} AND NOT {self.is_a(type_name)}", f"is not of type '{type_name}'"
         )
-        return self.error(self.is_a("object") & (F.size(extra) > 0), message)
 
-    def one_of(self, values: tuple[str, ...]) -> Column:
-        listed = "[" + ", ".join(f"'{value}'" for value in values) + "]"
-        allowed = (self.kind == "STRING") & self.text.isin(*values)
-        message = F.concat(self.shown, F.lit(f" is not one of {listed}"))
-        return self.error(self.present & ~allowed, message)
+    def required(self, child: _Node) -> str:
+        missing = f"{self.is_a('object')} AND {child.kind} = ''"
+        return self.error(missing, f"\"'{child.name}' is a required property\"")
+
+    def unknown_keys(self, known: tuple[str, ...]) -> str:
+        listed = ", ".join(f"'{key}'" for key in known)
+        extra = f"array_sort(array_except(json_object_keys({self.text}), array({listed})))"
+        verb = f"if(size({extra}) = 1, ' was', ' were')"
+        message = (
+            f"concat(\"Additional properties are not allowed ('\", array_join({extra}, \"', '\"), "
+            f"\"'\", {verb}, ' unexpected)')"
+        )
+        return self.error(f"{self.is_a('object')} AND size({extra}) > 0", message)
 
-    def matches(self, pattern: str) -> Column:
-        message = F.concat(self.shown, F.lit(f" does not match '{pattern}'"))
-        return self.error(self.is_a("string") & ~self.text.rlike(pattern), message)
+    def one_of(self, values: tuple[str, ...]) -> str:
+        listed = ", ".join(f"'{value}'" for value in values)
+        allowed = f"{self.kind} = 'STRING' AND {self.text} IN ({listed})"
+        return self.value_error(f"{self.present} AND NOT ({allowed})", f"is not one of [{listed}]")
 
-    def not_empty(self) -> Column:
-        return self.error(self.is_a("string") & (self.text == ""), F.lit("'' should be non-empty"))
+    def matches(self, pattern: str) -> str:
+        return self.value_error(
+            f"{self.is_a('string')} AND NOT {self.text} RLIKE '{pattern}'", f"does not match '{pattern}'"
+        )
 
-    def at_least(self, limit: int) -> Column:
-        message = F.concat(self.shown, F.lit(f" is less than the minimum of {limit}"))
-        return self.error(self.number_kind & (self.number < limit), message)
+    def not_empty(self) -> str:
+        return self.error(f"{self.is_a('string')} AND {self.text} = ''", "\"'' should be non-empty\"")
 
-    def at_most(self, limit: int) -> Column:
-        message = F.concat(self.shown, F.lit(f" is greater than the maximum of {limit}"))
-        return self.error(self.number_kind & (self.number > limit), message)
+    def at_least(self, limit: int) -> str:
+        return self.value_error(
+            f"{self.is_number} AND {self.number} < {limit}", f"is less than the minimum of {limit}"
+        )
 
-    @property
-    def number_kind(self) -> Column:
-        return F.coalesce(self.kind, F.lit("")).rlike("^(BIGINT|DECIMAL|DOUBLE)")
+    def at_most(self, limit: int) -> str:
+        return self.value_error(
+            f"{self.is_number} AND {self.number} > {limit}", f"is greater than the maximum of {limit}"
+        )
 
-    def is_date(self) -> Column:
-        valid = self.text.rlike(r"^\d{4}-\d{2}-\d{2}$") & F.try_to_date(self.text).isNotNull()
-        message = F.concat(self.shown, F.lit(" is not a 'date'"))
-        return self.error(self.is_a("string") & ~valid, message)
+    def is_date(self) -> str:
+        valid = f"{self.text} RLIKE '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$' AND try_to_date({self.text}) IS NOT NULL"
+        return self.value_error(f"{self.is_a('string')} AND NOT ({valid})", "is not a 'date'")
 
 
 def split_documents(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -161,63 +165,63 @@ def split_documents(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     return headers, entries
 
 
-def _rows(
-    df: DataFrame, text: str, index: Column, checks: Callable[[Column], list[Column]]
-) -> DataFrame:
-    """One row per failed check of a JSON text column.
+def _problems(text: str, nodes: list[_Node], checks: list[str]) -> Column:
+    """Array of the (path, message) structs of the failed checks of a JSON text, parsed once."""
 
-    The parsed text is bound to a lambda variable, so it is parsed once however many checks read it.
-    """
+    places = ", ".join(node.extraction for node in nodes)
+    return F.expr(
+        f"flatten(transform(array(try_parse_json({text})), v -> flatten(transform(array(named_struct({places})), "
+        f"f -> array_compact(array({', '.join(checks)}))))))"
+    )
 
-    parsed = F.array(F.try_parse_json(text))
-    failed = F.transform(parsed, lambda document: F.array_compact(F.array(*checks(document))))
-    indexed = df.withColumn("entry_index", index)
-    rows = indexed.select("workspace_id", "entry_index", F.explode(F.flatten(failed)).alias("_error"))
-    return rows.select("workspace_id", "entry_index", "_error.path", "_error.message")
 
+def header_problems() -> Column:
+    """Problems of the document level; version 2 reports only how to migrate."""
 
-def _header_checks(document: Column) -> list[Column]:
-    root = _Node(document, "$", F.lit("root"), F.lit(""))
-    version, zone, workflows = (root.child(name) for name in HEADER_KEYS)
-    old = F.coalesce(version.is_a("integer") & (version.number == 2), F.lit(False))
-    wanted = version.is_a("integer") & (version.number == S.CONFIG_VERSION)
+    root = _Node("root", "$", "'root'")
+    children = [root.child(name, f"'{name}'") for name in HEADER_KEYS]
+    version, zone, workflows = children
+    old = f"({version.is_a('integer')} AND {version.number} = 2)"
+    wanted = f"({version.is_a('integer')} AND {version.number} = {S.CONFIG_VERSION})"
     checks = [
         root.type_error("object"),
         root.unknown_keys(HEADER_KEYS),
-        *[root.required(name) for name in HEADER_KEYS],
-        version.error(version.present & ~wanted, F.lit(f"{S.CONFIG_VERSION} was expected")),
+        *[root.required(child) for child in children],
+        version.error(f"{version.present} AND NOT {wanted}", f"'{S.CONFIG_VERSION} was expected'"),
         zone.type_error("string"),
         zone.not_empty(),
         workflows.type_error("array"),
     ]
-    return [
-        root.error(document.isNull(), F.lit("the document is not valid JSON")),
-        root.error(old, F.lit(VERSION_2_MESSAGE)),
-        *[F.when(~old, check) for check in checks],
-    ]
-
-
-def header_errors(headers: DataFrame) -> DataFrame:
-    """Problems of the document level; version 2 reports only how to migrate."""
+    return _problems(
+        "header",
+        [root, *children],
+        [
+            root.error("v IS NULL", "'the document is not valid JSON'"),
+            root.error(f"coalesce({old}, false)", f"'{VERSION_2_MESSAGE}'"),
+            *[f"CASE WHEN NOT coalesce({old}, false) THEN {check} END" for check in checks],
+        ],
+    )
 
-    return _rows(headers, "header", F.lit(None).cast("bigint"), _header_checks)
 
+def entry_problems() -> Column:
+    """Problems of single entries that need no other entry."""
 
-def _entry_checks(document: Column) -> list[Column]:
-    label = F.concat(F.lit("workflows["), F.col("entry_index").cast("string"), F.lit("]"))
-    root = _Node(document, "$", label, F.concat(label, F.lit(".")))
-    job_id, status, sla = (root.child(name) for name in ENTRY_KEYS)
-    frequency, time, zone, weekday, first, day = (sla.child(name) for name in SLA_KEYS)
+    root = _Node("root", "$", "concat('workflows[', entry_index, ']')")
+    children = [root.child(name, f"concat('workflows[', entry_index, '].{name}')") for name in ENTRY_KEYS]
+    job_id, status, sla = children
+    fields = [sla.child(name, f"concat('workflows[', entry_index, '].sla.{name}')") for name in SLA_KEYS]
+    frequency, time, zone, weekday, first, day = fields
     checks = [
         root.type_error("object"),
         root.unknown_keys(ENTRY_KEYS),
-        *[root.required(name) for name in ENTRY_KEYS],
+        *[root.required(child) for child in children],
         job_id.type_error("integer"),
         job_id.at_least(1),
         status.one_of(S.MONITORING_STATUSES),
         sla.type_error("object"),
         sla.unknown_keys(SLA_KEYS),
-        *[sla.required(name) for name in SLA_REQUIRED],
+        sla.required(frequency),
+        sla.required(time),
         frequency.one_of(S.FREQUENCIES),
         time.type_error("string"),
         time.matches(COMPLETION_TIME),
@@ -231,60 +235,48 @@ def _entry_checks(document: Column) -> list[Column]:
         day.at_most(31),
     ]
     # Every frequency requires its own field and refuses the fields of the others.
-    known = sla.is_a("object") & frequency.is_a("string") & frequency.text.isin(*S.FREQUENCIES)
-    refused = F.concat(F.lit("not allowed when frequency is "), frequency.text)
-    fields = {"day_of_week": weekday, "first_deadline_date": first, "day_of_month": day}
-    for field, node in fields.items():
-        owner = next(name for name, own in OWN_FIELD.items() if own == field)
-        own = frequency.text == owner
-        checks.append(sla.error(known & own & ~node.present, F.lit(f"'{field}' is a required property")))
-        checks.append(node.error(known & ~own & node.present, refused))
-    return checks
-
-
-def entry_errors(entries: DataFrame) -> DataFrame:
-    """Problems of single entries that need no other entry."""
+    known = ", ".join(f"'{name}'" for name in S.FREQUENCIES)
+    applies = f"{sla.is_a('object')} AND {frequency.kind} = 'STRING' AND {frequency.text} IN ({known})"
+    refused = f"concat('not allowed when frequency is ', {frequency.text})"
+    for node in (weekday, first, day):
+        owner = next(name for name, own in OWN_FIELD.items() if own == node.name)
+        missing = f"{applies} AND {frequency.text} = '{owner}' AND {node.kind} = ''"
+        checks.append(sla.error(missing, f"\"'{node.name}' is a required property\""))
+        checks.append(node.error(f"{applies} AND {frequency.text} <> '{owner}' AND {node.present}", refused))
+    return _problems("entry", [root, *children, *fields], checks)
 
-    return _rows(entries, "entry", F.col("entry_index").cast("bigint"), _entry_checks)
 
+def _problem(condition: Column, path: Column, message: Column) -> Column:
+    return F.when(condition, F.struct(path.alias("path"), message.alias("message")))
 
-def typed_entries(headers: DataFrame, entries: DataFrame) -> DataFrame:
-    """Entry fields as columns with the default zone filled in; an empty zone counts as missing."""
 
-    parsed = entries.withColumn("_entry", F.try_parse_json("entry"))
-
-    def field(path: str, kind: str) -> Column:
-        return F.try_variant_get("_entry", f"$.{path}", kind)
-
-    defaults = headers.select(
-        "workspace_id", F.get_json_object("header", "$.default_timezone").alias("default_timezone")
-    )
-    typed = parsed.select(
-        "workspace_id",
-        F.col("entry_index").cast("bigint").alias("entry_index"),
-        field("job_id", "bigint").alias("job_id"),
-        field("monitoring_status", "string").alias("monitoring_status"),
-        field("sla.frequency", "string").alias("frequency"),
-        field("sla.completion_time", "string").alias("completion_time"),
-        F.nullif(field("sla.timezone", "string"), F.lit("")).alias("own_timezone"),
-        field("sla.day_of_week", "string").alias("day_of_week"),
-        field("sla.first_deadline_date", "string").alias("first_deadline_text"),
-        field("sla.day_of_month", "int").alias("day_of_month"),
-    )
-    # One header per workspace against all its entries: salted, as one workspace may own most of them.
-    joined = salted_join(typed, defaults, ["workspace_id"], F.col("entry_index"), "left")
-    return joined.withColumn("timezone", F.coalesce("own_timezone", "default_timezone"))
+def _entry_path(suffix: str) -> Column:
+    return F.concat(F.lit("workflows["), F.col("entry_index"), F.lit(f"]{suffix}"))
 
 
 def known_zones(df: DataFrame) -> DataFrame:
     """The IANA zone names of the platform's zone database, about 600 short rows."""
 
     names = [(name,) for name in sorted(zoneinfo.available_timezones())]
-    return df.sparkSession.createDataFrame(names, "timezone string")
+    return df.sparkSession.createDataFrame(names, "timezone string").withColumn("_known", F.lit(True))
+
+
+def _unknown_zone(path: Column) -> Column:
+    message = F.concat(F.lit('"'), F.col("timezone"), F.lit('" is not an IANA timezone'))
+    return _problem(F.col("_known").isNull(), path, message)
 
 
-def _zone_error() -> Column:
-    return F.concat(F.lit('"'), F.col("timezone"), F.lit('" is not an IANA timezone'))
+def judged_headers(headers: DataFrame, zones: DataFrame) -> DataFrame:
+    """Default zone of every document with its own problems and those that need other fields valid."""
+
+    zone = F.get_json_object("header", "$.default_timezone").alias("timezone")
+    read = headers.select("workspace_id", zone, header_problems().alias("field_problems"))
+    return read.join(F.broadcast(zones), "timezone", "left").select(
+        "workspace_id",
+        F.col("timezone").alias("default_timezone"),
+        "field_problems",
+        F.array_compact(F.array(_unknown_zone(F.lit("default_timezone")))).alias("cross_problems"),
+    )
 
 
 def schedule_field_problem() -> Column:
@@ -309,84 +301,90 @@ def schedule_field_problem() -> Column:
     return problem
 
 
-def duplicate_jobs(typed: DataFrame) -> DataFrame:
-    """Entries that repeat an earlier entry's job, active or not.
+def _typed(entries: DataFrame) -> DataFrame:
+    def field(path: str, kind: str) -> Column:
+        return F.try_variant_get("_entry", f"$.{path}", kind)
+
+    parsed = entries.withColumn("_entry", F.try_parse_json("entry"))
+    return parsed.select(
+        "workspace_id",
+        F.col("entry_index").cast("bigint").alias("entry_index"),
+        field("job_id", "bigint").alias("job_id"),
+        field("monitoring_status", "string").alias("monitoring_status"),
+        field("sla.frequency", "string").alias("frequency"),
+        field("sla.completion_time", "string").alias("completion_time"),
+        F.nullif(field("sla.timezone", "string"), F.lit("")).alias("own_timezone"),
+        field("sla.day_of_week", "string").alias("day_of_week"),
+        field("sla.first_deadline_date", "string").alias("first_deadline_text"),
+        field("sla.day_of_month", "int").alias("day_of_month"),
+        entry_problems().alias("field_problems"),
+    )
 
-    First positions come from a map-side aggregate, only repeated jobs are joined back, and that
-    join is salted because one job may own a third of the entries.
-    """
 
-    repeated = (
-        typed.groupBy("workspace_id", "job_id")
+def repeated_jobs(entries: DataFrame) -> DataFrame:
+    """First position of every job listed more than once, by a map-side aggregate."""
+
+    listed = F.get_json_object("entry", "$.job_id").try_cast("bigint").alias("job_id")
+    return (
+        entries.select("workspace_id", "entry_index", listed)
+        .groupBy("workspace_id", "job_id")
         .agg(F.min("entry_index").alias("_first"), F.count("*").alias("_entries"))
         .filter("_entries > 1")
         .drop("_entries")
     )
-    message = F.concat(F.lit("duplicates workflows["), F.col("_first"), F.lit("]"))
-    return (
-        salted_join(typed, repeated, ["workspace_id", "job_id"], F.col("entry_index"))
-        .filter(F.col("entry_index") > F.col("_first"))
-        .select("workspace_id", "entry_index", _path(".job_id"), message.alias("message"))
-    )
-
 
-def _path(suffix: str) -> Column:
-    return F.concat(F.lit("workflows["), F.col("entry_index"), F.lit(f"]{suffix}")).alias("path")
 
+def judged_entries(headers: DataFrame, entries: DataFrame, zones: DataFrame) -> DataFrame:
+    """Typed entries with the default zone filled in (an empty zone counts as missing) and problems.
 
-def cross_entry_errors(headers: DataFrame, typed: DataFrame) -> DataFrame:
-    """Zones, schedule fields and duplicates of documents whose single fields are all valid."""
+    One workspace may own most entries and one job may be listed most often, so both lookups are
+    salted joins against one row per workspace or repeated job.
+    """
 
-    zones = F.broadcast(known_zones(headers))
-    unknown_defaults = (
-        headers.select(
-            "workspace_id", F.get_json_object("header", "$.default_timezone").alias("timezone")
-        )
-        .join(zones, "timezone", "left_anti")
-        .select(
-            "workspace_id",
-            F.lit(None).cast("bigint").alias("entry_index"),
-            F.lit("default_timezone").alias("path"),
-            _zone_error().alias("message"),
-        )
+    defaults = headers.select("workspace_id", "default_timezone")
+    zoned = salted_join(_typed(entries), defaults, ["workspace_id"], F.col("entry_index"), "left")
+    zoned = zoned.withColumn("timezone", F.coalesce("own_timezone", "default_timezone"))
+    found = salted_join(
+        zoned, repeated_jobs(entries), ["workspace_id", "job_id"], F.col("entry_index"), "left"
+    ).join(F.broadcast(zones), "timezone", "left")
+    misplaced = schedule_field_problem()
+    duplicate = F.concat(F.lit("duplicates workflows["), F.col("_first"), F.lit("]"))
+    cross = F.array(
+        _unknown_zone(_entry_path(".sla.timezone")),
+        _problem(misplaced.isNotNull(), _entry_path(".sla"), misplaced),
+        _problem(F.col("entry_index") > F.col("_first"), _entry_path(".job_id"), duplicate),
     )
-    unknown_zones = typed.join(zones, "timezone", "left_anti").select(
-        "workspace_id", "entry_index", _path(".sla.timezone"), _zone_error().alias("message")
+    return found.withColumn("cross_problems", F.array_compact(cross)).drop(
+        "own_timezone", "default_timezone", "_first", "_known"
     )
-    # Exploding instead of filtering keeps the many field references above the join that parsed them.
-    problems = F.explode(F.array_compact(F.array(schedule_field_problem())))
-    schedule = typed.select("workspace_id", "entry_index", _path(".sla"), problems.alias("message"))
-    return unknown_defaults.unionByName(unknown_zones).unionByName(schedule).unionByName(
-        duplicate_jobs(typed)
-    )
-
 
-def _without(df: DataFrame, errors: DataFrame, spread: Column | None = None) -> DataFrame:
-    """Rows of the workspaces without any error."""
 
-    refused = errors.select("workspace_id").distinct()
-    if spread is None:
-        return df.join(refused, "workspace_id", "left_anti")
-    return salted_join(df, refused, ["workspace_id"], spread, "left_anti").select(*df.columns)
-
-
-def validate_config(headers: DataFrame, entries: DataFrame, ordered: bool = False) -> tuple[DataFrame, DataFrame]:
+def validate_config(
+    headers: DataFrame, entries: DataFrame, ordered: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Typed entries of the valid documents, and every error of the others.
 
     Rules that compare fields across a document apply only where its single fields are all valid.
     Any error refuses the whole document, so the stored rows of that workspace stay.
     """
 
-    field_errors = header_errors(headers).unionByName(entry_errors(entries))
-    clean_headers = _without(headers, field_errors)
-    clean_entries = _without(entries, field_errors, F.col("entry_index"))
-    typed = typed_entries(clean_headers, clean_entries)
-    document_errors = cross_entry_errors(clean_headers, typed)
-    valid = _without(typed, document_errors, F.col("entry_index"))
-    errors = field_errors.unionByName(document_errors)
+    zones = known_zones(headers)
+    own = judged_headers(headers, zones)
+    listed = judged_entries(own, entries, zones)
+    has_field, has_cross = F.size("field_problems") > 0, F.size("cross_problems") > 0
+    judged = own.withColumn("entry_index", F.lit(None).cast("bigint")).unionByName(
+        listed, allowMissingColumns=True
+    )
+    verdicts = judged.groupBy("workspace_id").agg(
+        F.bool_or(has_field).alias("_field"), F.bool_or(has_field | has_cross).alias("_refused")
+    )
+    decided = salted_join(judged, verdicts, ["workspace_id"], F.coalesce("entry_index", F.lit(0)))
+    reported = F.when(F.col("_field"), F.col("field_problems")).otherwise(F.col("cross_problems"))
+    errors = decided.select("workspace_id", "entry_index", F.inline(reported))
     if ordered:
         errors = errors.orderBy("workspace_id", F.asc_nulls_first("entry_index"), "path")
-    return valid, errors
+    valid = salted_join(listed, verdicts, ["workspace_id"], F.col("entry_index")).filter(~F.col("_refused"))
+    return valid.drop("field_problems", "cross_problems", "_field", "_refused"), errors
 
 
 def config_rows(valid: DataFrame, changed_at: AsOf) -> DataFrame:
