@@ -211,7 +211,10 @@ def entry_problems() -> Column:
     job_id, status, sla = children
     fields = [sla.child(name, f"concat('workflows[', entry_index, '].sla.{name}')") for name in SLA_KEYS]
     frequency, time, zone, weekday, first, day = fields
+    # A listed bare word arrives without its quotes, so it does not parse as JSON.
+    bare = "if(entry IS NULL, 'None', concat(\"'\", entry, \"'\"))"
     checks = [
+        root.error("v IS NULL", f"concat({bare}, \" is not of type 'object'\")"),
         root.type_error("object"),
         root.unknown_keys(ENTRY_KEYS),
         *[root.required(child) for child in children],
