@@ -18,7 +18,7 @@ from punctual import schemas as S
 from punctual.functions import run_states
 from punctual.functions.schedules import CURRENT, HISTORY
 from punctual.operators import catalogue, config, periods, runs, state, workflows
-from punctual.operators.joins import SHUFFLE, JoinPlan
+from punctual.operators.joins import SHUFFLE, JoinPlan, attach
 from punctual.plans import charts, checks, collection, history, status
 from punctual.session import ensure_checkpoints, use_utc
 from punctual.sources import driver_tables as data
@@ -300,7 +300,11 @@ def on_time_and_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runs.latest_runs(_status_runs(spark, sf_dir))
+    settings, _, stored = _inputs(spark, sf_dir)
+    plan = JoinPlan.measure(settings)
+    recent = runs.recent_runs(stored, AS_OF, S.RUN_WINDOW_DAYS, terminal_only=False)
+    known = workflows.configured_workflows(settings, AS_OF).select(*S.WORKFLOW_KEY, "job_id")
+    return runs.latest_runs(attach(recent, known, plan), recent, plan)
 
 
 def today_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

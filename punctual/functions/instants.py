@@ -51,9 +51,14 @@ def local_date(ts: Column, zone: Column) -> Column:
 
 
 def deadline_instant(date: Column, time: Column, zone: Column) -> Column:
-    """UTC instant of a local date and HH:MM time."""
+    """UTC instant of a local date and HH:MM time.
 
-    local = F.to_timestamp(F.concat(date.cast("string"), F.lit(" "), time), "yyyy-MM-dd HH:mm")
+    The local reading is built by arithmetic, which is exact in a UTC session and needs no parsing
+    per deadline; only the conversion from the zone looks at daylight saving.
+    """
+
+    minutes = F.substring(time, 1, 2).cast("int") * 60 + F.substring(time, 4, 2).cast("int")
+    local = F.timestamp_seconds(F.unix_date(date).cast("bigint") * 86_400 + minutes * 60)
     return F.to_utc_timestamp(local, zone)
 
 

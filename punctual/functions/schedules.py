@@ -95,7 +95,7 @@ def ordered_deadlines(window: ScheduleWindow) -> Column:
         return F.struct(at.alias("deadline_utc"), date.alias("deadline_date"))
 
     dates = F.filter(deadline_dates(window), lambda date: date.isNotNull())
-    return F.array_sort(F.transform(dates, with_instant))
+    return F.sort_array(F.transform(dates, with_instant))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

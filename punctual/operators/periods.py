@@ -54,6 +54,7 @@ def due_periods(workflows: DataFrame, window: ScheduleWindow) -> DataFrame:
     )
     return chosen.select(
         *workflows.columns,
+        "local_today",
         F.col("_chosen.last.previous_deadline_utc").alias("last_opens_utc"),
         F.col("_chosen.last.deadline_utc").alias("last_deadline_utc"),
         F.col("_chosen.next.previous_deadline_utc").alias("next_opens_utc"),
@@ -131,19 +132,18 @@ def with_recovery(matched: DataFrame) -> DataFrame:
     """
 
     following = Window.partitionBy(*S.WORKFLOW_KEY).orderBy("deadline_utc")
-    margin = sla.completion_margin(F.col("deadline_utc"), F.col("observed_completion_utc"))
-    return (
-        matched.withColumn("late_recovery_utc", F.lead("on_time_completion_utc").over(following))
-        .withColumn(
-            "observed_completion_utc", F.coalesce("on_time_completion_utc", "late_recovery_utc")
-        )
-        .withColumn(
-            "delivery_state", sla.delivery_state(F.col("sla_status"), F.col("late_recovery_utc"))
-        )
-        .withColumn("completion_margin_minutes", margin)
-        .withColumn(
-            "display_margin_minutes", sla.display_margin(F.col("completion_margin_minutes"))
-        )
+    recovered = matched.withColumn(
+        "late_recovery_utc", F.lead("on_time_completion_utc").over(following)
+    )
+    observed = F.coalesce("on_time_completion_utc", "late_recovery_utc")
+    state = sla.delivery_state(F.col("sla_status"), F.col("late_recovery_utc"))
+    margin = sla.completion_margin(F.col("deadline_utc"), observed)
+    return recovered.select(
+        "*",
+        observed.alias("observed_completion_utc"),
+        state.alias("delivery_state"),
+        margin.alias("completion_margin_minutes"),
+        sla.display_margin(margin).alias("display_margin_minutes"),
     )
 
 

@@ -11,6 +11,7 @@ from punctual.functions.instants import AsOf, epoch_ms_to_ts, instant, local_dat
 from punctual.functions.instants import whole_seconds_between
 from punctual.functions.sla import is_unsuccessful
 from punctual.operators.joins import BROADCAST, JoinPlan, attach
+from punctual.operators.periods import with_local_today
 
 
 def to_run_state(raw: DataFrame, collected_at: AsOf) -> DataFrame:
@@ -48,6 +49,19 @@ def terminal(runs: DataFrame) -> DataFrame:
     return runs.filter(F.col("result_state").isin(*S.TERMINAL_STATES))
 
 
+def recent_runs(runs: DataFrame, as_of: AsOf, window_days: int, terminal_only: bool) -> DataFrame:
+    """Runs in the window; the state table holds one row per run already."""
+
+    recent = in_window(runs, as_of, window_days)
+    recent = terminal(recent) if terminal_only else recent.filter(F.col("result_state").isNotNull())
+    return recent.select(
+        *S.RUN_KEY,
+        F.col("period_start_time").alias("run_start_time"),
+        F.col("period_end_time").alias("run_end_time"),
+        "result_state",
+    )
+
+
 def monitored_runs(
     workflows: DataFrame,
     runs: DataFrame,
@@ -56,42 +70,54 @@ def monitored_runs(
     terminal_only: bool,
     plan: JoinPlan = BROADCAST,
 ) -> DataFrame:
-    """Runs in the window with their workflow; the state table holds one row per run already."""
+    """Runs in the window with the columns of their workflow."""
 
-    recent = in_window(runs, as_of, window_days)
-    recent = terminal(recent) if terminal_only else recent.filter(F.col("result_state").isNotNull())
-    named = recent.select(
-        *S.RUN_KEY,
-        F.col("period_start_time").alias("run_start_time"),
-        F.col("period_end_time").alias("run_end_time"),
-        "result_state",
-    )
-    return attach(named, workflows, plan)
+    return attach(recent_runs(runs, as_of, window_days, terminal_only), workflows, plan)
 
 
 def run_columns(workflows: DataFrame) -> DataFrame:
     """The workflow columns run-level work needs, kept narrow for the join."""
 
-    return workflows.select(*S.WORKFLOW_KEY, "job_id", "timezone", "workflow_name")
+    dated = with_local_today(workflows)
+    return dated.select(*S.WORKFLOW_KEY, "job_id", "timezone", "local_today", "workflow_name")
+
+
+def newest_start() -> Column:
+    return F.max("run_start_time").alias("run_start_time")
 
 
-def latest_run() -> Column:
-    """Aggregate: the newest run by start, then run id. Merges map side, so a hot workflow is safe."""
+def with_latest_run(newest: DataFrame, recent: DataFrame, plan: JoinPlan = BROADCAST) -> DataFrame:
+    """Add the latest run to one row per workflow that carries its newest start.
+
+    Picking a whole row per group in one aggregation would sort every run. The newest start alone is
+    a hash aggregate, and a second narrow scan then keeps only the runs that have it, so just those
+    few are compared by run id.
+    """
+
+    keys = [*S.JOB_KEY, "run_start_time"]
+    carried = [column for column in newest.columns if column not in (*S.WORKFLOW_KEY, *S.JOB_KEY)]
+    side = F.broadcast(newest) if plan.broadcast_workflows else newest
+    latest = F.max(F.struct("run_id", "result_state", "run_end_time")).alias("latest")
+    return (
+        recent.join(side, keys)
+        .groupBy(*S.WORKFLOW_KEY)
+        .agg(latest, *[F.any_value(column).alias(column) for column in carried])
+    )
 
-    return F.max(F.struct("run_start_time", "run_id", "result_state", "run_end_time"))
 
+def latest_runs(monitored: DataFrame, recent: DataFrame, plan: JoinPlan = BROADCAST) -> DataFrame:
+    """Newest run per workflow by start, then run id."""
 
-def latest_runs(runs: DataFrame) -> DataFrame:
-    latest = runs.groupBy(*S.WORKFLOW_KEY).agg(latest_run().alias("latest"))
-    return latest.select(*S.WORKFLOW_KEY, "latest.*")
+    newest = monitored.groupBy(*S.WORKFLOW_KEY, "job_id").agg(newest_start())
+    found = with_latest_run(newest, recent, plan)
+    return found.select(*S.WORKFLOW_KEY, "run_start_time", "latest.*")
 
 
 def is_today(as_of: AsOf) -> Column:
     """Whether a run ended on the workflow's local date; the wide bounds spare most zone lookups."""
 
     near = F.col("run_end_time").between(shifted(as_of, days=-2), shifted(as_of, days=2))
-    zone = F.col("timezone")
-    return near & (local_date(F.col("run_end_time"), zone) == local_date(instant(as_of), zone))
+    return near & (local_date(F.col("run_end_time"), F.col("timezone")) == F.col("local_today"))
 
 
 def today_counts(runs: DataFrame, as_of: AsOf) -> DataFrame:

@@ -27,6 +27,16 @@ def configuration_problem(collected: Column, error: Column, last_success: Column
     )
 
 
+def configured_workflows(config: DataFrame, as_of: AsOf) -> DataFrame:
+    """Configuration rows ready for schedule expansion, without any collection state."""
+
+    return config.withColumns({"job_id": F.col("configured_job_id"), "as_of": instant(as_of)})
+
+
+def workflow_name() -> Column:
+    return F.coalesce("job_name", F.concat(F.lit("Job "), F.col("job_id")))
+
+
 def monitored_workflows(config: DataFrame, jobs: DataFrame, as_of: AsOf) -> DataFrame:
     """Configuration rows with the collected job name and any collection problem.
 
@@ -42,7 +52,6 @@ def monitored_workflows(config: DataFrame, jobs: DataFrame, as_of: AsOf) -> Data
         "last_error_message",
         F.lit(True).alias("_collected"),
     )
-    name = F.coalesce("job_name", F.concat(F.lit("Job "), F.col("job_id")))
     problem = configuration_problem(
         F.col("_collected").isNotNull(),
         F.col("last_error_message"),
@@ -50,14 +59,14 @@ def monitored_workflows(config: DataFrame, jobs: DataFrame, as_of: AsOf) -> Data
         as_of,
     )
     return (
-        config.withColumn("job_id", F.col("configured_job_id"))
+        configured_workflows(config, as_of)
         .join(state, S.JOB_KEY, "left")
         .select(
             *[config[column] for column in config.columns],
             "job_id",
-            name.alias("workflow_name"),
+            workflow_name().alias("workflow_name"),
             problem.alias("configuration_problem"),
-            instant(as_of).alias("as_of"),
+            "as_of",
         )
     )
 

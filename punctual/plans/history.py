@@ -18,7 +18,7 @@ from punctual.operators.periods import (
     with_recovery,
 )
 from punctual.operators.runs import in_window, monitored_runs, run_columns, run_metrics, terminal
-from punctual.operators.workflows import monitored_workflows
+from punctual.operators.workflows import configured_workflows, monitored_workflows, workflow_name
 
 RUN_HISTORY_COLUMNS = [
     "workflow_name",
@@ -83,15 +83,19 @@ def run_history(
 
 
 def matched_history(
-    config: DataFrame, jobs: DataFrame, runs: DataFrame, as_of: AsOf, plan: JoinPlan | None = None
+    config: DataFrame, runs: DataFrame, as_of: AsOf, plan: JoinPlan | None = None
 ) -> DataFrame:
-    """Periods of the display window with status and late recovery, before any metric."""
+    """Periods of the display window with status and late recovery, before any name or metric.
+
+    The collection state is joined later: the periods feed both sides of the match, and names are
+    only needed once.
+    """
 
     plan = plan or JoinPlan.measure(config)
     # Earlier periods reach neither the display nor the metrics, and a period's recovery lies in the
     # one after it, so the display bound can cut the periods before any run is read.
     periods = eligible(
-        deadline_periods(monitored_workflows(config, jobs, as_of), HISTORY)
+        deadline_periods(configured_workflows(config, as_of), HISTORY)
     ).filter(F.col("deadline_utc") >= midnight(as_of, S.DISPLAY_WINDOW_DAYS))
     recent = in_window(runs, as_of, S.SLA_RUN_WINDOW_DAYS)
     return with_recovery(match_runs(periods, recent, plan))
@@ -107,26 +111,29 @@ def sla_history(
 ) -> DataFrame:
     """One row per workflow and deadline; ``ordered`` sorts by deadline for display."""
 
-    matched = matched_history(config, jobs, runs, as_of, plan)
+    matched = matched_history(config, runs, as_of, plan)
     metrics = run_metrics(terminal(in_window(runs, as_of, S.SLA_RUN_WINDOW_DAYS)), as_of)
+    names = jobs.select(*S.JOB_KEY, "job_name")
 
-    # All of a workflow's deadlines (at most 93) share one partition since the recovery lookup, so
-    # the metrics over them are window aggregates without another shuffle.
+    # All of a workflow's deadlines (at most 93) share one partition, sorted, since the recovery
+    # lookup, so ranks and metrics over them need neither another shuffle nor another sort.
     workflow = Window.partitionBy(*S.WORKFLOW_KEY)
+    position = F.row_number().over(workflow.orderBy("deadline_utc"))
     is_due = F.col("deadline_utc") <= F.col("as_of")
-    newest_first = Window.partitionBy(*S.WORKFLOW_KEY, "_due").orderBy(F.desc("deadline_utc"))
+    # Due deadlines come first in time order, so the newest of them has the highest position.
+    recency = (F.count_if(is_due).over(workflow) - position + 1).cast("int")
     recent, status = is_recently_due(), F.col("sla_status")
-    counted = (
-        matched.withColumn("_due", is_due)
-        .withColumn("_recency", F.row_number().over(newest_first))
-        .withColumn("_evaluated", F.count_if(recent & status.isin("Met", "Missed")).over(workflow))
-        .withColumn("_met", F.count_if(recent & (status == "Met")).over(workflow))
-        .withColumn("_missed", F.count_if(recent & (status == "Missed")).over(workflow))
+    counted = matched.select(
+        "*",
+        F.when(is_due, recency).alias("_recency"),
+        F.count_if(recent & status.isin("Met", "Missed")).over(workflow).alias("_evaluated"),
+        F.count_if(recent & (status == "Met")).over(workflow).alias("_met"),
+        F.count_if(recent & (status == "Missed")).over(workflow).alias("_missed"),
     )
     deadline_date = local_date(F.col("deadline_utc"), F.col("timezone"))
     today = local_date(F.col("as_of"), F.col("timezone"))
-    history = counted.join(metrics, S.JOB_KEY, "left").select(
-        "workflow_name",
+    history = counted.join(metrics, S.JOB_KEY, "left").join(names, S.JOB_KEY, "left").select(
+        workflow_name().alias("workflow_name"),
         deadline_date.alias("deadline_date"),
         "deadline_utc",
         "timezone",
@@ -136,7 +143,7 @@ def sla_history(
         "observed_completion_utc",
         "completion_margin_minutes",
         "display_margin_minutes",
-        F.when(F.col("_due"), F.col("_recency")).alias("due_deadline_recency"),
+        F.col("_recency").alias("due_deadline_recency"),
         sla.sla_target_rate().alias("sla_target_rate"),
         sla.try_ratio(F.col("successful_runs_30d"), F.col("total_runs_30d")).alias("run_success_rate_30d"),
         sla.try_ratio(F.col("_met"), F.col("_evaluated")).alias("sla_compliance_rate_30d"),

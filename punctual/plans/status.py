@@ -9,9 +9,9 @@ from punctual import schemas as S
 from punctual.functions import sla
 from punctual.functions.instants import AsOf
 from punctual.functions.schedules import CURRENT
-from punctual.operators.joins import JoinPlan
+from punctual.operators.joins import JoinPlan, attach
 from punctual.operators.periods import due_periods
-from punctual.operators.runs import is_today, latest_run, monitored_runs
+from punctual.operators.runs import is_today, newest_start, recent_runs, with_latest_run
 from punctual.operators.workflows import monitored_workflows
 
 STATUS_COLUMNS = [
@@ -44,7 +44,7 @@ def _succeeded_within(opens: str, deadline: str) -> Column:
 
 
 def _run_facts(workflows: DataFrame, runs: DataFrame, as_of: AsOf, plan: JoinPlan) -> DataFrame:
-    """Everything the status needs from runs in one scan and one aggregation.
+    """Everything the status needs from runs: one hash aggregation, then the latest run.
 
     The latest due and the next period are fixed by the configuration alone, so each run meets its
     workflow's two periods as plain columns of the joined row.
@@ -54,23 +54,26 @@ def _run_facts(workflows: DataFrame, runs: DataFrame, as_of: AsOf, plan: JoinPla
         *S.WORKFLOW_KEY,
         "job_id",
         "timezone",
+        "local_today",
         "last_opens_utc",
         "last_deadline_utc",
         "next_opens_utc",
         "next_deadline_utc",
     )
+    recent = recent_runs(runs, as_of, S.RUN_WINDOW_DAYS, terminal_only=False)
     state, today = F.col("result_state"), is_today(as_of)
-    return (
-        monitored_runs(lookup, runs, as_of, S.RUN_WINDOW_DAYS, terminal_only=False, plan=plan)
-        .groupBy(*S.WORKFLOW_KEY)
+    counted = (
+        attach(recent, lookup, plan)
+        .groupBy(*S.WORKFLOW_KEY, "job_id")
         .agg(
-            latest_run().alias("latest"),
+            newest_start(),
             F.count_if((state == S.SUCCEEDED) & today).alias("succeeded_today"),
             F.count_if(sla.is_unsuccessful(state) & today).alias("unsuccessful_today"),
             _succeeded_within("last_opens_utc", "last_deadline_utc").alias("last_successes"),
             _succeeded_within("next_opens_utc", "next_deadline_utc").alias("next_successes"),
         )
     )
+    return with_latest_run(counted, recent, plan)
 
 
 def workflow_status(

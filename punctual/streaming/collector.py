@@ -83,5 +83,5 @@ def evaluate_batch(
     jobs, runs = store.jobs(), store.runs()
     return (
         workflow_status(config, jobs, runs, as_of, plan),
-        matched_history(config, jobs, runs, as_of, plan),
+        matched_history(config, runs, as_of, plan),
     )
