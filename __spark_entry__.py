@@ -22,8 +22,8 @@ from punctual.operators.joins import SHUFFLE, JoinPlan, attach
 from punctual.plans import charts, checks, collection, history, status
 from punctual.session import ensure_checkpoints, use_utc
 from punctual.sources import driver_tables as data
-from punctual.streaming.collector import start_run_stream, upsert_batch
 from punctual.sources.store import StateStore
+from punctual.streaming.collector import start_run_stream, upsert_batch
 
 AS_OF = data.AS_OF
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,7 +95,8 @@ def _windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _gap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return state.nonterminal_gap(data.run_state(spark, sf_dir), _windows(spark, sf_dir))
+    plan = JoinPlan.measure(data.sla_config(spark, sf_dir))
+    return state.nonterminal_gap(data.run_state(spark, sf_dir), _windows(spark, sf_dir), plan)
 
 
 def _round(spark: SparkSession, sf_dir: str) -> collection.CollectionRound:
@@ -140,21 +141,20 @@ def upsert_latest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_upsert_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The change feed as a stream of files, merged batch by batch into a table of its own."""
-
-    folder = f"{ensure_checkpoints(spark)}/stream-{os.getpid()}-{datetime.now(UTC):%H%M%S%f}"
-    source = f"{sf_dir}/lineitem.parquet"
-    schema = spark.read.parquet(source).schema
-    lines = spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem*.parquet")
-    feed = data.change_records(lines)
-    target = f"{folder}/runs"
-
-    def apply(batch: DataFrame) -> None:
-        newest = runs.to_run_state(state.combine_feeds(batch), AS_OF)
-        newest.write.mode("append").parquet(target)
-
-    start_run_stream(feed, apply, f"{folder}/offsets", available_now=True).awaitTermination()
-    return spark.read.schema(S.RUN_STATE).parquet(target)
+    """Listed and looked-up records of all events as a stream, upserted into a state store."""
+
+    name = f"stream_{os.getpid()}_{datetime.now(UTC):%H%M%S%f}"
+    folder = f"{ensure_checkpoints(spark)}/{name}"
+    store = StateStore(spark, name)
+    store.ensure_tables(create_namespace=True, location=f"{folder}/tables")
+    schema = data.table(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
+    feed = data.listed_then_looked_up(data.event_records(events))
+    query = start_run_stream(
+        feed, lambda batch: upsert_batch(store, batch, AS_OF), f"{folder}/offsets", available_now=True
+    )
+    query.awaitTermination()
+    return store.runs()
 
 
 def upsert_job_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +185,8 @@ def valid_workspaces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incremental_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     completed = data.raw_runs(spark, sf_dir).filter(F.col("feed_kind") == "completed")
-    chosen = state.select_incremental(completed, _windows(spark, sf_dir), AS_OF)
+    plan = JoinPlan.measure(data.sla_config(spark, sf_dir))
+    chosen = state.select_incremental(completed, _windows(spark, sf_dir), AS_OF, plan)
     return chosen.select(*S.RUN_KEY, "start_time", "end_time")
 
 

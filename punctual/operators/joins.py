@@ -53,13 +53,25 @@ def salted_join(
     return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
 
 
+def config_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    spread: Column,
+    plan: JoinPlan,
+    how: str = "inner",
+) -> DataFrame:
+    """Join to a side with at most one row per workflow: broadcast while that is small, else salted."""
+
+    if plan.broadcast_workflows:
+        return left.join(F.broadcast(right), keys, how)
+    return salted_join(left, right, keys, spread, how)
+
+
 def attach(runs: DataFrame, workflows: DataFrame, plan: JoinPlan) -> DataFrame:
     """Give every run its workflow columns; runs of other jobs drop out."""
 
-    keys = ["workspace_id", "job_id"]
-    if plan.broadcast_workflows:
-        return runs.join(F.broadcast(workflows), keys)
-    return salted_join(runs, workflows, keys, F.col("run_id"))
+    return config_join(runs, workflows, ["workspace_id", "job_id"], F.col("run_id"), plan)
 
 
 def with_position(df: DataFrame, group: list[str], index: str, name: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from punctual import schemas as S
 from punctual.functions.instants import AsOf, instant, shifted
-from punctual.operators.joins import salted_join
+from punctual.operators.joins import SHUFFLE, JoinPlan, config_join
 
 # Later feeds win over earlier ones for the same run.
 FEED_RANKS = {"completed": 1, "active": 2, "detail": 3}
@@ -134,7 +134,9 @@ def incremental_windows(monitored: DataFrame, jobs: DataFrame, as_of: AsOf) -> D
     )
 
 
-def select_incremental(completed: DataFrame, windows: DataFrame, as_of: AsOf) -> DataFrame:
+def select_incremental(
+    completed: DataFrame, windows: DataFrame, as_of: AsOf, plan: JoinPlan = SHUFFLE
+) -> DataFrame:
     """Completed records that started inside their job's window.
 
     The retention bound applies to every job and is a literal on the raw column, so the scan can use
@@ -149,19 +151,19 @@ def select_incremental(completed: DataFrame, windows: DataFrame, as_of: AsOf) ->
         F.floor(F.unix_micros("incremental_start_at") / 1000).alias("_from_ms"),
     )
     return (
-        salted_join(recent, bounds, S.JOB_KEY, F.col("run_id"))
+        config_join(recent, bounds, S.JOB_KEY, F.col("run_id"), plan)
         .filter(F.col("start_time") >= F.col("_from_ms"))
         .select(*completed.columns)
     )
 
 
-def nonterminal_gap(stored: DataFrame, windows: DataFrame) -> DataFrame:
+def nonterminal_gap(stored: DataFrame, windows: DataFrame, plan: JoinPlan = SHUFFLE) -> DataFrame:
     """Stored open runs older than the incremental window: start inclusive, end exclusive."""
 
     started = F.col("period_start_time")
     open_runs = stored.filter(~F.col("result_state").isin(*S.TERMINAL_STATES))
     return (
-        salted_join(open_runs, windows, S.JOB_KEY, F.col("run_id"))
+        config_join(open_runs, windows, S.JOB_KEY, F.col("run_id"), plan)
         .filter((started >= F.col("history_start_at")) & (started < F.col("incremental_start_at")))
         .select(*S.RUN_KEY)
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from punctual import schemas as S
 from punctual.functions import run_states
 from punctual.functions.instants import AsOf, instant, shifted
-from punctual.operators.joins import salted_join
+from punctual.operators.joins import JoinPlan, config_join
 from punctual.operators.runs import to_run_state
 from punctual.operators.state import (
     combine_feeds,
@@ -86,7 +86,7 @@ def job_outcomes(
     )
 
 
-def _reached(feed: DataFrame, outcomes: DataFrame) -> DataFrame:
+def _reached(feed: DataFrame, outcomes: DataFrame, plan: JoinPlan) -> DataFrame:
     """Records of monitored jobs from the stages the job got to.
 
     Records that arrived before the failing stage broke off stay; a job that failed at its details
@@ -100,7 +100,7 @@ def _reached(feed: DataFrame, outcomes: DataFrame) -> DataFrame:
         feed_rank(F.col("feed_kind"))
     )
     return (
-        salted_join(feed, limits, S.JOB_KEY, F.col("run_id"))
+        config_join(feed, limits, S.JOB_KEY, F.col("run_id"), plan)
         .filter(F.col("failed_stage").isNull() | (rank <= F.col("failed_stage")))
         .select(*feed.columns)
     )
@@ -114,6 +114,7 @@ def collect_round(
     details: DataFrame,
     errors: DataFrame,
     as_of: AsOf,
+    plan: JoinPlan | None = None,
 ) -> CollectionRound:
     """Apply one batch of landed records to the state.
 
@@ -122,22 +123,28 @@ def collect_round(
     their job, and a failing job never stops another one.
     """
 
+    plan = plan or JoinPlan.measure(config)
     monitored = config.select("workspace_id", F.col("configured_job_id").alias("job_id")).distinct()
     configured = config.select("workspace_id").distinct()
     expired = F.col("period_start_time") < shifted(as_of, days=-S.RETENTION_DAYS)
-    scoped = salted_join(
-        stored_runs, configured.withColumn("_scoped", F.lit(True)), ["workspace_id"], F.col("run_id"), "left"
+    scoped = config_join(
+        stored_runs,
+        configured.withColumn("_scoped", F.lit(True)),
+        ["workspace_id"],
+        F.col("run_id"),
+        plan,
+        "left",
     )
     kept = scoped.filter(~(expired & F.coalesce("_scoped", F.lit(False)))).select(*stored_runs.columns)
 
     outcomes = job_outcomes(monitored, details, errors, as_of)
     windows = incremental_windows(monitored, stored_jobs, as_of)
-    reached = _reached(feed, outcomes)
+    reached = _reached(feed, outcomes, plan)
     kind = F.col("feed_kind")
-    completed = select_incremental(reached.filter(kind == "completed"), windows, as_of)
+    completed = select_incremental(reached.filter(kind == "completed"), windows, as_of, plan)
     active = reached.filter(kind == "active")
     answers = reached.filter(kind.isin("detail", "missing"))
-    found, missing = lookup_runs(nonterminal_gap(kept, windows), answers)
+    found, missing = lookup_runs(nonterminal_gap(kept, windows, plan), answers)
 
     incoming = to_run_state(combine_feeds(completed, active, found), as_of)
     surviving = delete_runs(kept, missing)

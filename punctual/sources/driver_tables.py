@@ -35,9 +35,12 @@ def workspace(user: Column) -> Column:
 
 
 def raw_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw run records: five event types for five outcomes, open runs among the clicks."""
+    return event_records(table(spark, sf_dir, "events"))
+
+
+def event_records(events: DataFrame) -> DataFrame:
+    """Events as raw run records: five types for five outcomes, open runs among the clicks."""
 
-    events = table(spark, sf_dir, "events")
     kind = F.col("event_type")
     is_open = (kind == "click") & (F.col("event_id") % 2 == 0)
     queued = is_open & (F.col("value") < 2)
@@ -69,6 +72,22 @@ def raw_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def listed_then_looked_up(raw: DataFrame) -> DataFrame:
+    """Two versions of every finished run: first listed as running, later looked up with its end."""
+
+    fields = [column for column in raw.columns if column not in S.RUN_KEY]
+    running = F.struct(F.lit("RUNNING").alias("state"), F.struct(F.lit(None).cast("string").alias("code")).alias("termination_details"))
+    first = {"end_time": F.lit(None).cast("bigint"), "status": running, "feed_kind": F.lit("active")}
+    last = {"feed_kind": F.lit("detail")}
+
+    def version(changes: dict[str, Column]) -> Column:
+        return F.struct(*[changes.get(name, F.col(name)).alias(name) for name in fields])
+
+    is_open = F.col("feed_kind") == "active"
+    versions = F.when(is_open, F.array(version({}))).otherwise(F.array(version(first), version(last)))
+    return raw.select(*S.RUN_KEY, F.inline(versions))
+
+
 def run_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_run_state(raw_runs(spark, sf_dir), AS_OF)
 
@@ -232,12 +251,9 @@ def job_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return change_records(table(spark, sf_dir, "lineitem"))
-
-
-def change_records(lines: DataFrame) -> DataFrame:
     """Line items as run records: several versions per order and line, the newest by ship date."""
 
+    lines = table(spark, sf_dir, "lineitem")
     started = F.unix_millis(F.col("l_shipdate").cast("timestamp"))
     state = F.when(F.col("l_returnflag") == "R", "INTERNAL_ERROR").otherwise("TERMINATED")
     code = F.when(F.col("l_returnflag") == "N", "SUCCESS").when(F.col("l_returnflag") == "A", "CANCELED")

@@ -43,10 +43,13 @@ class StateStore:
     def _name(self, table: str) -> str:
         return quoted(*self.namespace.split("."), table)
 
-    def ensure_tables(self, create_namespace: bool = False) -> None:
+    def ensure_tables(self, create_namespace: bool = False, location: str | None = None) -> None:
+        """Create what is missing; ``location`` places a new namespace in a folder of its own."""
+
         if create_namespace:
             namespace = quoted(*self.namespace.split("."))
-            self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}")
+            placed = f" LOCATION '{location}'" if location else ""
+            self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}{placed}")
         for table, (schema, partitions, comment) in _TABLES.items():
             columns = [
                 f"{field.name} {field.dataType.simpleString()}"
@@ -88,7 +91,9 @@ class StateStore:
 
     def _overwrite(self, table: str, rows: DataFrame) -> None:
         ordered = rows.select(*self.spark.table(self._name(table)).columns)
-        ordered.write.mode("overwrite").insertInto(self._name(table))
+        # Rebalancing writes few files per partition, yet splits a partition that holds most rows.
+        balanced = ordered.hint("rebalance", *_TABLES[table][1])
+        balanced.write.mode("overwrite").insertInto(self._name(table))
 
     def _drop(self, table: str, partitions: list) -> None:
         columns = _TABLES[table][1]

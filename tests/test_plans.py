@@ -63,13 +63,6 @@ def test_scans_push_filters_and_prune_columns(tables, capsys):
     assert "run_id" not in "".join(re.findall(r"ReadSchema: (.*)", shown))
 
 
-def test_small_runs_are_never_the_build_side(tables, spark):
-    config, jobs, runs = tables
-    for build in (run_history, workflow_status):
-        plan = plan_of(build(config, jobs, runs, data.AS_OF, SHUFFLE))
-        assert "BroadcastNestedLoopJoin" not in plan
-
-
 def test_join_plan_follows_the_row_count(tables, monkeypatch):
     config = tables[0]
     assert JoinPlan.measure(config) == BROADCAST
@@ -90,7 +83,7 @@ def test_salted_join_splits_a_hot_key(spark):
         joined = salted_join(left, right, ["key"], F.col("id"))
         assert joined.count() == 3000
         tasks = joined.filter("key = -1").select(F.spark_partition_id()).distinct().count()
-        assert tasks == spark.sparkContext.defaultParallelism or tasks > 1
+        assert tasks > 1
         kept = salted_join(left, right.filter("key <> -1"), ["key"], F.col("id"), "left_anti")
         assert kept.count() == 1000
     finally:
