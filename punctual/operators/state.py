@@ -12,7 +12,7 @@ from punctual.functions.instants import AsOf, instant, shifted
 from punctual.operators.joins import SHUFFLE, JoinPlan, config_join
 
 # Later feeds win over earlier ones for the same run.
-FEED_RANKS = {"completed": 1, "active": 2, "detail": 3}
+FEED_RANKS = {"completed": 1, "active": 2, "detail": 3, "missing": 3}
 
 
 def latest_per_key(batch: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:

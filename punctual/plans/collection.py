@@ -14,14 +14,11 @@ from punctual.operators.joins import JoinPlan, config_join
 from punctual.operators.runs import to_run_state
 from punctual.operators.state import (
     combine_feeds,
-    delete_runs,
     feed_rank,
     incremental_windows,
-    lookup_runs,
     nonterminal_gap,
     select_incremental,
     upsert_jobs,
-    upsert_runs,
 )
 
 # Stages run in this order for a job; a failed stage hides what later stages would have returned.
@@ -30,15 +27,27 @@ STAGE_RANKS = {"details": 0, "completed": 1, "active": 2, "lookup": 3}
 
 @dataclass(frozen=True)
 class CollectionRound:
-    """The state after a round and what changed in it."""
+    """The state after a round and what changed in it.
+
+    ``changes`` holds one raw record per run that was listed or looked up; a record of kind
+    ``missing`` removes its run.
+    """
 
     runs: DataFrame
     jobs: DataFrame
-    changed_runs: DataFrame
-    removed_runs: DataFrame
+    changes: DataFrame
     job_updates: DataFrame
 
 
+def changed_runs(changes: DataFrame, as_of: AsOf) -> DataFrame:
+    return to_run_state(changes.filter(F.col("feed_kind") != "missing"), as_of)
+
+
+def removed_runs(changes: DataFrame) -> DataFrame:
+    removed = changes.filter(F.col("feed_kind") == "missing")
+    return removed.select("workspace_id", F.col("job_id").cast("string").alias("job_id"), "run_id")
+
+
 def job_outcomes(
     monitored: DataFrame, details: DataFrame, errors: DataFrame, as_of: AsOf
 ) -> DataFrame:
@@ -96,16 +105,20 @@ def _reached(feed: DataFrame, outcomes: DataFrame, plan: JoinPlan) -> DataFrame:
     limits = outcomes.select(
         "workspace_id", F.col("job_id").cast("bigint").alias("job_id"), "failed_stage"
     )
-    rank = F.when(F.col("feed_kind") == "missing", STAGE_RANKS["lookup"]).otherwise(
-        feed_rank(F.col("feed_kind"))
-    )
     return (
         config_join(feed, limits, S.JOB_KEY, F.col("run_id"), plan)
-        .filter(F.col("failed_stage").isNull() | (rank <= F.col("failed_stage")))
+        .filter(F.col("failed_stage").isNull() | (feed_rank(F.col("feed_kind")) <= F.col("failed_stage")))
         .select(*feed.columns)
     )
 
 
+def apply_changes(stored: DataFrame, changes: DataFrame, as_of: AsOf) -> DataFrame:
+    """Replace every changed run in one pass; removed runs simply do not come back."""
+
+    keys = changes.select("workspace_id", F.col("job_id").cast("string").alias("job_id"), "run_id")
+    return stored.join(keys, S.RUN_KEY, "left_anti").unionByName(changed_runs(changes, as_of))
+
+
 def collect_round(
     stored_runs: DataFrame,
     stored_jobs: DataFrame,
@@ -144,10 +157,13 @@ def collect_round(
     completed = select_incremental(reached.filter(kind == "completed"), windows, as_of, plan)
     active = reached.filter(kind == "active")
     answers = reached.filter(kind.isin("detail", "missing"))
-    found, missing = lookup_runs(nonterminal_gap(kept, windows, plan), answers)
-
-    incoming = to_run_state(combine_feeds(completed, active, found), as_of)
-    surviving = delete_runs(kept, missing)
+    # Lookups follow the listings: a listed run is asked about as it was listed.
+    listed = F.col("job_id").cast("string").alias("job_id")
+    listed_keys = completed.unionByName(active).select("workspace_id", listed, "run_id")
+    known_open = kept.join(listed_keys, S.RUN_KEY, "left_anti").unionByName(to_run_state(active, as_of))
+    gap = nonterminal_gap(known_open, windows, plan)
+    asked = gap.select("workspace_id", F.col("job_id").cast("bigint").alias("job_id"), "run_id")
+    changes = combine_feeds(completed, active, answers.join(asked, S.RUN_KEY, "left_semi"))
     succeeded_at = F.when(F.col("failed_stage").isNull(), instant(as_of))
     updates = outcomes.select(
         *S.JOB_KEY,
@@ -157,10 +173,9 @@ def collect_round(
         "last_error_message",
     )
     return CollectionRound(
-        runs=upsert_runs(surviving, incoming),
+        runs=apply_changes(kept, changes, as_of),
         jobs=upsert_jobs(stored_jobs, updates),
-        changed_runs=incoming,
-        removed_runs=missing,
+        changes=changes,
         job_updates=updates,
     )
 

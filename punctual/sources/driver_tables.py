@@ -10,6 +10,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from punctual import schemas as S
 from punctual.functions.instants import instant, shifted
@@ -22,8 +23,16 @@ ZONES = ["UTC", "Australia/Melbourne", "America/New_York", "Asia/Kolkata", "Euro
 FIRST_FORTNIGHT = datetime(2024, 1, 1)
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is read from the file once, as a catalog would keep it."""
+
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _choose(values: list[str] | tuple[str, ...], number: Column) -> Column:

@@ -13,7 +13,7 @@ from punctual.functions.instants import AsOf
 from punctual.operators.joins import JoinPlan
 from punctual.operators.runs import to_run_state
 from punctual.operators.state import combine_feeds, retention_cutoff
-from punctual.plans.collection import collect_round, failed_jobs
+from punctual.plans.collection import changed_runs, collect_round, failed_jobs, removed_runs
 from punctual.plans.history import matched_history
 from punctual.plans.status import workflow_status
 from punctual.sources.store import StateStore
@@ -45,9 +45,8 @@ def collect_batch(
         store.expire(row["workspace_id"], retention_cutoff(as_of))
     state = collect_round(store.runs(), store.jobs(), config, batch, details, errors, as_of)
     # The round reads the tables its commits rewrite, so its results are fixed before the first one.
-    changed, removed = state.changed_runs.checkpoint(), state.removed_runs.checkpoint()
-    updates = state.job_updates.checkpoint()
-    store.commit_runs(changed, removed)
+    changes, updates = state.changes.checkpoint(), state.job_updates.checkpoint()
+    store.commit_runs(changed_runs(changes, as_of), removed_runs(changes))
     store.commit_jobs(updates)
     failed = failed_jobs(updates)
     if raise_on_failure and not failed.isEmpty():

@@ -8,7 +8,7 @@ from punctual import schemas as S
 from punctual.functions import run_states
 from punctual.functions.instants import epoch_ms_to_ts
 from punctual.operators import catalogue, runs, state
-from punctual.plans.collection import collect_round, failed_jobs
+from punctual.plans.collection import changed_runs, collect_round, failed_jobs, removed_runs
 
 NOW = datetime(2026, 8, 25, 12, 0, tzinfo=UTC)
 
@@ -230,7 +230,7 @@ def test_collection_round(scenario):
         (900, "SUCCEEDED"),
         (950, "RUNNING"),
     ]
-    assert rows(result.removed_runs, "run_id") == [(800,)]
+    assert rows(removed_runs(result.changes), "run_id") == [(800,)]
     assert rows(result.jobs, "job_name", F.col("last_successful_collection_at") == F.lit(NOW), "last_error_message") == [
         ("Daily Orders", True, None)
     ]
@@ -247,15 +247,15 @@ def test_lookup_failure_keeps_confirmed_deletions(scenario):
 @pytest.mark.parametrize(("stage", "arrived"), [("details", []), ("completed", [1000]), ("active", [950, 1000])])
 def test_failed_stage_hides_later_ones(scenario, stage, arrived):
     result = scenario((stage, "unavailable"))
-    assert sorted(run for (run,) in rows(result.changed_runs, "run_id")) == arrived
-    assert result.removed_runs.count() == 0
+    assert sorted(run for (run,) in rows(changed_runs(result.changes, NOW), "run_id")) == arrived
+    assert removed_runs(result.changes).count() == 0
 
 
 def test_blank_name_fails_the_job(spark, scenario):
     blank = spark.createDataFrame([("111", 42, (" ",))], S.JOB_DETAILS)
     result = scenario(names=blank)
     assert rows(result.job_updates, "last_error_message") == [("Jobs API returned no name for job ID 42",)]
-    assert result.changed_runs.count() == 0
+    assert result.changes.count() == 0
 
 
 def test_catalogue(spark):
