@@ -9,6 +9,9 @@ as Delta the same statements become atomic across partitions.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,9 +19,12 @@ from punctual import schemas as S
 from punctual.functions.instants import AsOf, instant
 from punctual.functions.run_states import quoted, validated_workspace_id
 from punctual.operators.config import config_changed
-from punctual.operators.state import delete_runs, expire_runs, upsert_jobs, upsert_runs
+from punctual.operators.state import expire_runs, upsert_jobs
 from punctual.session import ensure_checkpoints
 
+# Run keys of one batch that may be broadcast: about 80 bytes each, so 40 MB.
+BROADCAST_KEYS = 500_000
+
 _TABLES = {
     S.RUN_STATE_TABLE: (S.RUN_STATE, ["workspace_id", "start_date"], "Latest state of every monitored run"),
     S.JOB_STATE_TABLE: (S.JOB_STATE, ["workspace_id"], "Collection state of every monitored job"),
@@ -108,33 +114,40 @@ class StateStore:
         self._overwrite(table, rows)
         self._drop(table, [values for values in touched if values not in remaining])
 
-    def _runs_in(self, touched: DataFrame) -> DataFrame:
-        """Stored runs of some partitions. The join on partition columns prunes the scan."""
+    def _runs_in(self, touched: list) -> DataFrame:
+        """Stored runs of some partitions; the literal conditions prune the scan to them."""
 
-        stored = self.spark.table(self._name(S.RUN_STATE_TABLE))
-        partitions = touched.select("workspace_id", "start_date").distinct()
-        return stored.join(F.broadcast(partitions), ["workspace_id", "start_date"], "left_semi")
+        dates: dict[str, list] = {}
+        for values in touched:
+            dates.setdefault(values["workspace_id"], []).append(values["start_date"])
+        wanted = [
+            (F.col("workspace_id") == workspace) & F.col("start_date").isin(*days)
+            for workspace, days in dates.items()
+        ]
+        return self.spark.table(self._name(S.RUN_STATE_TABLE)).filter(reduce(or_, wanted))
 
     def commit_runs(self, incoming: DataFrame, removed: DataFrame | None = None) -> None:
         """Upsert unique run rows and remove others, rewriting only the partitions involved.
 
         A run can move to another start date once its real start is known, so the partitions that
-        hold the old rows are looked up by key first. That lookup reads key columns only.
+        hold the old rows are looked up by key first. That lookup reads key columns only, and the
+        keys of a batch are broadcast to it while they are few.
         """
 
         # Both sides are read several times below and one of them may read the table itself.
         incoming = incoming.withColumn("start_date", start_date()).checkpoint()
-        removed = removed.select(*S.RUN_KEY).checkpoint() if removed is not None else incoming.limit(0)
-        keys = incoming.select(*S.RUN_KEY).unionByName(removed.select(*S.RUN_KEY)).distinct()
+        keys = incoming.select(*S.RUN_KEY)
+        if removed is not None:
+            keys = keys.unionByName(removed.select(*S.RUN_KEY)).distinct().checkpoint()
+        if keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+            keys = F.broadcast(keys)
         stored = self.spark.table(self._name(S.RUN_STATE_TABLE))
         held = stored.join(keys, S.RUN_KEY, "left_semi").select("workspace_id", "start_date")
         arriving = incoming.select("workspace_id", "start_date")
         touched = self._partitions(held.unionByName(arriving), S.RUN_STATE_TABLE)
-        if not touched:
-            return
-        scope = self.spark.createDataFrame(touched, "workspace_id string, start_date date")
-        surviving = delete_runs(self._runs_in(scope), removed)
-        self._replace(S.RUN_STATE_TABLE, touched, upsert_runs(surviving, incoming))
+        if touched:
+            kept = self._runs_in(touched).join(keys, S.RUN_KEY, "left_anti")
+            self._replace(S.RUN_STATE_TABLE, touched, kept.unionByName(incoming))
 
     def expire(self, workspace_id: str, cutoff: AsOf) -> None:
         """Drop whole expired dates as partitions and rewrite only the date of the cutoff."""

@@ -8,6 +8,7 @@ from punctual import schemas as S
 from punctual.operators.joins import BROADCAST
 from punctual.operators.state import retention_cutoff
 from punctual.sources import feeds
+from punctual.sources import store as store_module
 from punctual.sources.store import StateStore
 from punctual.streaming.collector import collect_batch, evaluate_batch, start_run_stream, upsert_batch
 
@@ -56,6 +57,28 @@ def test_commit_rewrites_only_touched_dates(spark, store, make):
     ]
 
 
+def test_touched_partitions_prune_the_scan(store, make, capsys):
+    store.commit_runs(make.runs((1, 1, 1, "2026-08-20 10:00", None, "RUNNING"), (1, 1, 2, "2026-08-21 10:00", None, "RUNNING")))
+    touched = [{"workspace_id": "1", "start_date": at("2026-08-21 00:00").date()}]
+    scan = store._runs_in(touched)
+    assert rows(scan, "run_id") == [(2,)]
+    scan.explain("formatted")
+    assert "start_date" in capsys.readouterr().out.split("PartitionFilters: ")[1].splitlines()[0]
+    store.runs(at("2026-08-21 00:00")).explain("formatted")
+    assert "start_date" in capsys.readouterr().out.split("PartitionFilters: ")[1].splitlines()[0]
+
+
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_commit_with_many_and_few_keys(store, make, monkeypatch, limit):
+    monkeypatch.setattr(store_module, "BROADCAST_KEYS", limit)
+    store.commit_runs(make.runs((1, 1, 1, "2026-08-20 10:00", None, "RUNNING"), (1, 1, 2, "2026-08-20 10:00", None, "RUNNING")))
+    gone = make.runs((1, 1, 2, "2026-08-20 10:00", None, "RUNNING"))
+    store.commit_runs(make.runs((1, 1, 1, "2026-08-20 10:00", None, "QUEUED")), gone)
+    assert rows(store.runs(), "run_id", "result_state") == [(1, "QUEUED")]
+    store.commit_runs(store.runs().limit(0), store.runs())
+    assert rows(store.runs()) == []
+
+
 def test_a_run_can_move_to_its_real_start_and_be_removed(store, make):
     store.commit_runs(make.runs((1, 1, 1, "2026-08-25 10:00", None, "QUEUED"), (1, 1, 2, "2026-08-24 10:00", None, "RUNNING")))
     store.commit_runs(
