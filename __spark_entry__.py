@@ -416,9 +416,27 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["sla_history"](spark, "/root/testdata/sf0.001")
 
 
+def _dealt() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the optional subpackage, if it is there."""
+
+    try:
+        import corpus_pipeline
+        from llm import queries as dealt
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("llm", "corpus_pipeline"):
+            raise
+        return {}, {}
+    found, sql = dict(dealt.QUERIES), dict(dealt.ORACLES)
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Query]:
-    return {name: _registered(build) for name, build in _QUERIES.items()}
+    own = {name: _registered(build) for name, build in _QUERIES.items()}
+    return own | {name: (lambda spark, sf_dir, build=build: build(use_utc(spark), sf_dir)) for name, build in _dealt()[0].items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return statements()
+    return statements() | _dealt()[1]
