@@ -9,8 +9,10 @@ their whole texts.
 
 Documents with the same shingle set become one before banding. In a bucket, every member is first
 compared with the smallest one, which needs as many pairs as the bucket has members; components of
-the links found are formed, and only pairs of a bucket that still lie in different components are
-listed. So a large group of copies costs no pair list, and no link between components is lost.
+the links found are formed. Buckets that still hold several components are cut into tiles of bounded
+size, where signatures of different components are compared in place; only the few pairs that pass
+leave the tile. So a large group of copies costs no pair list, and no link between components is
+lost.
 """
 
 from __future__ import annotations
@@ -33,28 +35,34 @@ class Settings:
     """Links need ``100 * intersection >= percent * union``.
 
     With 64 bands of 6 rows a pair at exactly 75 per cent shares no band with probability 4e-6.
-    ``bits`` is 2: 32 signature values fit a 64-bit word.
+    Signatures keep ``bits`` (a divisor of 64) of ``values`` minima, the first of which make the
+    bands; a pair at the threshold fails the estimate with probability 3e-7. ``block`` bounds the
+    members of a bucket that are compared at once.
     """
 
     shingle: int = 5
     percent: int = 75
     bands: int = 64
     rows: int = 6
+    values: int = 1024
+    bits: int = 4
+    deviations: float = 5.0
+    block: int = 512
     seed: int = 11
 
-    bits: int = 2
-
-    @property
-    def hashes(self) -> int:
-        return self.bands * self.rows
-
     @property
     def least_estimate(self) -> float:
-        """Six deviations of the corrected estimate below the threshold."""
+        """So many deviations of the corrected estimate below the threshold."""
 
         chance, share = 0.5**self.bits, self.percent / 100
         equal = share + (1 - share) * chance
-        return share - 6 * (equal * (1 - equal) / self.hashes) ** 0.5 / (1 - chance)
+        return share - self.deviations * (equal * (1 - equal) / self.values) ** 0.5 / (1 - chance)
+
+    @property
+    def marks(self) -> int:
+        """A word with the lowest bit of every packed value set."""
+
+        return sum(1 << place for place in range(0, 64, self.bits))
 
 
 def lower_ascii(data: np.ndarray) -> np.ndarray:
@@ -91,8 +99,8 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarr
 
 def _sketch(settings: Settings):
     rng = np.random.default_rng(settings.seed)
-    factors = rng.integers(0, 1 << 32, settings.hashes, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
-    shifts = rng.integers(0, 1 << 32, settings.hashes, dtype=np.uint64).astype(np.uint32)
+    factors = rng.integers(0, 1 << 32, settings.values, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
+    shifts = rng.integers(0, 1 << 32, settings.values, dtype=np.uint64).astype(np.uint32)
 
     def sketch(batch: pa.RecordBatch):
         for low, high, data, offsets, _ in chunks(batch.column("text")):
@@ -102,24 +110,24 @@ def _sketch(settings: Settings):
             distinct, one, two = _set_digests(hashes, counts)
             holds = np.flatnonzero(counts)
             starts = (np.cumsum(counts) - counts)[holds]
-            minima = np.zeros((settings.hashes, len(holds)), np.uint32)
+            minima = np.zeros((settings.values, len(holds)), np.uint32)
             if len(holds):
                 short = (hashes >> np.uint64(32)).astype(np.uint32)
                 room = np.empty_like(short)
-                for k in range(settings.hashes):
+                for k in range(settings.values):
                     np.multiply(short, factors[k], out=room)
                     np.add(room, shifts[k], out=room)
                     np.minimum.reduceat(room, starts, out=minima[k])
             bands = np.zeros((settings.bands, len(holds)), np.uint64)
-            for band in range(settings.bands):
+            for band in range(settings.bands):  # of the first minima
                 key = np.full(len(holds), band + 1, np.uint64)
                 for k in range(band * settings.rows, (band + 1) * settings.rows):
                     key = mix(key * np.uint64(0x9E3779B97F4A7C15) + minima[k])
                 bands[band] = key
             per_word = 64 // settings.bits
-            words = np.zeros((-(-settings.hashes // per_word), len(holds)), np.uint64)
+            words = np.zeros((-(-settings.values // per_word), len(holds)), np.uint64)
             mask = np.uint32((1 << settings.bits) - 1)
-            for k in range(settings.hashes):
+            for k in range(settings.values):
                 # the top bits of a minimum are near zero, its low bits are free
                 words[k // per_word] |= (minima[k] & mask).astype(np.uint64) << np.uint64(settings.bits * (k % per_word))
             yield pa.RecordBatch.from_arrays(
@@ -194,14 +202,103 @@ def signatures(documents: DataFrame, id_col: str, text_col: str, settings: Setti
 def estimate(left: str, right: str, settings: Settings) -> F.Column:
     """Similarity from two packed signatures, corrected for chance equality of ``bits`` bits."""
 
-    unequal = None
-    for i in range(-(-settings.hashes * settings.bits // 64)):
-        x = F.col(left)[i].bitwiseXOR(F.col(right)[i])
-        # one bit per value that differs
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))
-        unequal = F.bit_count(x) if unequal is None else unequal + F.bit_count(x)
+    def differing(x: F.Column, y: F.Column) -> F.Column:
+        x = x.bitwiseXOR(y)
+        step = 1
+        while step < settings.bits:  # gather the bits of a value in its lowest one
+            x = x.bitwiseOR(F.shiftrightunsigned(x, step))
+            step *= 2
+        return F.bit_count(x.bitwiseAND(F.lit(settings.marks)))
+
+    unequal = F.aggregate(F.zip_with(left, right, differing), F.lit(0), lambda total, x: total + x)
     chance = 0.5**settings.bits
-    return ((1 - unequal / F.lit(float(settings.hashes))) - chance) / (1 - chance)
+    return ((1 - unequal / F.lit(float(settings.values))) - chance) / (1 - chance)
+
+
+def _near_in_buckets(settings: Settings):
+    """Pairs of a tile in different components that the estimate lets through.
+
+    The rows of a tile follow each other; a pair that shares several buckets comes from the one with
+    the smallest key.
+    """
+
+    chance, marks = 0.5**settings.bits, np.uint64(settings.marks)
+
+    def near(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        x = one ^ two
+        step = 1
+        while step < settings.bits:
+            x |= x >> np.uint64(step)
+            step *= 2
+        unequal = np.bitwise_count(x & marks).sum(1, dtype=np.int64)
+        return ((1 - unequal / settings.values) - chance) / (1 - chance) >= settings.least_estimate
+
+    def tiles(rows: pa.RecordBatch) -> pa.RecordBatch:
+        column = {name: rows.column(name) for name in rows.schema.names}
+        key, i, j, block, root, size = (column[name].to_numpy() for name in ("key", "i", "j", "block", "root", "n"))
+        signature = column["signature"].flatten().to_numpy().view(np.uint64).reshape(rows.num_rows, -1)
+        keys, bounds = column["keys"].flatten().to_numpy(), column["keys"].offsets.to_numpy()
+        bounds = bounds - bounds[0]
+        ends = _group_ends(key, i, j)
+        last = np.repeat(ends, np.diff(np.concatenate([[0], ends])))
+        partners = last - 1 - np.arange(rows.num_rows)
+        total = np.concatenate([[0], np.cumsum(partners)])
+        found_a, found_b = [], []
+        low = 0
+        while low < rows.num_rows:
+            high = max(low + 1, int(np.searchsorted(total, total[low] + 100_000, side="right")) - 1)
+            a = np.repeat(np.arange(low, high), partners[low:high])
+            b = a + 1 + np.arange(len(a)) - np.repeat(total[low:high] - total[low], partners[low:high])
+            ask = (root[a] != root[b]) & ((i[a] == j[a]) | (block[a] != block[b]))
+            ask &= 100 * np.minimum(size[a], size[b]) >= settings.percent * np.maximum(size[a], size[b])
+            a, b = a[ask], b[ask]
+            for part in range(0, len(a), 20_000):
+                x, y = a[part : part + 20_000], b[part : part + 20_000]
+                passed = near(signature[x], signature[y])
+                found_a.append(x[passed])
+                found_b.append(y[passed])
+            low = high
+        a, b = (np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64) for x in (found_a, found_b))
+        sets: dict[int, frozenset] = {}
+
+        def own(row: int) -> frozenset:
+            if row not in sets:
+                sets[row] = frozenset(keys[bounds[row] : bounds[row + 1]].tolist())
+            return sets[row]
+
+        first = np.fromiter((min(own(x) & own(y)) == key[x] for x, y in zip(a.tolist(), b.tolist(), strict=True)), bool, len(a))
+        ids = column["id"]
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(a[first])), ids.take(pa.array(b[first]))], ["a", "b"])
+
+    def each(batches):
+        held = None
+        for batch in batches:
+            if held is not None:
+                batch = pa.concat_batches([held, batch])
+            if not batch.num_rows:
+                continue
+            ends = _group_ends(*(batch.column(name).to_numpy() for name in ("key", "i", "j")))
+            cut = int(ends[-2]) if len(ends) > 1 else 0
+            if cut:
+                yield tiles(_compact(batch.slice(0, cut)))
+            held = _compact(batch.slice(cut))
+        if held is not None and held.num_rows:
+            yield tiles(held)
+
+    return each
+
+
+def _compact(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The same rows in buffers of their own."""
+
+    return batch.take(pa.array(np.arange(batch.num_rows)))
+
+
+def _group_ends(*columns: np.ndarray) -> np.ndarray:
+    changed = np.zeros(len(columns[0]) - 1, bool)
+    for values in columns:
+        changed |= values[1:] != values[:-1]
+    return np.append(np.flatnonzero(changed) + 1, len(columns[0]))
 
 
 def _confirm(settings: Settings):
@@ -232,8 +329,6 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     of them and has the largest size. Columns besides id and text are not read.
     """
 
-    if settings.bits != 2:
-        raise ValueError("the bit masks of the estimate are those of 2 bits")
     ready(documents.sparkSession)
     marks = signatures(documents, id_col, text_col, settings).checkpoint()
     sizes = marks.select("id", "n", "one", "two")
@@ -253,18 +348,24 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     texts = texts.join(candidates, "id", "left_semi").checkpoint()
 
     stars = shared.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    links = _links(stars, known, texts, settings).checkpoint()
+    links = _confirmed(_estimated(stars, known, settings), texts, settings).checkpoint()
     joined = components(links)
 
-    # What the stars left apart: pairs of a bucket in different components.
+    # What the stars left apart: members of a bucket in different components, in tiles.
     placed = shared.select("id", "key").join(joined.withColumnRenamed("node", "id"), "id", "left")
     placed = placed.select("id", "key", F.coalesce("root", "id").alias("root"))
-    apart = placed.select("id", "key", "root", F.min("root").over(whole).alias("low"), F.max("root").over(whole).alias("high"))
-    apart = apart.where("low <> high").select("id", "key", "root")
-    left, right = apart.toDF("a", "key", "root_a"), apart.toDF("b", "key", "root_b")
-    cross = left.join(right, "key").where("a < b and root_a <> root_b").select("a", "b").distinct()
-    cross = cross.join(stars, ["a", "b"], "left_anti")
-    more = _links(cross, known, texts, settings)
+    apart = placed.select(
+        "id", "key", "root", F.min("root").over(whole).alias("low"), F.max("root").over(whole).alias("high"), F.count("*").over(whole).alias("size")
+    )
+    apart = apart.where("low <> high").select("id", "key", "root", F.ceil(F.col("size") / settings.block).cast("int").alias("blocks")).checkpoint()
+    keys = apart.groupBy("id").agg(F.collect_list("key").alias("keys"))  # at most one per band
+    rows = apart.join(known.join(keys, "id"), "id").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "root", "n", "signature", "keys")
+    id_type = rows.schema["id"].dataType.simpleString()
+    dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    near = dealt.mapInArrow(_near_in_buckets(settings), f"a {id_type}, b {id_type}")
+    more = _confirmed(near, texts, settings)
 
     # One document with several texts links them.
     own = members.select("id", "rep").distinct()
@@ -283,14 +384,19 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     )
 
 
-def _links(pairs: DataFrame, known: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """(src, dst) of the pairs (a, b) that the estimate lets through and the full sets confirm."""
+def _estimated(pairs: DataFrame, known: DataFrame, settings: Settings) -> DataFrame:
+    """The pairs (a, b) that sizes and signatures let through."""
 
     a = known.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("signature").alias("sig_a"))
     b = known.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("signature").alias("sig_b"))
     near = pairs.join(a, "a").join(b, "b")
     near = near.where(100 * F.least("n_a", "n_b") >= settings.percent * F.greatest("n_a", "n_b"))
-    near = near.where(estimate("sig_a", "sig_b", settings) >= settings.least_estimate).select("a", "b").distinct()
+    return near.where(estimate("sig_a", "sig_b", settings) >= settings.least_estimate).select("a", "b").distinct()
+
+
+def _confirmed(near: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """(src, dst) of the pairs (a, b) that the full sets confirm."""
+
     full = near.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
     id_type = full.schema["a"].dataType.simpleString()
     return map_rows(full, _confirm(settings), f"src {id_type}, dst {id_type}").distinct()
