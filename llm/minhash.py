@@ -45,9 +45,9 @@ class Settings:
     bands: int = 64
     rows: int = 6
     values: int = 1024
-    bits: int = 4
+    bits: int = 2
     deviations: float = 5.0
-    block: int = 512
+    block: int = 1024
     seed: int = 11
 
     @property
@@ -343,7 +343,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     shared = shared.where("lead <> last").select("id", "key", "lead").checkpoint()
 
     candidates = shared.select("id").distinct()
-    known = first.join(candidates, "id", "left_semi").select("id", "n", "signature")
+    known = first.join(candidates, "id", "left_semi").select("id", "n", "signature").checkpoint()
     texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = texts.join(candidates, "id", "left_semi").checkpoint()
 

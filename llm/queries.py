@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import embedding_dedup, language_id, minhash, packing, vector_search
+from llm import embedding_dedup, language_id, minhash, packing, quality, toxicity, vector_search
 from llm.textbatch import crc_bucket
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,16 @@ def op3_segment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents, learned from labels whose remainder modulo 5 is not 0."""
+
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(crc_bucket(F.col("doc_id"), 5) == 0, F.lit(False))
+    model = toxicity.fit_toxicity(documents, labels.where(~held_out))
+    found = toxicity.score_toxicity(documents, model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -43,12 +53,18 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.select_by_importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_harmonic_packing": op2_harmonic_packing,
     "op3_segment_search": op3_segment_search,
+    "op5_toxicity": op5_toxicity,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_embedding_dedup": op7_embedding_dedup,
+    "op10_importance_resampling": op10_importance_resampling,
 }
 
 #: Queries that SQL can state over whole tables.
