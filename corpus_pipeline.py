@@ -7,10 +7,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import minhash, packing
+from llm import minhash, packing, quality, toxicity
 from punctual.session import ensure_checkpoints
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents outside the importance sample go."""
+
+    return quality.keep_important(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted toxic go; the classifier learns from the labelled ones of ``docs``."""
+
+    model = toxicity.fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.remove_toxic(docs, model)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays; rows without an id stay as they are."""
 
@@ -23,7 +36,12 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs.select("doc_id", "text"))
 
 
-STAGES = [("near_duplicates", near_duplicates), ("packing", pack)]
+STAGES = [
+    ("quality", quality_filter),
+    ("toxicity", toxicity_filter),
+    ("near_duplicates", near_duplicates),
+    ("packing", pack),
+]
 
 #: Learned decisions and tokenisation are beyond SQL.
 ORACLE_SQL = None
