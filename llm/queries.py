@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import embedding_dedup, language_id, minhash, packing, quality, toxicity, vector_search
+from llm import embedding_dedup, html_text, language_id, lm_scoring, minhash, packing, piece_sampling, quality, toxicity, vector_search
 from llm.textbatch import crc_bucket
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,11 @@ def op3_segment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return lm_scoring.score_documents(documents, lm_scoring.fit_models(documents, table(spark, sf_dir, "labels")))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents, learned from labels whose remainder modulo 5 is not 0."""
 
@@ -53,6 +58,14 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op8_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+def op9_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_sampling.sample_pieces(table(spark, sf_dir, "documents"))
+
+
 def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.select_by_importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -61,9 +74,12 @@ QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_harmonic_packing": op2_harmonic_packing,
     "op3_segment_search": op3_segment_search,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_toxicity": op5_toxicity,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_embedding_dedup": op7_embedding_dedup,
+    "op8_wrapper_induction": op8_wrapper_induction,
+    "op9_piece_sampling": op9_piece_sampling,
     "op10_importance_resampling": op10_importance_resampling,
 }
 
