@@ -56,7 +56,7 @@ class Settings:
     """``documents_per_class`` bounds the training sample, ``sentence_words`` a sentence. Features in
     fewer than ``least_documents`` of the sample have no weight."""
 
-    documents_per_class: int = 2500
+    documents_per_class: int = 1500
     bits: int = 18
     sentence_words: int = 64
     steps: int = 60
