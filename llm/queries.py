@@ -87,10 +87,10 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op3_segment_search": """
         WITH usable AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS v
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ),
         scored AS (
             SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
@@ -108,14 +108,14 @@ ORACLES: dict[str, str] = {
             SELECT doc_id,
                    list_filter(regexp_split_to_array(
                        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                       '[\x20\x09-\x0D]+'), w -> w <> '') AS words
+                       '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
             FROM documents WHERE doc_id IS NOT NULL
         ),
         sets AS (
             SELECT doc_id, CASE
                 WHEN len(words) = 0 THEN []
                 WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
-                ELSE list_distinct(list_transform(range(1, len(words) - 3), i -> array_to_string(words[i:i + 4], ' ')))
+                ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')))
             END AS shingles
             FROM split
         ),
@@ -142,11 +142,11 @@ ORACLES: dict[str, str] = {
     """,
     "op7_embedding_dedup": """
         WITH RECURSIVE usable AS (
-            SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS v
+            SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v
             FROM embeddings
             WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-              AND len(list_filter(embedding, x -> x <> 0)) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
         ),
         links AS (
             SELECT a.vec_id AS a, b.vec_id AS b
