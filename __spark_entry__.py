@@ -151,7 +151,7 @@ def stream_upsert_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
     feed = data.listed_then_looked_up(data.event_records(events))
     query = start_run_stream(
-        feed, lambda batch: upsert_batch(store, batch, AS_OF), f"{folder}/offsets", available_now=True
+        feed, lambda batch, _: upsert_batch(store, batch, AS_OF), f"{folder}/offsets", available_now=True
     )
     query.awaitTermination()
     return store.runs()

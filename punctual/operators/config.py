@@ -159,9 +159,13 @@ def split_documents(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     headers = documents.select("workspace_id", F.col("document").alias("header"))
     listed = F.from_json("document", T.StructType([T.StructField("workflows", T.ArrayType(T.StringType()))]))
-    entries = documents.select(
-        "workspace_id", F.posexplode(listed["workflows"]).alias("entry_index", "entry")
-    )
+    # A text entry loses its quotes above; its JSON kind tells it from an object of the same text.
+    kinds = F.from_json("document", T.StructType([T.StructField("workflows", T.ArrayType(T.VariantType()))]))
+    both = F.arrays_zip(listed["workflows"].alias("text"), kinds["workflows"].alias("value"))
+    exploded = documents.select("workspace_id", F.posexplode(both).alias("entry_index", "pair"))
+    is_text = F.coalesce(F.schema_of_variant("pair.value") == "STRING", F.lit(False))
+    entry = F.when(is_text, F.to_json("pair.value")).otherwise(F.col("pair.text"))
+    entries = exploded.select("workspace_id", "entry_index", entry.alias("entry"))
     return headers, entries
 
 
@@ -258,9 +262,10 @@ def _entry_path(suffix: str) -> Column:
 
 
 def known_zones(df: DataFrame) -> DataFrame:
-    """The IANA zone names of the platform's zone database, about 600 short rows."""
+    """The IANA zone names that both the platform and the engine know, about 600 short rows."""
 
-    names = [(name,) for name in sorted(zoneinfo.available_timezones())]
+    engine = df.sparkSession._jvm.java.time.ZoneId.getAvailableZoneIds()
+    names = [(name,) for name in sorted(zoneinfo.available_timezones() & set(engine))]
     return df.sparkSession.createDataFrame(names, "timezone string").withColumn("_known", F.lit(True))
 
 
@@ -325,11 +330,10 @@ def _typed(entries: DataFrame) -> DataFrame:
 
 
 def repeated_jobs(entries: DataFrame) -> DataFrame:
-    """First position of every job listed more than once, by a map-side aggregate."""
+    """``entries`` are typed, so 1 and 1.0 are one job. First position of every job listed more than once, by a map-side aggregate."""
 
-    listed = F.get_json_object("entry", "$.job_id").try_cast("bigint").alias("job_id")
     return (
-        entries.select("workspace_id", "entry_index", listed)
+        entries.filter("job_id IS NOT NULL")
         .groupBy("workspace_id", "job_id")
         .agg(F.min("entry_index").alias("_first"), F.count("*").alias("_entries"))
         .filter("_entries > 1")
@@ -345,10 +349,11 @@ def judged_entries(headers: DataFrame, entries: DataFrame, zones: DataFrame) ->
     """
 
     defaults = headers.select("workspace_id", "default_timezone")
-    zoned = salted_join(_typed(entries), defaults, ["workspace_id"], F.col("entry_index"), "left")
+    typed = _typed(entries)
+    zoned = salted_join(typed, defaults, ["workspace_id"], F.col("entry_index"), "left")
     zoned = zoned.withColumn("timezone", F.coalesce("own_timezone", "default_timezone"))
     found = salted_join(
-        zoned, repeated_jobs(entries), ["workspace_id", "job_id"], F.col("entry_index"), "left"
+        zoned, repeated_jobs(typed), ["workspace_id", "job_id"], F.col("entry_index"), "left"
     ).join(F.broadcast(zones), "timezone", "left")
     misplaced = schedule_field_problem()
     duplicate = F.concat(F.lit("duplicates workflows["), F.col("_first"), F.lit("]"))
@@ -385,7 +390,7 @@ def validate_config(
     reported = F.when(F.col("_field"), F.col("field_problems")).otherwise(F.col("cross_problems"))
     errors = decided.select("workspace_id", "entry_index", F.inline(reported))
     if ordered:
-        errors = errors.orderBy("workspace_id", F.asc_nulls_first("entry_index"), "path")
+        errors = errors.orderBy("workspace_id", F.asc_nulls_first("entry_index"), F.col("path") != "root", "path")
     valid = salted_join(listed, verdicts, ["workspace_id"], F.col("entry_index")).filter(~F.col("_refused"))
     return valid.drop("field_problems", "cross_problems", "_field", "_refused"), errors
 

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # A workflow is one narrow row when runs look up their workflow, and at most about 190 rows of
 # about 100 bytes when runs look up their period by day. Both limits keep a broadcast near 100 MB.
 BROADCAST_WORKFLOWS = 100_000
 BROADCAST_PERIOD_WORKFLOWS = 5_000
-SALTS = 32
+# A key that owns a third of the rows should spread over about as many tasks as a shuffle has.
+LEAST_SALTS, MOST_SALTS = 8, 1024
 POSITION_BUCKET = 10_000
 
 
@@ -34,6 +35,13 @@ BROADCAST = JoinPlan(broadcast_workflows=True, broadcast_periods=True)
 SHUFFLE = JoinPlan(broadcast_workflows=False, broadcast_periods=False)
 
 
+def salt_count(spark: SparkSession) -> int:
+    """A third of the shuffle partitions, within bounds; the small side is repeated so often."""
+
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(LEAST_SALTS, min(MOST_SALTS, partitions // 3))
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -47,8 +55,9 @@ def salted_join(
     salt, so a key that owns a third of the left rows still runs in many tasks.
     """
 
-    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salts = salt_count(left.sparkSession)
+    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     salted_right = right.withColumn("_salt", every_salt)
     return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
 

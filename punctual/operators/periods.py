@@ -15,7 +15,7 @@ from punctual.functions.schedules import (
     last_and_next_period,
     period_array,
 )
-from punctual.operators.joins import BROADCAST, JoinPlan
+from punctual.operators.joins import SHUFFLE, JoinPlan
 
 PERIOD_FIELDS = ["deadline_date", "previous_deadline_utc", "deadline_utc", "next_deadline_utc"]
 
@@ -70,7 +70,7 @@ def _second_slot() -> F.Column:
     return micros - F.pmod(micros - 1, F.lit(1_000_000))
 
 
-def first_successes(periods: DataFrame, runs: DataFrame, plan: JoinPlan = BROADCAST) -> DataFrame:
+def first_successes(periods: DataFrame, runs: DataFrame, plan: JoinPlan = SHUFFLE) -> DataFrame:
     """First success inside (previous deadline, deadline] of each period that has one.
 
     Periods are repeated for every UTC day they touch, so a run probes the one or two periods of
@@ -110,7 +110,7 @@ def first_successes(periods: DataFrame, runs: DataFrame, plan: JoinPlan = BROADC
     )
 
 
-def match_runs(periods: DataFrame, runs: DataFrame, plan: JoinPlan = BROADCAST) -> DataFrame:
+def match_runs(periods: DataFrame, runs: DataFrame, plan: JoinPlan = SHUFFLE) -> DataFrame:
     """Every period with its first on-time completion and its status."""
 
     first = first_successes(periods, runs, plan)

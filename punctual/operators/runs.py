@@ -10,7 +10,7 @@ from punctual.functions import run_states
 from punctual.functions.instants import AsOf, epoch_ms_to_ts, instant, local_date, midnight, shifted
 from punctual.functions.instants import whole_seconds_between
 from punctual.functions.sla import is_unsuccessful
-from punctual.operators.joins import BROADCAST, JoinPlan, attach
+from punctual.operators.joins import SHUFFLE, JoinPlan, attach
 from punctual.operators.periods import with_local_today
 
 
@@ -68,7 +68,7 @@ def monitored_runs(
     as_of: AsOf,
     window_days: int,
     terminal_only: bool,
-    plan: JoinPlan = BROADCAST,
+    plan: JoinPlan = SHUFFLE,
 ) -> DataFrame:
     """Runs in the window with the columns of their workflow."""
 
@@ -86,7 +86,7 @@ def newest_start() -> Column:
     return F.max("run_start_time").alias("run_start_time")
 
 
-def with_latest_run(newest: DataFrame, recent: DataFrame, plan: JoinPlan = BROADCAST) -> DataFrame:
+def with_latest_run(newest: DataFrame, recent: DataFrame, plan: JoinPlan = SHUFFLE) -> DataFrame:
     """Add the latest run to one row per workflow that carries its newest start.
 
     Picking a whole row per group in one aggregation would sort every run. The newest start alone is
@@ -105,7 +105,7 @@ def with_latest_run(newest: DataFrame, recent: DataFrame, plan: JoinPlan = BROAD
     )
 
 
-def latest_runs(monitored: DataFrame, recent: DataFrame, plan: JoinPlan = BROADCAST) -> DataFrame:
+def latest_runs(monitored: DataFrame, recent: DataFrame, plan: JoinPlan = SHUFFLE) -> DataFrame:
     """Newest run per workflow by start, then run id."""
 
     newest = monitored.groupBy(*S.WORKFLOW_KEY, "job_id").agg(newest_start())

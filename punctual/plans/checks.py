@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from punctual import schemas as S
 from punctual.functions import sla
 from punctual.functions.schedules import CURRENT, HISTORY, ScheduleWindow
-from punctual.operators.joins import BROADCAST, JoinPlan
+from punctual.operators.joins import SHUFFLE, JoinPlan
 from punctual.operators.periods import deadline_periods, eligible, last_and_next_due, match_runs
 
 
 def due_in_both_windows(
     workflows: DataFrame,
     runs: DataFrame,
-    plan: JoinPlan = BROADCAST,
+    plan: JoinPlan = SHUFFLE,
     history: ScheduleWindow = HISTORY,
 ) -> DataFrame:
     """Latest due and next deadline of every workflow, once from each window.

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 RUN_STATE_TABLE = "workflow_run_api_state"
 JOB_STATE_TABLE = "workflow_job_api_state"
 SLA_CONFIG_TABLE = "workflow_sla_config"
+OBSERVED_TABLE = "workflow_run_observations"
 
 SUCCEEDED, FAILED, CANCELLED, SKIPPED = "SUCCEEDED", "FAILED", "CANCELLED", "SKIPPED"
 UNSUCCESSFUL_STATES = (FAILED, CANCELLED, SKIPPED)
@@ -56,6 +57,16 @@ RUN_STATE = T.StructType(
     ]
 )
 
+OBSERVED = T.StructType(
+    [
+        _field("workspace_id", T.StringType(), False, "Workspace that owns the job"),
+        _field("job_id", T.StringType(), False, "Job identifier"),
+        _field("run_id", T.LongType(), False, "Run identifier"),
+        _field("observed_at", T.TimestampType(), True, "When the stored state was observed, UTC"),
+        _field("feed_rank", T.IntegerType(), True, "Rank of the feed that showed it"),
+    ]
+)
+
 JOB_STATE = T.StructType(
     [
         _field("workspace_id", T.StringType(), False, "Workspace that owns the job"),

@@ -11,6 +11,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Checkpoints go with the frames that need them; a stream would fill the shared folder else.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # The store replaces only the partitions a commit touches.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

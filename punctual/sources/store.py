@@ -1,16 +1,15 @@
-"""The three state tables in the Spark catalog.
+"""The state tables in the Spark catalog, as versions behind a pointer.
 
-Run state is partitioned by workspace and start date, the other two by workspace. A commit rewrites
-only the partitions it touches, by Spark's dynamic partition overwrite: tasks write to a staging
-folder and the partitions change when the job commits. Every commit can be repeated with the same
-result, so a batch that was interrupted is simply applied again. With a transactional provider such
-as Delta the same statements become atomic across partitions.
+Every commit writes the partitions it changes under a commit id of its own and then a new list of the
+live partitions, in which untouched ones keep the commit that wrote them. Last it moves the pointer, a
+table property, to that list. Files that a reader sees are never changed: a commit that breaks off
+leaves the version before it whole, and is simply applied again. Partition lists are tables too, so
+neither partitions nor workspaces pass through the driver.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +17,8 @@ from pyspark.sql import functions as F
 from punctual import schemas as S
 from punctual.functions.instants import AsOf, instant
 from punctual.functions.run_states import quoted, validated_workspace_id
-from punctual.operators.config import config_changed
-from punctual.operators.state import expire_runs, upsert_jobs
+from punctual.operators.config import config_changed, config_difference
+from punctual.operators.state import feed_rank, upsert_jobs
 from punctual.session import ensure_checkpoints
 
 # Run keys of one batch that may be broadcast: about 80 bytes each, so 40 MB.
@@ -29,7 +28,9 @@ _TABLES = {
     S.RUN_STATE_TABLE: (S.RUN_STATE, ["workspace_id", "start_date"], "Latest state of every monitored run"),
     S.JOB_STATE_TABLE: (S.JOB_STATE, ["workspace_id"], "Collection state of every monitored job"),
     S.SLA_CONFIG_TABLE: (S.SLA_CONFIG, ["workspace_id"], "Valid schedule configuration"),
+    S.OBSERVED_TABLE: (S.OBSERVED, ["workspace_id"], "When the stored state of a run was observed"),
 }
+_VERSION = "punctual.version"
 
 
 def start_date() -> Column:
@@ -59,29 +60,56 @@ class StateStore:
         for table, (schema, partitions, comment) in _TABLES.items():
             columns = [
                 f"{field.name} {field.dataType.simpleString()}"
-                f"{'' if field.nullable else ' NOT NULL'} COMMENT '{field.metadata['comment']}'"
+                f"{'' if field.nullable else ' NOT NULL'} COMMENT '{field.metadata.get('comment', '')}'"
                 for field in schema
             ]
+            columns.append("commit_id STRING COMMENT 'Commit that wrote the row'")
+            listed = ["workspace_id STRING", "commit_id STRING", "version BIGINT"]
             if "start_date" in partitions:
                 columns.append("start_date DATE COMMENT 'UTC date of the start'")
+                listed.insert(1, "start_date DATE")
             self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {self._name(table)} ({', '.join(columns)}) "
-                f"USING {self.provider} PARTITIONED BY ({', '.join(partitions)}) COMMENT '{comment}'"
+                f"CREATE TABLE IF NOT EXISTS {self._name(table)} ({', '.join(columns)}) USING {self.provider} "
+                f"PARTITIONED BY (commit_id, {', '.join(partitions)}) COMMENT '{comment}'"
             )
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {self._name(table + '_partitions')} ({', '.join(listed)}) "
+                f"USING {self.provider} PARTITIONED BY (version) COMMENT 'Live partitions by version'"
+            )
+
+    def version(self, table: str) -> int:
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {self._name(table)}").filter(F.col("key") == _VERSION).first()
+        return int(found["value"]) if found else 0
+
+    def _listed(self, table: str, version: int | None = None) -> DataFrame:
+        """Live partitions with the commit that wrote each."""
+
+        current = self.version(table) if version is None else version
+        listed = self.spark.table(self._name(table + "_partitions")).filter(F.col("version") == current)
+        return listed.select("commit_id", *_TABLES[table][1])
+
+    def _live(self, table: str, where: Column | None = None) -> DataFrame:
+        """Current rows with their partition columns; ``where`` may name partition columns only.
+
+        The semi join to the partition list prunes the scan to live files.
+        """
+
+        listed, rows = self._listed(table), self.spark.table(self._name(table))
+        if where is not None:
+            listed, rows = listed.filter(where), rows.filter(where)
+        return rows.join(listed, ["commit_id", *_TABLES[table][1]], "left_semi")
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.table(self._name(table)).select(*_TABLES[table][0].names)
+        return self._live(table).select(*_TABLES[table][0].names)
 
     def runs(self, since: AsOf | None = None) -> DataFrame:
         """Run state; ``since`` prunes to the start-date partitions that can hold later starts."""
 
-        table = self.spark.table(self._name(S.RUN_STATE_TABLE))
-        if since is not None:
-            first = instant(since)
-            table = table.filter(
-                (F.col("start_date") >= F.to_date(first)) & (F.col("period_start_time") >= first)
-            )
-        return table.select(*S.RUN_STATE.names)
+        if since is None:
+            return self.read(S.RUN_STATE_TABLE)
+        first = instant(since)
+        rows = self._live(S.RUN_STATE_TABLE, F.col("start_date") >= F.to_date(first))
+        return rows.filter(F.col("period_start_time") >= first).select(*S.RUN_STATE.names)
 
     def jobs(self) -> DataFrame:
         return self.read(S.JOB_STATE_TABLE)
@@ -89,102 +117,119 @@ class StateStore:
     def config(self) -> DataFrame:
         return self.read(S.SLA_CONFIG_TABLE)
 
-    def _partitions(self, rows: DataFrame, table: str) -> list:
-        """Distinct partition values of some rows: workspaces by dates, never data rows."""
-
-        columns = _TABLES[table][1]
-        return rows.select(*columns).distinct().collect()
-
-    def _overwrite(self, table: str, rows: DataFrame) -> None:
-        ordered = rows.select(*self.spark.table(self._name(table)).columns)
-        # Rebalancing writes few files per partition, yet splits a partition that holds most rows.
-        balanced = ordered.hint("rebalance", *_TABLES[table][1])
-        balanced.write.mode("overwrite").insertInto(self._name(table))
-
-    def _drop(self, table: str, partitions: list) -> None:
-        columns = _TABLES[table][1]
-        for values in partitions:
-            spec = ", ".join(f"{column} = '{values[column]}'" for column in columns)
-            self.spark.sql(f"ALTER TABLE {self._name(table)} DROP IF EXISTS PARTITION ({spec})")
-
-    def _replace(self, table: str, touched: list, rows: DataFrame) -> None:
-        """Overwrite the touched partitions and drop those that end up empty."""
-
-        remaining = set(self._partitions(rows, table))
-        self._overwrite(table, rows)
-        self._drop(table, [values for values in touched if values not in remaining])
-
-    def _runs_in(self, touched: list) -> DataFrame:
-        """Stored runs of some partitions; the literal conditions prune the scan to them."""
-
-        dates: dict[str, list] = {}
-        for values in touched:
-            dates.setdefault(values["workspace_id"], []).append(values["start_date"])
-        wanted = [
-            (F.col("workspace_id") == workspace) & F.col("start_date").isin(*days)
-            for workspace, days in dates.items()
-        ]
-        return self.spark.table(self._name(S.RUN_STATE_TABLE)).filter(reduce(or_, wanted))
+    def observations(self) -> DataFrame:
+        return self.read(S.OBSERVED_TABLE)
+
+    def _commit(self, table: str, touched: DataFrame, rows: DataFrame | None) -> None:
+        """Replace the touched partitions by ``rows``, which lie in them; the pointer moves last."""
+
+        partitions, commit, before = _TABLES[table][1], uuid.uuid4().hex, self.version(table)
+        # distinct first, so that the list is joined as one row per partition
+        listed = self._listed(table, before).join(touched.select(*partitions).distinct(), partitions, "left_anti")
+        if rows is not None:
+            stored = self.spark.table(self._name(table))
+            ordered = rows.withColumn("commit_id", F.lit(commit)).select(*stored.columns)
+            # Rebalancing writes few files per partition, yet splits a partition that holds most rows.
+            ordered.hint("rebalance", *partitions).write.mode("append").insertInto(self._name(table))
+            written = self.spark.table(self._name(table)).filter(F.col("commit_id") == commit)
+            listed = listed.unionByName(written.select("commit_id", *partitions).distinct())
+        target = self.spark.table(self._name(table + "_partitions"))
+        listed = listed.withColumn("version", F.lit(before + 1).cast("bigint")).select(*target.columns)
+        # overwrites only what a broken commit may have left under this version
+        listed.write.mode("overwrite").insertInto(self._name(table + "_partitions"))
+        self._point(table, before + 1)
+
+    def _point(self, table: str, version: int) -> None:
+        self.spark.sql(f"ALTER TABLE {self._name(table)} SET TBLPROPERTIES ('{_VERSION}' = '{version}')")
 
     def commit_runs(self, incoming: DataFrame, removed: DataFrame | None = None) -> None:
         """Upsert unique run rows and remove others, rewriting only the partitions involved.
 
         A run can move to another start date once its real start is known, so the partitions that
-        hold the old rows are looked up by key first. That lookup reads key columns only, and the
-        keys of a batch are broadcast to it while they are few.
+        hold the old rows are looked up by key, in the workspaces of the batch and on key columns
+        only. The keys of a batch are broadcast to it while they are few.
         """
 
-        # Both sides are read several times below and one of them may read the table itself.
+        # Read several times below, and it may read the table itself.
         incoming = incoming.withColumn("start_date", start_date()).checkpoint()
         keys = incoming.select(*S.RUN_KEY)
         if removed is not None:
             keys = keys.unionByName(removed.select(*S.RUN_KEY)).distinct().checkpoint()
         if keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
             keys = F.broadcast(keys)
-        stored = self.spark.table(self._name(S.RUN_STATE_TABLE))
-        held = stored.join(keys, S.RUN_KEY, "left_semi").select("workspace_id", "start_date")
-        arriving = incoming.select("workspace_id", "start_date")
-        touched = self._partitions(held.unionByName(arriving), S.RUN_STATE_TABLE)
-        if touched:
-            kept = self._runs_in(touched).join(keys, S.RUN_KEY, "left_anti")
-            self._replace(S.RUN_STATE_TABLE, touched, kept.unionByName(incoming))
+        live = self._live(S.RUN_STATE_TABLE)
+        place = ["workspace_id", "start_date"]
+        held = live.join(keys, S.RUN_KEY, "left_semi").select(*place)
+        touched = held.unionByName(incoming.select(*place)).distinct().checkpoint()
+        kept = live.join(touched, place, "left_semi").join(keys, S.RUN_KEY, "left_anti").drop("commit_id")
+        self._commit(S.RUN_STATE_TABLE, touched, kept.unionByName(incoming))
 
-    def expire(self, workspace_id: str, cutoff: AsOf) -> None:
-        """Drop whole expired dates as partitions and rewrite only the date of the cutoff."""
+    def expire(self, cutoff: AsOf, workspaces: DataFrame | None = None) -> None:
+        """Remove the runs of some workspaces (all by default) that started before the cutoff.
 
-        validated_workspace_id(workspace_id)
-        stored = self.spark.table(self._name(S.RUN_STATE_TABLE))
-        cutoff_date = F.to_date(instant(cutoff))
-        mine = F.col("workspace_id") == workspace_id
-        old = stored.filter(mine & (F.col("start_date") < cutoff_date))
-        self._drop(S.RUN_STATE_TABLE, self._partitions(old, S.RUN_STATE_TABLE))
-        edge = stored.filter(mine & (F.col("start_date") == cutoff_date))
-        touched = self._partitions(edge, S.RUN_STATE_TABLE)
-        if touched:
-            self._replace(S.RUN_STATE_TABLE, touched, expire_runs(edge, workspace_id, cutoff))
+        Whole dates leave the partition list; only the date of the cutoff is written again.
+        """
+
+        edge = F.to_date(instant(cutoff))
+        listed = self._listed(S.RUN_STATE_TABLE).filter(F.col("start_date") <= edge)
+        rows = self._live(S.RUN_STATE_TABLE, F.col("start_date") == edge)
+        if workspaces is not None:
+            chosen = workspaces.select("workspace_id").distinct()
+            listed, rows = (df.join(chosen, "workspace_id", "left_semi") for df in (listed, rows))
+        kept = rows.filter(F.col("period_start_time") >= instant(cutoff)).drop("commit_id")
+        if not listed.isEmpty():
+            self._commit(S.RUN_STATE_TABLE, listed.checkpoint(), kept)
+
+    def commit_observations(self, seen: DataFrame) -> None:
+        """Keep when the state of each run was observed; newer observations replace older ones."""
+
+        seen = seen.select(*S.OBSERVED.names).checkpoint()
+        workspaces = seen.select("workspace_id").distinct()
+        stored = self.observations().join(workspaces, "workspace_id", "left_semi")
+        newest = F.max(F.struct("observed_at", "feed_rank")).alias("newest")
+        rows = stored.unionByName(seen).groupBy(*S.RUN_KEY).agg(newest).select(*S.RUN_KEY, "newest.*")
+        self._commit(S.OBSERVED_TABLE, workspaces, rows)
+
+    def not_outdated(self, records: DataFrame) -> DataFrame:
+        """Records (one per run) at least as new as what the store has seen of their run."""
+
+        seen = self.observations().select(*S.RUN_KEY, F.struct("observed_at", "feed_rank").alias("_seen"))
+        seen = seen.withColumn("job_id", F.col("job_id").cast("bigint"))
+        own = F.struct("observed_at", feed_rank(F.col("feed_kind")).alias("feed_rank"))
+        joined = records.join(seen, S.RUN_KEY, "left")
+        return joined.filter(F.col("_seen").isNull() | (own >= F.col("_seen"))).select(*records.columns)
 
     def commit_jobs(self, updates: DataFrame) -> None:
         updates = updates.checkpoint()
         workspaces = updates.select("workspace_id").distinct()
         stored = self.jobs().join(workspaces, "workspace_id", "left_semi")
-        self._overwrite(S.JOB_STATE_TABLE, upsert_jobs(stored, updates))
+        self._commit(S.JOB_STATE_TABLE, workspaces, upsert_jobs(stored, updates))
 
     def replace_config(self, workspace_id: str, rows: DataFrame) -> bool:
         """Replace one workspace's configuration if it changed; an empty one removes every row."""
 
         validated_workspace_id(workspace_id)
         mine = F.col("workspace_id") == workspace_id
-        stored = self.config().filter(mine)
-        if not config_changed(stored, rows):
+        if not rows.filter(~mine | F.col("workspace_id").isNull()).isEmpty():
+            raise ValueError(f"the rows must all belong to workspace {workspace_id}")
+        if not config_changed(self.config().filter(mine), rows):
             return False
-        touched = self._partitions(stored, S.SLA_CONFIG_TABLE)
-        self._replace(S.SLA_CONFIG_TABLE, touched, rows)
+        touched = self.spark.range(1).select(F.lit(workspace_id).alias("workspace_id"))
+        self._commit(S.SLA_CONFIG_TABLE, touched, rows)
         return True
 
+    def commit_config(self, workspaces: DataFrame, rows: DataFrame) -> None:
+        """Replace the configuration of those workspaces whose rows changed, in one commit."""
+
+        mine = rows.join(workspaces, "workspace_id", "left_semi").checkpoint()
+        stored = self.config().join(workspaces, "workspace_id", "left_semi")
+        changed = config_difference(stored, mine).select("workspace_id").distinct().checkpoint()
+        if not changed.isEmpty():
+            self._commit(S.SLA_CONFIG_TABLE, changed, mine.join(changed, "workspace_id", "left_semi"))
+
     def purge(self, workspace_id: str) -> None:
-        """Remove every row of a workspace from all three tables."""
+        """Remove every row of a workspace from all tables."""
 
         validated_workspace_id(workspace_id)
         for table in _TABLES:
-            stored = self.spark.table(self._name(table)).filter(F.col("workspace_id") == workspace_id)
-            self._drop(table, self._partitions(stored, table))
+            self._commit(table, self._listed(table).filter(F.col("workspace_id") == workspace_id), None)

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from punctual import schemas as S
-from punctual.functions.instants import AsOf
+from punctual.functions.instants import AsOf, shifted
+from punctual.operators.config import config_rows, split_documents, validate_config
 from punctual.operators.joins import JoinPlan
-from punctual.operators.runs import to_run_state
-from punctual.operators.state import combine_feeds, retention_cutoff
+from punctual.operators.state import feed_rank, latest_per_key, retention_cutoff
 from punctual.plans.collection import changed_runs, collect_round, failed_jobs, removed_runs
 from punctual.plans.history import matched_history
 from punctual.plans.status import workflow_status
@@ -22,12 +23,19 @@ POLL_INTERVAL = "5 minutes"
 
 
 def upsert_batch(store: StateStore, batch: DataFrame, collected_at: AsOf) -> None:
-    """Keep the newest record per run of a batch and upsert it. Repeating a batch changes nothing.
+    """Keep the newest record per run of a batch and apply it; a missing run is removed.
 
-    No watermark is used: inside the retention no record is too late.
+    Files of a landing folder come in any order, so a record observed before the stored state of its
+    run changes nothing. Repeating a batch changes nothing either. No watermark is used: inside the
+    retention no record is too late.
     """
 
-    store.commit_runs(to_run_state(combine_feeds(batch), collected_at))
+    rank = feed_rank(F.col("feed_kind"))
+    newest = latest_per_key(batch, S.RUN_KEY, [F.col("observed_at").desc(), rank.desc(), F.col("status.state").desc()])
+    newest = store.not_outdated(newest).checkpoint()
+    store.commit_runs(changed_runs(newest, collected_at), removed_runs(newest))
+    job = F.col("job_id").cast("string").alias("job_id")
+    store.commit_observations(newest.select("workspace_id", job, "run_id", "observed_at", rank.alias("feed_rank")))
 
 
 def collect_batch(
@@ -37,33 +45,64 @@ def collect_batch(
     errors: DataFrame,
     as_of: AsOf,
     raise_on_failure: bool = False,
+    workspaces: DataFrame | None = None,
 ) -> DataFrame:
-    """Apply one collection round to the store and return the jobs that failed."""
+    """Apply one collection round to the store and return the jobs that failed.
 
-    config = store.config()
-    for row in config.select("workspace_id").distinct().collect():
-        store.expire(row["workspace_id"], retention_cutoff(as_of))
-    state = collect_round(store.runs(), store.jobs(), config, batch, details, errors, as_of)
-    # The round reads the tables its commits rewrite, so its results are fixed before the first one.
+    Retention holds for ``workspaces`` (every stored one by default), configured or not. The error of
+    ``raise_on_failure`` names every failed job.
+    """
+
+    store.expire(retention_cutoff(as_of), workspaces)
+    state = collect_round(store.runs(), store.jobs(), store.config(), batch, details, errors, as_of)
+    # The round reads the tables its commits replace, so its results are fixed before the first one.
     changes, updates = state.changes.checkpoint(), state.job_updates.checkpoint()
     store.commit_runs(changed_runs(changes, as_of), removed_runs(changes))
     store.commit_jobs(updates)
     failed = failed_jobs(updates)
-    if raise_on_failure and not failed.isEmpty():
-        shown = [row["job_id"] for row in failed.orderBy("job_id").limit(20).collect()]
-        raise RuntimeError(f"Jobs API collection failed for job IDs: {', '.join(shown)}")
+    if raise_on_failure:
+        named = failed.agg(F.array_join(F.array_sort(F.collect_set("job_id")), ", ").alias("ids")).first()["ids"]
+        if named:
+            raise RuntimeError(f"Jobs API collection failed for job IDs: {named}")
     return failed
 
 
+def collect_documents(
+    store: StateStore,
+    documents: DataFrame,
+    batch: DataFrame,
+    details: DataFrame,
+    errors: DataFrame,
+    as_of: AsOf,
+) -> tuple[DataFrame, DataFrame]:
+    """The collector run as one operation: documents (workspace_id, document) to a committed round.
+
+    Valid documents replace their workspace's configuration where it changed; a refused document
+    leaves the stored one. Then the round runs over all configurations. Returns the validation errors
+    and the failed jobs.
+    """
+
+    valid, problems = validate_config(*split_documents(documents))
+    problems = problems.checkpoint()
+    refused = problems.select("workspace_id").distinct()
+    accepted = documents.select("workspace_id").distinct().join(refused, "workspace_id", "left_anti")
+    store.commit_config(accepted, config_rows(valid, as_of))
+    return problems, collect_batch(store, batch, details, errors, as_of)
+
+
 def start_run_stream(
     feed: DataFrame,
-    apply: Callable[[DataFrame], None],
+    apply: Callable[[DataFrame, datetime], None],
     checkpoint: str,
     available_now: bool = False,
+    clock: Callable[[], datetime] = lambda: datetime.now(UTC),
 ) -> StreamingQuery:
-    """Run ``apply`` on every micro-batch of a feed. One query per store keeps a single writer."""
+    """Run ``apply`` on every micro-batch of a feed with the instant the batch begins.
+
+    One query per store keeps a single writer.
+    """
 
-    writer = feed.writeStream.foreachBatch(lambda batch, _: apply(batch)).option(
+    writer = feed.writeStream.foreachBatch(lambda batch, _: apply(batch, clock())).option(
         "checkpointLocation", checkpoint
     )
     trigger = {"availableNow": True} if available_now else {"processingTime": POLL_INTERVAL}
@@ -79,7 +118,8 @@ def evaluate_batch(
     config = store.config().join(touched, ["workspace_id", "configured_job_id"], "left_semi")
     config = config.select(*S.SLA_CONFIG.names)
     plan = plan or JoinPlan.measure(config)
-    jobs, runs = store.jobs(), store.runs()
+    # The longest window of both views; older start dates aren't read.
+    jobs, runs = store.jobs(), store.runs(shifted(as_of, days=-S.SLA_RUN_WINDOW_DAYS - 1))
     return (
         workflow_status(config, jobs, runs, as_of, plan),
         matched_history(config, runs, as_of, plan),

@@ -10,7 +10,7 @@ from punctual.operators.state import retention_cutoff
 from punctual.sources import feeds
 from punctual.sources import store as store_module
 from punctual.sources.store import StateStore
-from punctual.streaming.collector import collect_batch, evaluate_batch, start_run_stream, upsert_batch
+from punctual.streaming.collector import collect_batch, collect_documents, evaluate_batch, start_run_stream, upsert_batch
 
 NOW = at("2026-08-25 12:00")
 
@@ -42,9 +42,8 @@ def test_commit_rewrites_only_touched_dates(spark, store, make):
     )
 
     def files():
-        table = spark.table(store._name(S.RUN_STATE_TABLE))
-        named = table.select("workspace_id", "start_date", F.input_file_name())
-        return {(r[0], str(r[1])): r[2] for r in named.collect()}
+        listed = store._listed(S.RUN_STATE_TABLE).select("workspace_id", "start_date", "commit_id")
+        return {(r[0], str(r[1])): r[2] for r in listed.collect()}
 
     before = files()
     store.commit_runs(make.runs((1, 1, 2, "2026-08-21 10:00", "2026-08-21 11:00", "SUCCEEDED")))
@@ -59,11 +58,6 @@ def test_commit_rewrites_only_touched_dates(spark, store, make):
 
 def test_touched_partitions_prune_the_scan(store, make, capsys):
     store.commit_runs(make.runs((1, 1, 1, "2026-08-20 10:00", None, "RUNNING"), (1, 1, 2, "2026-08-21 10:00", None, "RUNNING")))
-    touched = [{"workspace_id": "1", "start_date": at("2026-08-21 00:00").date()}]
-    scan = store._runs_in(touched)
-    assert rows(scan, "run_id") == [(2,)]
-    scan.explain("formatted")
-    assert "start_date" in capsys.readouterr().out.split("PartitionFilters: ")[1].splitlines()[0]
     store.runs(at("2026-08-21 00:00")).explain("formatted")
     assert "start_date" in capsys.readouterr().out.split("PartitionFilters: ")[1].splitlines()[0]
 
@@ -99,7 +93,7 @@ def test_expire_and_purge(store, make):
             (2, 1, 4, "2026-06-20 10:00", None, "RUNNING"),
         )
     )
-    store.expire("1", retention_cutoff(NOW))
+    store.expire(retention_cutoff(NOW), store.spark.createDataFrame([("1",)], "workspace_id string"))
     assert rows(store.runs(), "run_id") == [(3,), (4,)]
     store.purge("2")
     assert rows(store.runs(), "run_id") == [(3,)]
@@ -153,10 +147,67 @@ def test_collect_batch_end_to_end(spark, store, make):
 
 def test_empty_config_still_expires(spark, store, make):
     store.commit_runs(make.runs((111, 42, 700, "2026-06-11 12:00", None, "RUNNING")))
-    store.expire("111", retention_cutoff(NOW))
+    empty = [spark.createDataFrame([], schema) for schema in (S.RAW_RUN, S.JOB_DETAILS, S.COLLECTION_ERRORS)]
+    collect_batch(store, *empty, NOW)
     assert store.runs().count() == 0
 
 
+def test_every_failed_job_is_named(spark, store, make):
+    store.replace_config("111", make.config(*[(111, i, i, "daily", "06:00", "UTC", {}) for i in range(1, 31)]))
+    empty = [spark.createDataFrame([], schema) for schema in (S.RAW_RUN, S.JOB_DETAILS, S.COLLECTION_ERRORS)]
+    with pytest.raises(RuntimeError) as raised:
+        collect_batch(store, *empty, NOW, raise_on_failure=True)
+    assert all(f" {i}," in f"{raised.value}," for i in range(1, 31))
+
+
+def test_missing_and_late_records_of_a_stream(spark, store):
+    feed = lambda *records: spark.createDataFrame(list(records), S.RAW_RUN)
+    upsert_batch(store, feed(record(1, 1, "2026-08-24 05:00", "2026-08-24 06:00", seen=at("2026-08-25 13:00")), record(1, 2, "2026-08-24 05:00")), NOW)
+    # an hour older, landed later
+    upsert_batch(store, feed(record(1, 1, "2026-08-24 05:00", None, "RUNNING", None, "active"), record(1, 2, None, kind="missing")), NOW)
+    assert rows(store.runs(), "run_id", "result_state") == [(1, "SUCCEEDED")]
+
+
+def test_a_broken_commit_leaves_every_row(store, make, monkeypatch):
+    old = make.runs((1, 1, 1, "2026-08-20 10:00", None, "RUNNING"), (1, 1, 2, "2026-08-20 11:00", None, "RUNNING"))
+    store.commit_runs(old)
+    new = make.runs((1, 1, 1, "2026-08-20 10:00", None, "QUEUED"))
+
+    def broken(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(StateStore, "_point", broken)
+        with pytest.raises(OSError):
+            store.commit_runs(new)
+    assert rows(store.runs()) == rows(old)
+    store.commit_runs(new)
+    assert rows(store.runs(), "run_id", "result_state") == [(1, "QUEUED"), (2, "RUNNING")]
+
+
+def test_a_commit_over_thousands_of_workspaces(spark, store):
+    many = spark.range(5000).selectExpr(
+        "cast(id + 1 as string) workspace_id", "'1' job_id", "id run_id", "timestamp'2026-08-20 10:00:00' period_start_time",
+        "cast(null as timestamp) period_end_time", "'RUNNING' result_state",
+    )
+    store.commit_runs(many.repartition(2))
+    assert store.runs().count() == 5000
+
+
+def test_rows_of_another_workspace_are_refused(store, make):
+    with pytest.raises(ValueError, match="workspace 1"):
+        store.replace_config("1", make.config((2, 1, 5, "daily", "06:00", "UTC", {})))
+
+
+def test_documents_to_a_committed_round(spark, store):
+    documents = spark.createDataFrame([("111", "{"), ("112", json.dumps({"version": 3, "workflows": ["{}"]}))], "workspace_id string, document string")
+    empty = [spark.createDataFrame([], schema) for schema in (S.RAW_RUN, S.JOB_DETAILS, S.COLLECTION_ERRORS)]
+    problems, failed = collect_documents(store, documents, *empty, NOW)
+    assert {r["workspace_id"] for r in problems.collect()} == {"111", "112"} and failed.count() == 0
+    assert any("is not of type 'object'" in r["message"] for r in problems.collect())
+    assert store.config().count() == 0
+
+
 def test_stream_equals_batch(spark, store, tmp_path):
     first = [record(1, i, "2026-08-24 05:00", None, "RUNNING", None, "active") for i in range(20)]
     second = [record(1, i, "2026-08-24 05:00", "2026-08-24 06:00", kind="completed", seen=at("2026-08-25 13:00")) for i in range(0, 20, 2)]
@@ -165,9 +216,9 @@ def test_stream_equals_batch(spark, store, tmp_path):
     for part in (first, second, third):
         spark.createDataFrame(part, S.RAW_RUN).coalesce(1).write.mode("append").parquet(landing)
     feed = feeds.stream_run_feed(spark, landing, files_per_batch=1)
-    query = start_run_stream(feed, lambda batch: upsert_batch(store, batch, NOW), str(tmp_path / "offsets"), available_now=True)
+    query = start_run_stream(feed, lambda batch, _: upsert_batch(store, batch, NOW), str(tmp_path / "offsets"), available_now=True)
     query.awaitTermination()
-    expected = [(i, "CANCELLED" if i % 3 == 0 else "SUCCEEDED" if i % 2 == 0 else "RUNNING") for i in range(20)]
+    expected = [(i, "SUCCEEDED" if i % 2 == 0 else "CANCELLED" if i % 3 == 0 else "RUNNING") for i in range(20)]
     assert rows(store.runs(), "run_id", "result_state") == sorted(expected, key=str)
 
 
