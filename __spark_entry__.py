@@ -45,8 +45,8 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.select(*[plain(field).alias(field.name) for field in df.schema])
 
 
-def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return data.sla_config(spark, sf_dir), data.job_state(spark, sf_dir), data.run_state(spark, sf_dir)
+def _inputs(spark: SparkSession, sf_dir: str, as_of: datetime = AS_OF) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return data.sla_config(spark, sf_dir), data.job_state(spark, sf_dir, as_of), data.run_state(spark, sf_dir, as_of)
 
 
 def _workflows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,30 +54,30 @@ def _workflows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return workflows.monitored_workflows(settings, jobs, AS_OF)
 
 
-def _status(spark: SparkSession, sf_dir: str, plan: JoinPlan | None = None) -> DataFrame:
-    return status.workflow_status(*_inputs(spark, sf_dir), AS_OF, plan)
+def _status(spark: SparkSession, sf_dir: str, plan: JoinPlan | None = None, as_of: datetime = AS_OF) -> DataFrame:
+    return status.workflow_status(*_inputs(spark, sf_dir, as_of), as_of, plan)
 
 
-def _run_history(spark: SparkSession, sf_dir: str, plan: JoinPlan | None = None) -> DataFrame:
-    return history.run_history(*_inputs(spark, sf_dir), AS_OF, plan)
+def _run_history(spark: SparkSession, sf_dir: str, plan: JoinPlan | None = None, as_of: datetime = AS_OF) -> DataFrame:
+    return history.run_history(*_inputs(spark, sf_dir, as_of), as_of, plan)
 
 
-def _sla_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.sla_history(*_inputs(spark, sf_dir), AS_OF)
+def _sla_history(spark: SparkSession, sf_dir: str, as_of: datetime = AS_OF) -> DataFrame:
+    return history.sla_history(*_inputs(spark, sf_dir, as_of), as_of)
 
 
-def _status_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    settings, jobs, stored = _inputs(spark, sf_dir)
+def _status_runs(spark: SparkSession, sf_dir: str, as_of: datetime = AS_OF) -> DataFrame:
+    settings, jobs, stored = _inputs(spark, sf_dir, as_of)
     plan = JoinPlan.measure(settings)
-    known = runs.run_columns(workflows.monitored_workflows(settings, jobs, AS_OF))
-    return runs.monitored_runs(known, stored, AS_OF, S.RUN_WINDOW_DAYS, terminal_only=False, plan=plan)
+    known = runs.run_columns(workflows.monitored_workflows(settings, jobs, as_of))
+    return runs.monitored_runs(known, stored, as_of, S.RUN_WINDOW_DAYS, terminal_only=False, plan=plan)
 
 
-def _matched(spark: SparkSession, sf_dir: str, window=HISTORY, days=S.SLA_RUN_WINDOW_DAYS, plan=None) -> DataFrame:
-    settings, jobs, stored = _inputs(spark, sf_dir)
+def _matched(spark: SparkSession, sf_dir: str, window=HISTORY, days=S.SLA_RUN_WINDOW_DAYS, plan=None, as_of: datetime = AS_OF) -> DataFrame:
+    settings, jobs, stored = _inputs(spark, sf_dir, as_of)
     plan = plan or JoinPlan.measure(settings)
-    found = periods.deadline_periods(workflows.monitored_workflows(settings, jobs, AS_OF), window)
-    return periods.match_runs(periods.eligible(found), runs.in_window(stored, AS_OF, days), plan)
+    found = periods.deadline_periods(workflows.monitored_workflows(settings, jobs, as_of), window)
+    return periods.match_runs(periods.eligible(found), runs.in_window(stored, as_of, days), plan)
 
 
 def _config_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -89,14 +89,14 @@ def _valid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return config.config_rows(valid, AS_OF)
 
 
-def _windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _windows(spark: SparkSession, sf_dir: str, as_of: datetime = AS_OF) -> DataFrame:
     monitored = data.monitored_jobs(data.sla_config(spark, sf_dir))
-    return state.incremental_windows(monitored, data.spread_job_state(spark, sf_dir), AS_OF)
+    return state.incremental_windows(monitored, data.spread_job_state(spark, sf_dir, as_of), as_of)
 
 
-def _gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _gap(spark: SparkSession, sf_dir: str, as_of: datetime = AS_OF) -> DataFrame:
     plan = JoinPlan.measure(data.sla_config(spark, sf_dir))
-    return state.nonterminal_gap(data.run_state(spark, sf_dir), _windows(spark, sf_dir), plan)
+    return state.nonterminal_gap(data.run_state(spark, sf_dir, as_of), _windows(spark, sf_dir, as_of), plan)
 
 
 def _round(spark: SparkSession, sf_dir: str) -> collection.CollectionRound:
@@ -183,10 +183,10 @@ def valid_workspaces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def incremental_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+def incremental_selection(spark: SparkSession, sf_dir: str, as_of: datetime = AS_OF) -> DataFrame:
     completed = data.raw_runs(spark, sf_dir).filter(F.col("feed_kind") == "completed")
     plan = JoinPlan.measure(data.sla_config(spark, sf_dir))
-    chosen = state.select_incremental(completed, _windows(spark, sf_dir), AS_OF, plan)
+    chosen = state.select_incremental(completed, _windows(spark, sf_dir, as_of), as_of, plan)
     return chosen.select(*S.RUN_KEY, "start_time", "end_time")
 
 
@@ -279,10 +279,10 @@ def eligible_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(*S.WORKFLOW_KEY, "deadline_date", "previous_deadline_utc", "deadline_utc")
 
 
-def deadline_status(spark: SparkSession, sf_dir: str, plan: JoinPlan | None = None) -> DataFrame:
+def deadline_status(spark: SparkSession, sf_dir: str, plan: JoinPlan | None = None, as_of: datetime = AS_OF) -> DataFrame:
     """Flagship: every deadline period with its first on-time completion and status."""
 
-    matched = _matched(spark, sf_dir, plan=plan)
+    matched = _matched(spark, sf_dir, plan=plan, as_of=as_of)
     return matched.select(*S.WORKFLOW_KEY, "deadline_utc", "on_time_completion_utc", "sla_status")
 
 
@@ -300,11 +300,11 @@ def on_time_and_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def latest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    settings, _, stored = _inputs(spark, sf_dir)
+def latest_runs(spark: SparkSession, sf_dir: str, as_of: datetime = AS_OF) -> DataFrame:
+    settings, _, stored = _inputs(spark, sf_dir, as_of)
     plan = JoinPlan.measure(settings)
-    recent = runs.recent_runs(stored, AS_OF, S.RUN_WINDOW_DAYS, terminal_only=False)
-    known = workflows.configured_workflows(settings, AS_OF).select(*S.WORKFLOW_KEY, "job_id")
+    recent = runs.recent_runs(stored, as_of, S.RUN_WINDOW_DAYS, terminal_only=False)
+    known = workflows.configured_workflows(settings, as_of).select(*S.WORKFLOW_KEY, "job_id")
     return runs.latest_runs(attach(recent, known, plan), recent, plan)
 
 
@@ -337,9 +337,13 @@ def window_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def run_metrics_30d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recent = runs.in_window(data.run_state(spark, sf_dir), AS_OF, S.SLA_RUN_WINDOW_DAYS)
-    return runs.run_metrics(runs.terminal(recent), AS_OF)
+def run_metrics_30d(spark: SparkSession, sf_dir: str, as_of: datetime = AS_OF) -> DataFrame:
+    recent = runs.in_window(data.run_state(spark, sf_dir, as_of), as_of, S.SLA_RUN_WINDOW_DAYS)
+    return runs.run_metrics(runs.terminal(recent), as_of)
+
+
+def _at(build: Callable[..., DataFrame], as_of: datetime) -> Query:
+    return lambda spark, sf_dir: build(spark, sf_dir, as_of=as_of)
 
 
 def _view(build: Query, cut: Callable[[DataFrame], DataFrame]) -> Query:
@@ -403,6 +407,15 @@ _QUERIES: dict[str, Query] = {
     "daily_run_outcomes": _view(_run_history, charts.daily_run_outcomes),
     "sla_compliance_trend": _view(_sla_history, charts.sla_compliance_trend),
     "current_workflow_health": _view(_status, status.current_workflow_health),
+    "run_metrics_30d_in_february": _at(run_metrics_30d, data.IN_FEBRUARY),
+    "sla_metrics_30d_in_february": _view(_at(_matched, data.IN_FEBRUARY), periods.sla_metrics),
+    "sla_history_in_february": _at(_sla_history, data.IN_FEBRUARY),
+    "incremental_selection_in_march": _at(incremental_selection, data.IN_MARCH),
+    "reconcile_gap_in_march": _at(_gap, data.IN_MARCH),
+    "latest_runs_in_march": _at(latest_runs, data.IN_MARCH),
+    "run_history_in_march": _at(_run_history, data.IN_MARCH),
+    "workflow_status_in_march": _at(_status, data.IN_MARCH),
+    "deadline_status_in_april": _at(deadline_status, data.IN_APRIL),
 }
 
 

@@ -19,6 +19,10 @@ from punctual.operators.runs import to_run_state
 # The instant the views are taken at, and the mapping from users to schedules.
 AS_OF = datetime(2024, 1, 31, 0, 0, 0, tzinfo=UTC)
 SPLIT_AT = datetime(2024, 1, 24, 12, 0, 0, tzinfo=UTC)
+# Later instants inside a day, at which the 30, 60 and 100 days cut some of the events and keep some.
+IN_FEBRUARY = datetime(2024, 2, 14, 15, 42, 30, tzinfo=UTC)
+IN_MARCH = datetime(2024, 3, 30, 9, 20, 15, tzinfo=UTC)
+IN_APRIL = datetime(2024, 4, 24, 18, 5, 0, tzinfo=UTC)
 ZONES = ["UTC", "Australia/Melbourne", "America/New_York", "Asia/Kolkata", "Europe/London"]
 FIRST_FORTNIGHT = datetime(2024, 1, 1)
 
@@ -97,8 +101,8 @@ def listed_then_looked_up(raw: DataFrame) -> DataFrame:
     return raw.select(*S.RUN_KEY, F.inline(versions))
 
 
-def run_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_run_state(raw_runs(spark, sf_dir), AS_OF)
+def run_state(spark: SparkSession, sf_dir: str, as_of: datetime = AS_OF) -> DataFrame:
+    return to_run_state(raw_runs(spark, sf_dir), as_of)
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,15 +141,15 @@ def sla_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def job_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+def job_state(spark: SparkSession, sf_dir: str, as_of: datetime = AS_OF) -> DataFrame:
     """Job state with every collection condition: none, failed, stale, never succeeded, current."""
 
     u = F.col("u")
     kind = u % 10
     last_success = (
-        F.when(kind == 2, shifted(AS_OF, minutes=-45))
+        F.when(kind == 2, shifted(as_of, minutes=-45))
         .when(kind == 3, F.lit(None).cast("timestamp"))
-        .otherwise(shifted(AS_OF, minutes=-3))
+        .otherwise(shifted(as_of, minutes=-3))
     )
     return (
         users(spark, sf_dir)
@@ -154,7 +158,7 @@ def job_state(spark: SparkSession, sf_dir: str) -> DataFrame:
             workspace(u).alias("workspace_id"),
             (u + 1).cast("string").alias("job_id"),
             F.when(kind != 4, F.concat(F.lit("Job name "), u)).alias("job_name"),
-            instant(AS_OF).alias("last_collection_attempt_at"),
+            instant(as_of).alias("last_collection_attempt_at"),
             last_success.alias("last_successful_collection_at"),
             F.when(kind == 1, F.concat(F.lit("collection error for job "), u + 1)).alias(
                 "last_error_message"
@@ -163,14 +167,14 @@ def job_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def spread_job_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+def spread_job_state(spark: SparkSession, sf_dir: str, as_of: datetime = AS_OF) -> DataFrame:
     """Job state whose last success lies 0 to 39 days back, so incremental windows differ."""
 
     u = F.col("u")
     back = F.make_dt_interval((u % 40).cast("int"))
-    return job_state(spark, sf_dir).withColumn("u", F.col("job_id").cast("bigint") - 1).select(
+    return job_state(spark, sf_dir, as_of).withColumn("u", F.col("job_id").cast("bigint") - 1).select(
         *[
-            F.when(u % 10 != 3, instant(AS_OF) - back).alias(name)
+            F.when(u % 10 != 3, instant(as_of) - back).alias(name)
             if name == "last_successful_collection_at"
             else F.col(name)
             for name in S.JOB_STATE.names
