@@ -4,7 +4,7 @@ Of every document's distinct word shingles, ``bands x rows`` minima are taken. F
 band keys; for the comparison only the low ``bits`` of each minimum are kept, packed into words.
 Candidates share a band key; their packed signatures are compared by bit counts and the share of
 equal values, corrected for chance equality, estimates the similarity. Candidates whose estimate
-lies no more than six deviations below the threshold are confirmed on the full shingle sets of
+lies no more than five deviations below the threshold are confirmed on the full shingle sets of
 their whole texts.
 
 Documents with the same shingle set become one before banding. In a bucket, every member is first
