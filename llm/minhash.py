@@ -1,7 +1,7 @@
 """Near-duplicate documents by b-bit MinHash.
 
 Of every document's distinct word shingles, ``bands x rows`` minima are taken. Full minima make the
-band keys; for the comparison only the low ``bits`` of each minimum are kept, packed into words.
+band keys; for the comparison only ``bits`` of a mixed hash of each minimum are kept, packed into words.
 Candidates share a band key; their packed signatures are compared by bit counts and the share of
 equal values, corrected for chance equality, estimates the similarity. Candidates whose estimate
 lies no more than five deviations below the threshold are confirmed on the full shingle sets of
@@ -35,8 +35,9 @@ class Settings:
     """Links need ``100 * intersection >= percent * union``.
 
     With 64 bands of 6 rows a pair at exactly 75 per cent shares no band with probability 4e-6.
-    Signatures keep ``bits`` (a divisor of 64) of ``values`` minima, the first of which make the
-    bands; a pair at the threshold fails the estimate with probability 3e-7. ``block`` bounds the
+    Signatures keep ``bits`` (a divisor of 64) of the mixed hash of ``values`` minima, the first of
+    which make the bands; a pair at the threshold fails the estimate with probability 3e-7, whatever
+    the size of its sets. ``block`` bounds the
     members of a bucket that are compared at once.
     """
 
@@ -101,6 +102,7 @@ def _sketch(settings: Settings):
     rng = np.random.default_rng(settings.seed)
     factors = rng.integers(0, 1 << 32, settings.values, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
     shifts = rng.integers(0, 1 << 32, settings.values, dtype=np.uint64).astype(np.uint32)
+    salts = mix(np.arange(1, settings.values + 1, dtype=np.uint64))
 
     def sketch(batch: pa.RecordBatch):
         for low, high, data, offsets, _ in chunks(batch.column("text")):
@@ -126,10 +128,12 @@ def _sketch(settings: Settings):
                 bands[band] = key
             per_word = 64 // settings.bits
             words = np.zeros((-(-settings.values // per_word), len(holds)), np.uint64)
-            mask = np.uint32((1 << settings.bits) - 1)
+            mask = np.uint64((1 << settings.bits) - 1)
             for k in range(settings.values):
-                # the top bits of a minimum are near zero, its low bits are free
-                words[k // per_word] |= (minima[k] & mask).astype(np.uint64) << np.uint64(settings.bits * (k % per_word))
+                # the top bits of a minimum are near zero; its low bits differ alike in every
+                # permutation (odd factors keep differences modulo powers of two), so they are mixed
+                kept = mix(minima[k] + salts[k]) & mask
+                words[k // per_word] |= kept << np.uint64(settings.bits * (k % per_word))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id").slice(low, rows_here),

@@ -276,6 +276,21 @@ def test_minhash_against_brute_force(spark, documents, settings):
     assert sorted(tuple(r) for r in found.collect()) == brute_documents(rows)
 
 
+def test_minhash_links_short_texts_at_the_threshold(spark):
+    """Pairs of 3 to 20 shingles whose sets have exactly three quarters of their union in common."""
+
+    rows = []
+    for union in (4, 8, 12, 16, 20):
+        for cut in {0, union // 8}:
+            for n in range(200):
+                words = [f"w{union}x{cut}x{n}x{i}" for i in range(union + 4)]
+                rows.append((len(rows), " ".join(words[: len(words) - cut])))
+                rows.append((len(rows), " ".join(words[union // 4 - cut :])))
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(made).collect()}
+    assert [pair for pair in range(0, len(rows), 2) if (found[pair], found[pair + 1]) != (pair, pair)] == []
+
+
 def test_minhash_table_and_empty(spark, documents):
     table = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in table.collect()]
