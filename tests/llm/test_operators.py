@@ -408,6 +408,32 @@ def test_wrappers_without_article_elements(spark):
     assert html_text.main_text(none(pages)).count() == 0
 
 
+def site_page(container, number, tagline):
+    return (
+        f"<html><body><div id='top'>{tagline}</div>{container[0]}<h2>Title {number}</h2><ul><li>point {number}</ul>"
+        f"<p>body of {number} {'words ' * 30}</p>{container[1]}<div id='end'>{tagline} end</div></body></html>"
+    )
+
+
+def site_text(number):
+    return f"Title {number}\n\npoint {number}\n\n" + f"body of {number} {'words ' * 30}".strip()
+
+
+def texts_of(spark, rows):
+    return {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_wrappers_of_hosts_with_several_templates(spark):
+    kinds = [("<div class='post'>", "</div>"), ("<section class='story'><div>", "</div></section>"), ("<article class='sport'>", "</article>"), ("<article class='news'>", "</article>")]
+    rows = [(i, f"http://two.example/{i}", site_page(kinds[0 if i % 4 else 1], i, "Daily")) for i in range(40)]
+    rows += [(100 + i, f"http://blog.example/{i}", site_page(kinds[2 if i % 4 else 3], 100 + i, "Blog")) for i in range(20)]
+    found = texts_of(spark, rows)
+    assert {i: found[i] for i, _, _ in rows} == {i: site_text(i) for i, _, _ in rows}
+    sites = [(i, None if i % 2 else f"site{i % 3}.example/{i}", site_page(kinds[i % 3], i, f"Site {i % 3}")) for i in range(30)]
+    found = texts_of(spark, sites)  # the sites share one nameless host
+    assert [i for i, _, _ in sites if site_text(i) not in found[i]] == []
+
+
 def test_pages_table(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     found = {r.page_id: r.text for r in html_text.main_text(pages).collect()}
