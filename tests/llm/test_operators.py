@@ -434,6 +434,17 @@ def test_wrappers_of_hosts_with_several_templates(spark):
     assert [i for i, _, _ in sites if site_text(i) not in found[i]] == []
 
 
+def test_copies_and_bylines_are_no_template(spark):
+    kind = ("<div class='post'>", "</div>")
+    rows = [(i, f"http://copies.example/{i}", site_page(kind, max(0, i - 20), "Daily")) for i in range(26)]
+    found = texts_of(spark, rows)
+    assert [i for i, _, _ in rows if found[i] != site_text(max(0, i - 20))] == []
+    for pages in (5, 60):
+        rows = [(i, f"http://by{pages}.example/{i}", site_page((kind[0] + f"<h3>by author {i % 5}</h3>", kind[1]), i, "Daily")) for i in range(pages)]
+        found = texts_of(spark, rows)
+        assert [i for i, _, _ in rows if found[i] != f"by author {i % 5}\n\n{site_text(i)}"] == []
+
+
 def test_pages_table(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     found = {r.page_id: r.text for r in html_text.main_text(pages).collect()}
