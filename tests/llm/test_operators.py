@@ -445,6 +445,23 @@ def test_copies_and_bylines_are_no_template(spark):
         assert [i for i, _, _ in rows if found[i] != f"by author {i % 5}\n\n{site_text(i)}"] == []
 
 
+@pytest.mark.parametrize("pages", [1, 8])
+def test_names_of_containers_are_no_furniture(spark, pages):
+    kinds = {
+        "div": ("<div class='content no-sidebar'>", "</div>"),
+        "form": ("<form id='aspnetForm'><article>", "</article></form>"),
+        "custom": ("<app-page class='layout has-sidebar'><div class='post with-comments'>", "</div></app-page>"),
+    }
+    rows = []
+    for at, (name, (start, stop)) in enumerate(kinds.items()):
+        extra = "<div class='share'>Share this {}</div><p class='x'>by <span class='menu'>pick</span> <math><mi>x</mi><annotation>TeX</annotation></math> <object>chart {}</object></p>"
+        for i in range(pages):
+            page = at * 100 + i
+            rows.append((page, f"http://{name}.example/{i}", site_page((start, extra.format(i, i) + stop), page, "").replace("<div id='top'></div>", "").replace("<div id='end'> end</div>", "")))
+    found = texts_of(spark, rows)
+    assert [i for i, _, _ in rows if found[i] != f"{site_text(i)}\n\nby x chart {i % 100}"] == []
+
+
 def test_pages_table(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     found = {r.page_id: r.text for r in html_text.main_text(pages).collect()}
