@@ -19,16 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.sampling import sample_labels
 from llm.shipping import ready
 from llm.textbatch import chunks, fold_case, map_rows, mix, prefix_sums, span_hashes, word_spans
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``target_documents`` bounds the labelled sample behind the target model."""
+    """Numbers of hash buckets, and the weights of the smoothing."""
 
-    target_documents: int = 5000
     vocabulary: int = 1 << 16
     pairs: int = 1 << 18
     pseudo_words: float = 0.1
@@ -69,13 +67,15 @@ def tokens(data: np.ndarray, offsets: np.ndarray, settings: Settings) -> tuple[n
 
 
 def fit_models(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", settings: Settings = Settings()) -> tuple[NgramModel, NgramModel]:
-    """(target, background), counted over all documents."""
+    """(target, background), counted over all good and over all documents."""
 
     ready(documents.sparkSession)
-    sample, _ = sample_labels(labels, id_col, label_col, settings.target_documents, "lm")
-    target = F.broadcast(sample.where("y = 1").select("id", F.lit(True).alias("is_target")))  # bounded by target_documents
-    source = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(target, "id", "left")
-    source = source.select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
+    good = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y = 1")
+    good = good.select("id").distinct().withColumn("is_target", F.lit(True))
+    source = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    named = source.where("id is not null").join(good, "id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
+    # rows without an id stay out of the join, where they would be one key
+    source = named.unionByName(source.where("id is null").select("text", F.lit(False).alias("is_target")))
     size = settings.vocabulary + settings.pairs
 
     def count(batches):

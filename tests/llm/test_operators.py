@@ -388,6 +388,14 @@ def test_lm_scoring(spark, documents, labels):
     assert one.n_tokens == 6 and abs(one.target_loss - np.mean(losses)) < 1e-9
 
 
+def test_lm_target_counts_every_good_document(spark):
+    ids = spark.range(12_000).withColumnRenamed("id", "doc_id")
+    made = ids.withColumn("text", F.concat(F.lit("word w"), F.col("doc_id").cast("string")))
+    target, background = lm_scoring.fit_models(made, ids.withColumn("quality", (F.col("doc_id") % 2).cast("int")).union(ids.withColumn("quality", F.lit(1))))
+    assert target.words.sum() == 24_000 and target.pairs.sum() == 12_000
+    assert abs(background.words.sum() - 24_000) < 1e-6
+
+
 PAGE = (
     "<html><head><title>t</title></head><body><div class='nav'><ul><li>Home</li><li>About</li></ul></div>"
     "<div id='top'>Daily   Paper</div><div id='x'><h2>{title}</h2><p>{one}&amp; more<br>text<p>{two}<script>var a='</p>';</script></div>"
