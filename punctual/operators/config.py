@@ -20,6 +20,7 @@ from punctual.operators.joins import salted_join, with_position
 
 # Patterns, key sets and texts of the configuration format.
 COMPLETION_TIME = r"^([01][0-9]|2[0-3]):[0-5][0-9]$"
+WHOLE_BYTES = 8 << 20  # of a document that surely fits a variant
 HEADER_KEYS = ("version", "default_timezone", "workflows")
 ENTRY_KEYS = ("job_id", "monitoring_status", "sla")
 SLA_KEYS = (
@@ -154,13 +155,37 @@ class _Node:
         return self.value_error(f"{self.is_a('string')} AND NOT ({valid})", "is not a 'date'")
 
 
+def _without_workflows(document: str) -> Column:
+    """The document with an empty list of workflows; values of unknown keys are left out. Null if it is no JSON object."""
+
+    kept = [name for name in HEADER_KEYS if name != "workflows"]
+    values = F.from_json(document, T.StructType([T.StructField(name, T.VariantType()) for name in kept]))
+
+    def member(key: Column) -> Column:
+        text = F.when(key == "workflows", "[]")
+        for name in kept:
+            text = text.when(key == name, F.to_json(values[name]))
+        quoted = F.to_json(F.array(key))
+        quoted = F.substring(quoted, F.lit(2), F.length(quoted) - 2)  # without the brackets
+        return F.concat(quoted, F.lit(":"), F.coalesce(text, F.lit("null")))
+
+    return F.concat(F.lit("{"), F.array_join(F.transform(F.json_object_keys(document), member), ","), F.lit("}"))
+
+
 def split_documents(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Documents (workspace_id, document) to headers and entries."""
+    """Documents (workspace_id, document) to headers and entries.
+
+    The header of a document beyond ``WHOLE_BYTES`` has an empty list in place of its workflows, so
+    that it fits a variant; the listed entries are read one by one in any case.
+    """
 
-    headers = documents.select("workspace_id", F.col("document").alias("header"))
     listed = F.from_json("document", T.StructType([T.StructField("workflows", T.ArrayType(T.StringType()))]))
     # A text entry loses its quotes above; its JSON kind tells it from an object of the same text.
     kinds = F.from_json("document", T.StructType([T.StructField("workflows", T.ArrayType(T.VariantType()))]))
+    # Only a list that is read to its end may be left out of the header.
+    left_out = (F.octet_length("document") > WHOLE_BYTES) & listed["workflows"].isNotNull() & kinds["workflows"].isNotNull()
+    header = F.when(left_out, F.coalesce(_without_workflows("document"), "document")).otherwise(F.col("document"))
+    headers = documents.select("workspace_id", header.alias("header"))
     both = F.arrays_zip(listed["workflows"].alias("text"), kinds["workflows"].alias("value"))
     exploded = documents.select("workspace_id", F.posexplode(both).alias("entry_index", "pair"))
     is_text = F.coalesce(F.schema_of_variant("pair.value") == "STRING", F.lit(False))

@@ -129,6 +129,20 @@ def test_unreadable_document(spark):
     assert ("document is not valid JSON" in errors.first()["message"])
 
 
+def test_header_of_a_large_document(spark):
+    large = '{"version": %s, "default_timezone": "UTC", %s"workflows": [%s]%s'
+    entry = F.format_string('{"job_id": 1, "note": "%s"}', F.repeat(F.lit("x"), F.lit(1 << 20)))
+    parts = [("1", ("3", "", "}")), ("2", ("4", '"owner": 1, ', "}")), ("3", ("3", "", ""))]
+    small = spark.createDataFrame([(name, *part) for name, part in parts], "workspace_id string, v string, o string, stop string")
+    text = F.format_string(large, "v", "o", F.concat_ws(", ", F.array_repeat(entry, 132)), "stop")
+    headers, listed = config.split_documents(small.select("workspace_id", text.alias("document")))
+    found = {r.workspace_id: [p.message for p in r.problems] for r in headers.select("workspace_id", config.header_problems().alias("problems")).collect()}
+    assert found["1"] == []
+    assert found["2"] == ["Additional properties are not allowed ('owner' was unexpected)", "3 was expected"]
+    assert found["3"] == ["the document is not valid JSON"]
+    assert listed.where("workspace_id = '1'").count() == 132
+
+
 def test_duplicates_name_the_first_entry(validate):
     _, errors = validate(entry(9), entry(9, "inactive"), entry(8), entry(9))
     assert errors == [
