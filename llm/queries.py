@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import embedding_dedup, html_text, language_id, lm_scoring, minhash, packing, piece_sampling, quality, toxicity, vector_search
+from llm import embedding_dedup, html_text, language_id, lm_scoring, minhash, packing, piece_sampling, quality, secret_scan, toxicity, vector_search
 from llm.textbatch import crc_bucket
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,14 @@ def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.select_by_importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    counts = [F.size(secret_scan.of_kind(spans, kind)).cast("long").alias(f"n_{kind}") for kind in secret_scan.KINDS]
+    base = secret_scan.joined(secret_scan.of_kind(spans, *secret_scan.BASE_KINDS))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), secret_scan.joined(spans).alias("spans"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_harmonic_packing": op2_harmonic_packing,
@@ -81,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op8_wrapper_induction": op8_wrapper_induction,
     "op9_piece_sampling": op9_piece_sampling,
     "op10_importance_resampling": op10_importance_resampling,
+    "op11_secret_scan": op11_secret_scan,
 }
 
 #: Queries that SQL can state over whole tables.
