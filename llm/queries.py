@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import embedding_dedup, html_text, language_id, lm_scoring, minhash, packing, piece_sampling, quality, secret_scan, toxicity, vector_search
+from llm import embedding_dedup, html_text, language_id, lm_scoring, minhash, packing, periodic_runs, piece_sampling, quality, secret_scan, toxicity, vector_search
 from llm.textbatch import crc_bucket
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,23 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), secret_scan.joined(spans).alias("spans"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = periodic_runs.plant_periods(table(spark, sf_dir, "documents"))
+    found = periodic_runs.collapse_runs(planted)
+    best = periodic_runs.strongest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_harmonic_packing": op2_harmonic_packing,
@@ -90,8 +107,19 @@ QUERIES: dict[str, Query] = {
     "op9_piece_sampling": op9_piece_sampling,
     "op10_importance_resampling": op10_importance_resampling,
     "op11_secret_scan": op11_secret_scan,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
+#: crc32 of a text by the table of its polynomial, which the statement joins as ``crc_table``.
+_CRC32 = """
+    xor(list_reduce(list_transform(range(1, len({0}) + 1), lambda i: ascii({0}[i])::BIGINT),
+        lambda c, b: xor(c >> 8, crcs[xor(c & 255, b) + 1]), 4294967295::BIGINT), 4294967295::BIGINT)
+"""
+_CRC_TABLE = """crc_table AS (
+            SELECT list_transform(range(256), lambda k: list_reduce(range(8),
+                lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k)) AS crcs
+        )"""
+
 #: Queries that SQL can state over whole tables.
 ORACLES: dict[str, str] = {
     "op3_segment_search": """
@@ -172,4 +200,54 @@ ORACLES: dict[str, str] = {
         SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
         FROM roots LEFT JOIN counts USING (vec_id)
     """,
+    "op12_periodic_runs": rf"""
+        WITH {_CRC_TABLE},
+        checked AS (
+            SELECT doc_id, text, {_CRC32.format("CAST(doc_id AS VARCHAR)")} AS h
+            FROM documents, crc_table
+        ),
+        split AS (
+            SELECT doc_id, h, h // 10 AS g,
+                   list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+            FROM checked
+        ),
+        ends AS (SELECT *, len(words) AS n, CASE WHEN len(words) > 0 THEN g % len(words) END AS a FROM split),
+        planted AS (
+            SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+                THEN list_transform(range(n), lambda i: words[1 + CASE WHEN i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END])
+                ELSE words END AS words
+            FROM ends
+        ),
+        placed AS (SELECT doc_id, n, unnest(range(n)) AS i, unnest(words) AS word, words FROM planted),
+        grams AS (
+            SELECT doc_id, i, array_to_string(words[i + 1:i + 16], ' ') AS gram FROM placed WHERE i + 16 <= n
+        ),
+        pairs AS (
+            SELECT x.doc_id, x.i, y.i - x.i AS d FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.gram = y.gram AND x.i < y.i
+        ),
+        numbered AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, d ORDER BY i) AS island FROM pairs),
+        stretches AS (
+            SELECT doc_id, d, min(i) AS start, max(i) + 16 + d - min(i) AS length FROM numbered GROUP BY doc_id, d, island
+        ),
+        runs AS (
+            SELECT doc_id, start, length, min(d) AS period FROM stretches
+            WHERE length >= greatest(24, 3 * d) GROUP BY doc_id, start, length
+        ),
+        listed AS (
+            SELECT doc_id, count(*) AS n_runs,
+                   string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+                   first(struct_pack(s := start, l := length, p := period) ORDER BY length / period DESC, start, period) AS best
+            FROM runs GROUP BY doc_id
+        ),
+        kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS collapsed FROM placed
+            WHERE NOT EXISTS (
+                SELECT 1 FROM runs WHERE runs.doc_id = placed.doc_id AND i >= start + period AND i < start + length)
+            GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.p AS period,
+               1000 * best.l // best.p AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+               sha256(coalesce(collapsed, '')) AS collapsed_sha256
+        FROM documents LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
 }
