@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import embedding_dedup, html_text, language_id, lm_scoring, minhash, packing, periodic_runs, piece_sampling, quality, secret_scan, toxicity, vector_search
+from llm import conversation_repair, embedding_dedup, html_text, language_id, lm_scoring, minhash, packing, periodic_runs, piece_sampling, quality, secret_scan, toxicity, vector_search
 from llm.textbatch import crc_bucket
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation_repair.damage_turns(table(spark, sf_dir, "conversations"))
+    return conversation_repair.conversation_reports(damaged, copies="copies")
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_harmonic_packing": op2_harmonic_packing,
@@ -108,6 +113,7 @@ QUERIES: dict[str, Query] = {
     "op10_importance_resampling": op10_importance_resampling,
     "op11_secret_scan": op11_secret_scan,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 #: crc32 of a text by the table of its polynomial, which the statement joins as ``crc_table``.
@@ -120,6 +126,22 @@ _CRC_TABLE = """crc_table AS (
                 lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k)) AS crcs
         )"""
 
+
+
+def _best(state: str, cost: int = 0, audit: str = "", *lines: str) -> str:
+    """SQL of a state's cost, audit and repaired lines, each after a newline."""
+
+    text = "".join(f" || chr(10) || '{line}'" for line in lines)
+    return f"struct_pack(c := {cost}::BIGINT, p := '{audit}', r := ''{text}) AS {state}"
+
+
+def _with(state: str, cost: int | str, letter: str, line: str | None = None) -> str:
+    """SQL of a state's values after one more edit."""
+
+    text = f" || chr(10) || {line}" if line else ""
+    return f"struct_pack(c := {state}.c + {cost}, p := {state}.p || '{letter}', r := {state}.r{text})"
+
+
 #: Queries that SQL can state over whole tables.
 ORACLES: dict[str, str] = {
     "op3_segment_search": """
@@ -250,4 +272,77 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(collapsed, '')) AS collapsed_sha256
         FROM documents LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
     """,
+    "op13_conversation_repair": rf"""
+        WITH RECURSIVE {_CRC_TABLE},
+        known AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+            FROM conversations
+        ),
+        sorted AS (SELECT *, {_CRC32.format("key")} % 20 AS sort FROM known, crc_table),
+        damaged AS (
+            SELECT conv_id, turn, unnest(range(CASE sort WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy,
+                   CASE sort WHEN 4 THEN 'user' ELSE role END AS role,
+                   CASE sort WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM sorted
+        ),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM damaged
+        ),
+        judged AS (
+            SELECT *, CASE
+                WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated'
+                ELSE 'none' END AS fault,
+                left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS previous
+            FROM placed
+        ),
+        counts AS (
+            SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (fault = 'truncated') AS truncated,
+                   count(*) FILTER (i > 1 AND previous || initial NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM judged GROUP BY conv_id
+        ),
+        -- Cheapest (cost, audit, repaired lines) after i rows in each state: e nothing, s system, u user, a assistant.
+        steps AS (
+            SELECT conv_id, 0::BIGINT AS i, {_best("e")}, {_best("s", 1000000)}, {_best("u", 5, "I", "user:")},
+                   {_best("a", 10, "II", "user:", "assistant:")}
+            FROM counts
+            UNION ALL
+            SELECT conv_id, i, e, s, u,
+                   list_min([a, {_with("u", 5, "I", "'assistant:'")}]) AS a
+            FROM (
+                SELECT conv_id, i, e, s, a,
+                       list_min([u, {_with("e", 5, "I", "'user:'")}, {_with("s", 5, "I", "'user:'")}, {_with("a", 5, "I", "'user:'")}]) AS u
+                FROM (
+                    SELECT conv_id, judged.i, {_with("e", 2, "D")} AS e,
+                           CASE WHEN stays AND initial = 's' THEN list_min([{_with("s", 2, "D")}, {_with("e", "extra", "K", "role || ':' || text")}])
+                                ELSE {_with("s", 2, "D")} END AS s,
+                           CASE WHEN stays AND initial = 'u' THEN list_min([{_with("u", 2, "D")}, {_with("before_user", "extra", "K", "role || ':' || text")},
+                                    {_with("before_user", "extra + 1", "R", "'user:' || text")}])
+                                WHEN stays THEN list_min([{_with("u", 2, "D")}, {_with("before_user", "extra + 1", "R", "'user:' || text")}])
+                                ELSE {_with("u", 2, "D")} END AS u,
+                           CASE WHEN stays AND initial = 'a' THEN list_min([{_with("a", 2, "D")}, {_with("u", "extra", "K", "role || ':' || text")},
+                                    {_with("u", "extra + 1", "R", "'assistant:' || text")}])
+                                WHEN stays THEN list_min([{_with("a", 2, "D")}, {_with("u", "extra + 1", "R", "'assistant:' || text")}])
+                                ELSE {_with("a", 2, "D")} END AS a
+                    FROM (SELECT *, list_min([e, s, a]) AS before_user FROM steps) AS steps
+                    JOIN (
+                        SELECT *, fault IN ('none', 'truncated') AS stays, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS extra FROM judged
+                    ) AS judged USING (conv_id)
+                    WHERE judged.i = steps.i + 1
+                )
+            )
+        ),
+        repaired AS (
+            SELECT conv_id, n, gaps, blank, duplicate, truncated, illegal, list_min([e, a]) AS best
+            FROM steps JOIN counts USING (conv_id) WHERE i = n
+        )
+        SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost,
+               coalesce(best.p, '') AS audit, sha256(coalesce(best.r[2:], '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN repaired USING (conv_id)
+    """,
 }
