@@ -2,28 +2,32 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 import sys
 from collections.abc import Callable
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import StreamingQueryException
 
 from oracle.statements import statements
 from punctual import schemas as S
 from punctual.functions import run_states
+from punctual.functions.instants import instant
 from punctual.functions.schedules import CURRENT, HISTORY
 from punctual.operators import catalogue, config, periods, runs, state, workflows
 from punctual.operators.joins import SHUFFLE, JoinPlan, attach
 from punctual.plans import charts, checks, collection, history, status
 from punctual.session import ensure_checkpoints, use_utc
 from punctual.sources import driver_tables as data
+from punctual.sources import feeds
 from punctual.sources.store import StateStore
-from punctual.streaming.collector import start_run_stream, upsert_batch
+from punctual.streaming.collector import collect_batch, start_run_stream, upsert_batch
 
 AS_OF = data.AS_OF
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,23 +144,76 @@ def upsert_latest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.upsert_runs(stored, incoming)
 
 
-def stream_upsert_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listed and looked-up records of all events as a stream, upserted into a state store."""
+def _fresh_store(spark: SparkSession, purpose: str) -> tuple[StateStore, str]:
+    """An empty store and its folder among the checkpoints."""
 
-    name = f"stream_{os.getpid()}_{datetime.now(UTC):%H%M%S%f}"
+    name = f"{purpose}_{os.getpid()}_{datetime.now(UTC):%H%M%S%f}"
     folder = f"{ensure_checkpoints(spark)}/{name}"
-    store = StateStore(spark, name)
+    store = StateStore(spark, name, shards=2)
     store.ensure_tables(create_namespace=True, location=f"{folder}/tables")
+    return store, folder
+
+
+def stream_upsert_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed and looked-up records of all events as a stream, upserted into a state store."""
+
+    store, folder = _fresh_store(spark, "stream")
     schema = data.table(spark, sf_dir, "events").schema
     events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
     feed = data.listed_then_looked_up(data.event_records(events))
     query = start_run_stream(
-        feed, lambda batch, _: upsert_batch(store, batch, AS_OF), f"{folder}/offsets", available_now=True
+        store, feed, lambda batch, _: upsert_batch(store, batch, AS_OF), f"{folder}/offsets", available_now=True
     )
     query.awaitTermination()
     return store.runs()
 
 
+def stream_restarted_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records as landed files, newest first, in a stream that stops inside a batch and is restarted.
+
+    The second of three batches breaks off after its rows were committed and before it is noted
+    as finished; each batch has an instant of its own, which the repeated batch has to keep.
+    """
+
+    store, folder = _fresh_store(spark, "restarted")
+    records = data.listed_then_looked_up(data.raw_runs(spark, sf_dir)).withColumn("observed_at", data.version_instant())
+    files = data.land_in_parts(records, f"{folder}/landing")
+    feed = feeds.stream_run_feed(spark, f"{folder}/landing", files_per_batch=files)
+    asked, applied = (AS_OF + timedelta(minutes=5 * k) for k in itertools.count()), []
+
+    def apply(batch: DataFrame, collected_at: datetime) -> None:
+        upsert_batch(store, batch, collected_at)
+        applied.append(collected_at)
+        if len(applied) == 2:
+            raise InterruptedError("stopped between the commits")
+
+    def run() -> None:
+        start_run_stream(store, feed, apply, f"{folder}/offsets", True, lambda: next(asked)).awaitTermination()
+
+    try:
+        run()
+    except StreamingQueryException:
+        run()
+    # A run that had not started took its batch's instant; which batch that was depends on the files.
+    started = F.when(F.col("period_start_time") >= instant(AS_OF), instant(AS_OF)).otherwise(F.col("period_start_time"))
+    return store.runs().withColumn("period_start_time", started)
+
+
+def rounds_in_reverse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two collection rounds, of which the second lands older records of runs the first one saw finished."""
+
+    store, _ = _fresh_store(spark, "rounds")
+    settings = data.sla_config(spark, sf_dir)
+    store.commit_config(settings.select("workspace_id").distinct(), settings)
+    raw, details = data.raw_runs(spark, sf_dir), data.job_details(spark, sf_dir)
+    errors = data.collection_errors(spark, sf_dir).limit(0)
+    older = data.listed_then_looked_up(raw).filter((F.col("feed_kind") == "active") & (F.col("status.state") == "RUNNING"))
+    later = F.col("observed_at") + F.expr("INTERVAL 1 HOUR")
+    collect_batch(store, raw.withColumn("observed_at", later), details, errors, AS_OF)
+    collect_batch(store, older, details, errors, AS_OF + timedelta(minutes=5))
+    return store.runs()
+
+
 def upsert_job_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.upsert_jobs(data.job_state(spark, sf_dir), _round(spark, sf_dir).job_updates)
 
@@ -357,6 +414,8 @@ _QUERIES: dict[str, Query] = {
     "collapsed_runs": collapsed_runs,
     "upsert_latest_runs": upsert_latest_runs,
     "stream_upsert_runs": stream_upsert_runs,
+    "stream_restarted_runs": stream_restarted_runs,
+    "rounds_in_reverse": rounds_in_reverse,
     "upsert_job_state": upsert_job_state,
     "expire_runs": expire_runs,
     "delete_missing_runs": delete_missing_runs,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +16,11 @@ from punctual.operators.joins import SHUFFLE, JoinPlan, attach
 from punctual.operators.periods import with_local_today
 
 
-def to_run_state(raw: DataFrame, collected_at: AsOf) -> DataFrame:
-    """Raw run records to state rows; a run that has not started takes the collection instant."""
+def to_run_state(raw: DataFrame, collected_at: AsOf, carried: Sequence[str] = ()) -> DataFrame:
+    """Raw run records to state rows; a run that has not started takes the collection instant.
+
+    ``carried`` names columns that go along unchanged.
+    """
 
     started = F.coalesce(epoch_ms_to_ts(F.col("start_time")), instant(collected_at))
     state = run_states.result_state(
@@ -28,6 +33,7 @@ def to_run_state(raw: DataFrame, collected_at: AsOf) -> DataFrame:
         started.alias("period_start_time"),
         epoch_ms_to_ts(F.col("end_time")).alias("period_end_time"),
         state.alias("result_state"),
+        *carried,
     )
 
 

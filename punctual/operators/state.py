@@ -31,6 +31,33 @@ def feed_rank(kind: Column) -> Column:
     return F.coalesce(F.try_element_at(ranks, kind), F.lit(0))
 
 
+# When and by which feed the state of a run was observed; later observations win.
+ORDER_FIELDS = ["observed_at", "feed_rank"]
+
+
+def observation_order() -> Column:
+    return F.struct(*ORDER_FIELDS)
+
+
+def with_order(records: DataFrame) -> DataFrame:
+    """Raw records with the rank of their feed."""
+
+    return records.withColumn("feed_rank", feed_rank(F.col("feed_kind")))
+
+
+def not_outdated(records: DataFrame, observed: DataFrame) -> DataFrame:
+    """Raw records at least as new as what is known of their run.
+
+    ``observed`` has one row per run key with ``ORDER_FIELDS``. A record without an instant, or of a run never
+    observed, is kept; so is one that was observed just when the stored state was.
+    """
+
+    known = observed.select("workspace_id", F.col("job_id").cast("bigint").alias("job_id"), "run_id", observation_order().alias("_seen"))
+    joined = with_order(records).join(known, S.RUN_KEY, "left")
+    fresh = F.col("_seen").isNull() | F.col("observed_at").isNull() | (observation_order() >= F.col("_seen"))
+    return joined.filter(fresh).select(*records.columns)
+
+
 def combine_feeds(*feeds: DataFrame) -> DataFrame:
     """One raw record per run over the completed, active and looked-up feeds; the later feed wins."""
 

@@ -13,12 +13,14 @@ from punctual.functions.instants import AsOf, instant, shifted
 from punctual.operators.joins import JoinPlan, config_join
 from punctual.operators.runs import to_run_state
 from punctual.operators.state import (
+    ORDER_FIELDS,
     combine_feeds,
     feed_rank,
     incremental_windows,
     nonterminal_gap,
     select_incremental,
     upsert_jobs,
+    with_order,
 )
 
 # Stages run in this order for a job; a failed stage hides what later stages would have returned.
@@ -43,6 +45,16 @@ def changed_runs(changes: DataFrame, as_of: AsOf) -> DataFrame:
     return to_run_state(changes.filter(F.col("feed_kind") != "missing"), as_of)
 
 
+def ordered_changes(changes: DataFrame, as_of: AsOf) -> tuple[DataFrame, DataFrame]:
+    """Changed and removed runs with the order in which they were observed, as the store takes them."""
+
+    marked = with_order(changes)
+    missing = F.col("feed_kind") == "missing"
+    key = ["workspace_id", F.col("job_id").cast("string").alias("job_id"), "run_id"]
+    found = marked.filter(~missing)
+    return to_run_state(found, as_of, ORDER_FIELDS), marked.filter(missing).select(*key, *ORDER_FIELDS)
+
+
 def removed_runs(changes: DataFrame) -> DataFrame:
     removed = changes.filter(F.col("feed_kind") == "missing")
     return removed.select("workspace_id", F.col("job_id").cast("string").alias("job_id"), "run_id")

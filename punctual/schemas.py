@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 RUN_STATE_TABLE = "workflow_run_api_state"
 JOB_STATE_TABLE = "workflow_job_api_state"
 SLA_CONFIG_TABLE = "workflow_sla_config"
-OBSERVED_TABLE = "workflow_run_observations"
+BATCH_TABLE = "workflow_collection_batches"
 
 SUCCEEDED, FAILED, CANCELLED, SKIPPED = "SUCCEEDED", "FAILED", "CANCELLED", "SKIPPED"
 UNSUCCESSFUL_STATES = (FAILED, CANCELLED, SKIPPED)
@@ -67,6 +67,15 @@ OBSERVED = T.StructType(
     ]
 )
 
+BATCHES = T.StructType(
+    [
+        _field("query_id", T.StringType(), False, "Identifier of the stream, fixed by its checkpoint"),
+        _field("batch_id", T.LongType(), False, "Number of its last micro-batch"),
+        _field("collected_at", T.TimestampType(), False, "Instant given to that batch, UTC"),
+        _field("finished", T.BooleanType(), False, "Whether all commits of the batch ended"),
+    ]
+)
+
 JOB_STATE = T.StructType(
     [
         _field("workspace_id", T.StringType(), False, "Workspace that owns the job"),

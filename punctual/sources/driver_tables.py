@@ -101,6 +101,34 @@ def listed_then_looked_up(raw: DataFrame) -> DataFrame:
     return raw.select(*S.RUN_KEY, F.inline(versions))
 
 
+def version_instant() -> Column:
+    """When a version of ``listed_then_looked_up`` was observed: lookups an hour after listings."""
+
+    looked_up = F.col("feed_kind") == "detail"
+    return F.when(looked_up, F.col("observed_at") + F.expr("INTERVAL 1 HOUR")).otherwise(F.col("observed_at"))
+
+
+def land_in_parts(records: DataFrame, path: str, parts: int = 3) -> int:
+    """Write records as landed files, span by span of their observation instants, the newest span first.
+
+    The bounds come from approximate quantiles of all records, so every span has about the same share. Returns
+    how many files make one of ``parts`` batches.
+    """
+
+    seen = F.unix_micros("observed_at")
+    shares = [k / parts for k in range(1, parts)]
+    bounds = records.agg(F.percentile_approx(seen, shares).alias("b")).first()["b"] or []
+    edges = [None, *sorted(bounds, reverse=True), None]
+    for high, low in zip(edges, edges[1:]):
+        span = F.lit(True)
+        if high is not None:
+            span &= seen < high
+        if low is not None:
+            span &= seen >= low
+        records.filter(span).write.mode("append").parquet(path)
+    return -(-len(records.sparkSession.read.parquet(path).inputFiles()) // parts)
+
+
 def run_state(spark: SparkSession, sf_dir: str, as_of: datetime = AS_OF) -> DataFrame:
     return to_run_state(raw_runs(spark, sf_dir), as_of)
 
