@@ -1,5 +1,6 @@
-"""The eight fixed-date workflows and the zone check."""
+"""Due deadlines at chosen instants, as both windows find them, and the zone check."""
 
+from dataclasses import dataclass
 from datetime import date
 
 import pytest
@@ -11,81 +12,62 @@ from punctual.functions.schedules import FIXED_DATE_HISTORY
 from punctual.operators.joins import BROADCAST, SHUFFLE
 from punctual.plans.checks import assert_checks, checks, due_in_both_windows
 
-# name, frequency, own field, judged at
-CASES = [
-    ("daily_miss", "daily", {}, "2026-09-25 05:00"),
-    ("daily_success", "daily", {}, "2026-09-25 05:00"),
-    ("monthly_miss", "monthly", {"day_of_month": 26}, "2026-09-25 05:00"),
-    ("weekly_miss", "weekly", {"day_of_week": "monday"}, "2026-09-28 05:00"),
-    ("fortnightly_miss", "fortnightly", {"first_deadline_date": date(2026, 9, 14)}, "2026-09-28 05:00"),
-    ("fortnightly_before_anchor", "fortnightly", {"first_deadline_date": date(2026, 10, 12)}, "2026-09-25 05:00"),
-    ("fortnightly_on_anchor", "fortnightly", {"first_deadline_date": date(2026, 10, 12)}, "2026-10-12 07:00"),
-    ("fortnightly_after_anchor", "fortnightly", {"first_deadline_date": date(2026, 10, 12)}, "2026-10-27 07:00"),
-]
-SUCCESSES = {
-    "daily_success": "2026-09-24 05:30",
-    "fortnightly_on_anchor": "2026-10-05 05:30",
-    "fortnightly_after_anchor": "2026-10-20 05:30",
+
+@dataclass(frozen=True)
+class Case:
+    """A workflow, the instant it is judged at, its successes, and the deadlines expected (UTC)."""
+
+    schedule: tuple
+    judged: str
+    successes: tuple = ()
+    last: str | None = None
+    status: str | None = None
+    following: str | None = None
+
+
+CASES = {
+    # 02:30 doesn't exist on 30 March in Paris, so the deadline is 03:30 summer time.
+    "gap hour, in time": Case(("daily", "02:30", "Europe/Paris", {}), "2025-03-30 12:00", ("2025-03-30 01:29",), "2025-03-30 01:30", "Met", "2025-03-31 00:30"),
+    "gap hour, a minute late": Case(("daily", "02:30", "Europe/Paris", {}), "2025-03-30 12:00", ("2025-03-30 01:31",), "2025-03-30 01:30", "Missed", "2025-03-31 00:30"),
+    "end of a short month": Case(("monthly", "09:15", "UTC", {"day_of_month": 31}), "2025-03-01 00:00", ("2025-01-31 09:15:01",), "2025-02-28 09:15", "Met", "2025-03-31 09:15"),
+    "success of the period before": Case(("monthly", "09:15", "UTC", {"day_of_month": 31}), "2025-03-01 00:00", ("2025-01-31 09:15",), "2025-02-28 09:15", "Missed", "2025-03-31 09:15"),
+    "day ahead of UTC": Case(("weekly", "18:00", "Asia/Tokyo", {"day_of_week": "saturday"}), "2025-05-03 09:00:01", ("2025-04-28 00:00",), "2025-05-03 09:00", "Met", "2025-05-10 09:00"),
+    "a second before it is due": Case(("weekly", "18:00", "Asia/Tokyo", {"day_of_week": "saturday"}), "2025-05-03 08:59:59", ("2025-04-28 00:00",), "2025-04-26 09:00", "Missed", "2025-05-03 09:00"),
+    "success at the deadline": Case(("fortnightly", "07:45", "UTC", {"first_deadline_date": date(2025, 7, 4)}), "2025-07-19 00:00", ("2025-07-18 07:45",), "2025-07-18 07:45", "Met", "2025-08-01 07:45"),
+    "first deadline still ahead": Case(("fortnightly", "07:45", "UTC", {"first_deadline_date": date(2025, 12, 24)}), "2025-12-01 00:00", following="2025-12-24 07:45"),
+    "first deadline passed": Case(("fortnightly", "07:45", "UTC", {"first_deadline_date": date(2025, 12, 24)}), "2025-12-24 08:00", last="2025-12-24 07:45", status="Missed", following="2026-01-07 07:45"),
 }
 
 
 @pytest.fixture(scope="module")
 def inputs(spark, make):
-    config = make.config(
-        *[("1", i, name, frequency, "06:00", "UTC", own) for i, (name, frequency, own, _) in enumerate(CASES)]
-    )
-    instants = spark.createDataFrame([(name, at(judged)) for name, _, _, judged in CASES], "workflow_name string, as_of timestamp")
+    config = make.config(*[("5", i, name, *case.schedule) for i, (name, case) in enumerate(CASES.items())])
+    instants = spark.createDataFrame([(name, at(case.judged)) for name, case in CASES.items()], "workflow_name string, as_of timestamp")
     workflows = (
         config.withColumn("workflow_name", F.col("configured_job_id"))
         .withColumn("job_id", F.col("configured_job_id"))
         .join(instants, "workflow_name")
     )
-    runs = make.runs(*[("1", name, i, end, end, "SUCCEEDED") for i, (name, end) in enumerate(SUCCESSES.items())])
-    return workflows, runs
+    ends = [(name, end) for name, case in CASES.items() for end in case.successes]
+    return workflows, make.runs(*[("5", name, i, end, end, "SUCCEEDED") for i, (name, end) in enumerate(ends)])
 
 
 @pytest.mark.parametrize("plan", [BROADCAST, SHUFFLE])
-def test_fixed_dates(inputs, plan):
-    facts = due_in_both_windows(*inputs, plan=plan, history=FIXED_DATE_HISTORY)
-    name = F.col("workflow_name")
-    last, old_last = F.col("current_last_deadline_utc"), F.col("history_last_deadline_utc")
-    following, old_following = F.col("current_next_deadline_utc"), F.col("history_next_deadline_utc")
-    status, old_status = F.col("current_last_status"), F.col("history_last_status")
-    current = F.col("current_sla_status")
-    flags = [F.col(f) for f in ("sla_pending_flag", "sla_missed_flag", "needs_attention_flag")]
-
-    def flagged(*wanted):
-        pending, missed, attention = (column == value for column, value in zip(flags, wanted, strict=True))
-        return pending & missed & attention
-
-    def due(text):
-        return F.lit(at(text))
-
-    missed_in_both = (current == "Missed") & (status == old_status)
-    met_in_both = (status == "Met") & (old_status == "Met")
-    expectations = {
-        "daily missed": (name == "daily_miss") & (last == due("2026-09-24 06:00")) & missed_in_both & flagged(0, 1, 1),
-        "monthly missed": (name == "monthly_miss") & (last == due("2026-08-26 06:00")) & missed_in_both & flagged(0, 1, 1),
-        "weekly boundary": (name == "weekly_miss") & (last == due("2026-09-21 06:00")) & missed_in_both,
-        "fortnightly boundary": (name == "fortnightly_miss") & (last == due("2026-09-14 06:00")) & missed_in_both,
-        "before the anchor": (name == "fortnightly_before_anchor")
-        & last.isNull()
-        & old_last.isNull()
-        & (following == due("2026-10-12 06:00"))
-        & (old_following == following)
-        & (current == "Pending")
-        & (flags[1] == 0),
-        "on the anchor": (name == "fortnightly_on_anchor") & (last == due("2026-10-12 06:00")) & (old_last == last) & met_in_both,
-        "after the anchor": (name == "fortnightly_after_anchor") & (last == due("2026-10-26 06:00")) & (old_last == last) & met_in_both,
-        "success": (name == "daily_success")
-        & (last == due("2026-09-24 06:00"))
-        & met_in_both
-        & (current == "Pending")
-        & flagged(1, 0, 0),
-    }
+def test_deadlines_at_fixed_dates(inputs, plan):
+    facts = due_in_both_windows(*inputs, plan=plan, history=FIXED_DATE_HISTORY).cache()
+    expectations = {}
+    for name, case in CASES.items():
+        wanted = F.col("workflow_name") == name
+        for window in ("current", "history"):
+            for column, text in (("last_deadline_utc", case.last), ("next_deadline_utc", case.following)):
+                wanted &= F.col(f"{window}_{column}").eqNullSafe(F.lit(at(text) if text else None).cast("timestamp"))
+            wanted &= F.col(f"{window}_last_status").eqNullSafe(F.lit(case.status))
+        missed = int(case.status == "Missed")
+        wanted &= (F.col("sla_missed_flag") == missed) & (F.col("needs_attention_flag") == missed)
+        expectations[name] = wanted
     result = checks(facts, expectations)
-    assert rows(result) == sorted((check, True) for check in expectations)
-    assert assert_checks(result).count() == len(expectations)
+    assert rows(result) == sorted((name, True) for name in CASES)
+    assert assert_checks(result).count() == len(CASES)
 
 
 def test_failed_check_raises(spark):
@@ -95,17 +77,14 @@ def test_failed_check_raises(spark):
 
 
 def test_zone_conversion(spark):
-    frame = spark.createDataFrame(
-        [
-            (date(2026, 1, 15), "06:00", "Australia/Melbourne"),
-            (date(2026, 3, 8), "02:30", "America/New_York"),
-            (date(2026, 11, 1), "01:30", "America/New_York"),
-        ],
-        "d date, t string, z string",
-    )
-    shown = frame.select(deadline_instant(F.col("d"), F.col("t"), F.col("z")).cast("string"))
-    assert [row[0] for row in shown.collect()] == [
-        "2026-01-14 19:00:00",
-        "2026-03-08 07:30:00",
-        "2026-11-01 05:30:00",
+    """A plain day, the hour that is skipped and the hour that occurs twice, east and west of UTC."""
+
+    cases = [
+        (date(2025, 6, 2), "00:15", "Asia/Kathmandu", "2025-06-01 18:30:00"),
+        (date(2025, 9, 28), "02:45", "Pacific/Auckland", "2025-09-27 14:45:00"),
+        (date(2025, 4, 6), "02:45", "Pacific/Auckland", "2025-04-05 13:45:00"),
+        (date(2025, 10, 26), "01:20", "Europe/London", "2025-10-26 00:20:00"),
     ]
+    frame = spark.createDataFrame([case[:3] for case in cases], "d date, t string, z string")
+    shown = frame.select(deadline_instant(F.col("d"), F.col("t"), F.col("z")).cast("string"))
+    assert [row[0] for row in shown.collect()] == [case[3] for case in cases]

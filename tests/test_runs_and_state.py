@@ -1,3 +1,4 @@
+import itertools
 from datetime import UTC, datetime
 
 import pytest
@@ -26,29 +27,26 @@ def raw(spark, *records):
     return spark.createDataFrame(full, S.RAW_RUN)
 
 
-@pytest.mark.parametrize(
-    ("lifecycle", "code", "expected"),
-    [
-        ("RUNNING", None, "RUNNING"),
-        ("running", None, "RUNNING"),
-        ("TERMINATING", "USER_CANCELED", "TERMINATING"),
-        ("INTERNAL_ERROR", None, "FAILED"),
-        ("TERMINATED", "SUCCESS", "SUCCEEDED"),
-        ("TERMINATED", "CANCELED", "CANCELLED"),
-        ("TERMINATED", "USER_CANCELED", "CANCELLED"),
-        ("TERMINATED", "DISABLED", "SKIPPED"),
-        ("TERMINATED", "SKIPPED", "SKIPPED"),
-        ("TERMINATED", "MAX_CONCURRENT_RUNS_EXCEEDED", "SKIPPED"),
-        ("TERMINATED", "MAX_JOB_QUEUE_SIZE_EXCEEDED", "SKIPPED"),
-        ("TERMINATED", "SUCCESS_WITH_FAILURES", "FAILED"),
-        ("TERMINATED", "RUN_EXECUTION_ERROR", "FAILED"),
-        ("TERMINATED", None, "FAILED"),
-        (None, None, "UNKNOWN"),
-    ],
-)
-def test_result_state(spark, lifecycle, code, expected):
-    record = raw(spark, (1, 2, 3, "2026-08-24 00:00", None, lifecycle, code, "active"))
-    assert runs.to_run_state(record, NOW).first()["result_state"] == expected
+def expected_state(lifecycle, code):
+    """The rule in words: only an ended run has a result, and only listed codes are no failure."""
+
+    if lifecycle is None:
+        return S.UNKNOWN
+    if lifecycle.upper() == "INTERNAL_ERROR":
+        return S.FAILED
+    if lifecycle.upper() != "TERMINATED":
+        return lifecycle.upper()
+    lists = ((S.SUCCESS_CODES, S.SUCCEEDED), (S.CANCEL_CODES, S.CANCELLED), (S.SKIP_CODES, S.SKIPPED))
+    return next((state for codes, state in lists if code in codes), S.FAILED)
+
+
+def test_result_state_of_every_pair(spark):
+    lifecycles = [None, "BLOCKED", "waiting", "Running", "TERMINATING", "TERMINATED", "INTERNAL_ERROR"]
+    codes = [None, "DRIVER_ERROR", *S.SUCCESS_CODES, *S.CANCEL_CODES, *S.SKIP_CODES]
+    pairs = list(itertools.product(lifecycles, codes))
+    records = raw(spark, *[(7, 70, k, "2025-02-03 04:05", None, lifecycle, code, "active") for k, (lifecycle, code) in enumerate(pairs)])
+    found = {r.run_id: r.result_state for r in runs.to_run_state(records, NOW).collect()}
+    assert found == {k: expected_state(*pair) for k, pair in enumerate(pairs)}
 
 
 def test_missing_start_takes_collection_time(spark):
@@ -78,13 +76,13 @@ def test_workspace_ids(spark):
     frame = spark.createDataFrame([("111",), ("011",), ("1a",), (None,), ("1\n",)], "w string")
     got = [row[0] for row in frame.select(run_states.is_valid_workspace_id(F.col("w"))).collect()]
     assert got[:4] == [True, False, False, False]
-    assert run_states.validated_workspace_id("123") == "123"
-    for bad in ("0123", "", "1 OR 1=1"):
-        with pytest.raises(ValueError, match="only digits"):
+    assert run_states.validated_workspace_id("8040") == "8040"
+    for bad in ("08", "", "8; DROP TABLE x", "8\n"):
+        with pytest.raises(ValueError, match="without leading zeros"):
             run_states.validated_workspace_id(bad)
-    assert run_states.quoted("main", "my-jobs") == "`main`.`my-jobs`"
-    with pytest.raises(ValueError, match="identifier"):
-        run_states.quoted("a`b")
+    assert run_states.quoted("lake", "state-2") == "`lake`.`state-2`"
+    with pytest.raises(ValueError, match="as a name"):
+        run_states.quoted("x`y")
 
 
 def test_later_feed_wins(spark):
@@ -156,120 +154,122 @@ def test_replace_workspace_by_nothing(make):
     assert rows(state.purge_workspace(stored, "2"), "workspace_id") == [("1",)]
 
 
-def test_checkpoints_and_windows(spark, make):
+def test_windows_resume_before_the_last_success(spark, make):
+    """The overlap lies before the last success; no success, or one beyond the retention, reads all of it."""
+
+    back = {"31": "2026-08-25 09:30", "32": "2026-06-26 12:15", "33": "2026-06-26 12:14", "34": "2026-02-02 00:00", "35": None}
     jobs = make.jobs(
-        (111, 42, "a", "2026-08-25 11:55", "2026-08-25 11:55", None),
-        (222, 42, "b", "2026-08-25 11:55", "2026-08-25 11:55", None),
-        (111, 99, "c", "2026-08-25 11:55", "2026-08-25 11:55", None),
-        (111, 7, "d", "2026-08-25 11:55", None, None),
-        (111, 8, "e", "2026-08-25 11:55", "2026-01-01 00:00", None),
+        *[(8, job, "j", "2026-08-25 11:00", success, None) for job, success in back.items()],
+        (9, 31, "other workspace", "2026-08-25 11:00", "2026-08-25 11:00", None),
+        (8, 36, "not monitored", "2026-08-25 11:00", "2026-08-25 11:00", None),
     )
-    monitored = spark.createDataFrame([("111", "42"), ("111", "7"), ("111", "8")], "workspace_id string, job_id string")
-    assert rows(state.checkpoints(jobs, monitored), "workspace_id", "job_id") == [("111", "42"), ("111", "8")]
+    monitored = spark.createDataFrame([("8", job) for job in [*back, "37"]], "workspace_id string, job_id string")
+    assert rows(state.checkpoints(jobs, monitored), "job_id") == [("31",), ("32",), ("33",), ("34",)]
     windows = state.incremental_windows(monitored, jobs, NOW)
+    whole = "2026-06-26 12:00:00"
     assert rows(windows, "job_id", F.col("incremental_start_at").cast("string")) == [
-        ("42", "2026-08-25 11:40:00"),
-        ("7", "2026-06-26 12:00:00"),
-        ("8", "2026-06-26 12:00:00"),
+        ("31", "2026-08-25 09:15:00"), *[(job, whole) for job in ("32", "33", "34", "35", "37")],
     ]
-
-
-def test_reconciliation_gap_bounds(spark, make):
-    stored = make.runs(
-        (111, 42, 900, "2026-08-23 00:00", None, "RUNNING"),
-        (111, 43, 901, "2026-08-23 00:00", None, "SUCCEEDED"),
-        (222, 42, 902, "2026-08-23 00:00", None, "RUNNING"),
-        (111, 99, 903, "2026-08-23 00:00", None, "RUNNING"),
-        (111, 42, 904, "2026-06-25 00:00", None, "RUNNING"),
-        (111, 42, 905, "2026-06-26 00:00", None, "RUNNING"),
-        (111, 42, 906, "2026-08-24 00:00", None, "RUNNING"),
-    )
+    assert {r[0] for r in rows(windows, F.col("history_start_at").cast("string"))} == {whole}
+
+
+def test_gap_holds_open_runs_between_the_bounds(spark, make):
+    low, high = "2025-10-01 00:00", "2025-11-01 00:00"
+    cases = {
+        1: ("5", "50", low, "RUNNING", True),
+        2: ("5", "50", "2025-09-30 23:59:59", "RUNNING", False),
+        3: ("5", "50", "2025-10-31 23:59:59", "QUEUED", True),
+        4: ("5", "50", high, "QUEUED", False),
+        **{5 + k: ("5", "50", "2025-10-10 10:00", state, False) for k, state in enumerate(S.TERMINAL_STATES)},
+        20: ("6", "50", "2025-10-10 10:00", "RUNNING", False),
+        21: ("5", "51", "2025-10-10 10:00", "RUNNING", False),
+        22: ("5", "50", "2025-10-10 10:00", S.UNKNOWN, True),
+    }
+    stored = make.runs(*[(ws, job, run, start, None, result) for run, (ws, job, start, result, _) in cases.items()])
     windows = spark.createDataFrame(
-        [("111", "42", at("2026-06-26 00:00"), at("2026-08-24 00:00"))],
+        [("5", "50", at(low), at(high))],
         "workspace_id string, job_id string, history_start_at timestamp, incremental_start_at timestamp",
     )
-    assert rows(state.nonterminal_gap(stored, windows), "run_id") == [(900,), (905,)]
+    assert {run for (run,) in rows(state.nonterminal_gap(stored, windows), "run_id")} == {run for run, case in cases.items() if case[-1]}
 
 
 @pytest.fixture
 def scenario(spark, make):
-    """Four stored open runs: expired, gone, finished meanwhile and recent."""
+    """One job, last collected at 11:00, so its window begins at 10:45; the runs are named for what becomes of them."""
 
+    job, ended = (5, 61), "2026-08-25 11:30"
+    OLD, GONE, DONE, LISTED, SILENT, NEW, EARLY = range(201, 208)
     stored = make.runs(
-        (111, 42, 700, "2026-06-11 12:00", None, "RUNNING"),
-        (111, 42, 800, "2026-08-15 12:00", None, "RUNNING"),
-        (111, 42, 900, "2026-08-23 12:00", None, "RUNNING"),
-        (111, 42, 950, "2026-08-25 11:50", None, "RUNNING"),
+        (*job, OLD, "2026-06-26 11:59", None, "RUNNING"),
+        (*job, GONE, "2026-07-30 08:00", None, "RUNNING"),
+        (*job, DONE, "2026-08-02 08:00", None, "QUEUED"),
+        (*job, LISTED, "2026-08-25 10:45", None, "RUNNING"),
+        (*job, SILENT, "2026-08-03 08:00", None, "RUNNING"),
     )
     feed = raw(
         spark,
-        (111, 42, 1000, "2026-08-25 11:58", "2026-08-25 11:59", "TERMINATED", "SUCCESS", "completed"),
-        (111, 42, 999, "2026-08-25 11:39:59", "2026-08-25 11:59", "TERMINATED", "SUCCESS", "completed"),
-        (111, 42, 950, "2026-08-25 11:50", None, "RUNNING", None, "active"),
-        (111, 42, 800, None, None, None, None, "missing"),
-        (111, 42, 900, "2026-08-23 12:00", "2026-08-23 12:01", "TERMINATED", "SUCCESS", "detail"),
-        (111, 42, 950, None, None, None, None, "missing"),
-        (111, 77, 1, "2026-08-25 11:58", None, "RUNNING", None, "active"),
+        (*job, NEW, "2026-08-25 10:45", ended, "TERMINATED", S.CANCEL_CODES[0], "completed"),
+        (*job, EARLY, "2026-08-25 10:44:59", ended, "TERMINATED", S.SUCCESS_CODES[0], "completed"),
+        (*job, LISTED, "2026-08-25 10:45", None, "RUNNING", None, "active"),
+        (*job, GONE, None, None, None, None, "missing"),
+        (*job, LISTED, None, None, None, None, "missing"),
+        (*job, DONE, "2026-08-02 08:00", "2026-08-02 09:00", "INTERNAL_ERROR", None, "detail"),
+        (5, 62, 1, ended, None, "RUNNING", None, "active"),
     )
-    jobs = make.jobs((111, 42, None, "2026-08-25 11:55", "2026-08-25 11:55", "old error"))
-    config = make.config((111, 1, 42, "daily", "06:00", "UTC", {}))
-    details = spark.createDataFrame([("111", 42, (" Daily Orders ",))], S.JOB_DETAILS)
+    jobs = make.jobs((*job, "before", "2026-08-25 11:00", "2026-08-25 11:00", "of last time"))
+    config = make.config((*job[:1], 1, job[1], "daily", "21:05", "UTC", {}))
+    details = spark.createDataFrame([("5", 61, ("\tweather grid ",))], S.JOB_DETAILS)
 
     def collect(*errors, names=details):
-        reported = spark.createDataFrame([("111", 42, *error) for error in errors], S.COLLECTION_ERRORS)
+        reported = spark.createDataFrame([("5", 61, *error) for error in errors], S.COLLECTION_ERRORS)
         return collect_round(stored, jobs, config, feed, names, reported, NOW)
 
     return collect
 
 
-def test_collection_round(scenario):
+def test_round_without_errors(scenario):
     result = scenario()
-    # 950 is inside the incremental window, so its lookup answer is ignored.
-    assert rows(result.runs, "run_id", "result_state") == [
-        (1000, "SUCCEEDED"),
-        (900, "SUCCEEDED"),
-        (950, "RUNNING"),
-    ]
-    assert rows(removed_runs(result.changes), "run_id") == [(800,)]
-    assert rows(result.jobs, "job_name", F.col("last_successful_collection_at") == F.lit(NOW), "last_error_message") == [
-        ("Daily Orders", True, None)
-    ]
+    assert rows(result.runs, "run_id", "result_state") == [(203, "FAILED"), (204, "RUNNING"), (205, "RUNNING"), (206, "CANCELLED")]
+    assert rows(removed_runs(result.changes), "run_id") == [(202,)]
+    success = F.col("last_successful_collection_at") == F.lit(NOW)
+    assert rows(result.jobs, "job_name", success, "last_error_message") == [("weather grid", True, None)]
 
 
-def test_lookup_failure_keeps_confirmed_deletions(scenario):
-    result = scenario(("lookup", "later\n failure"))
-    assert (800, "RUNNING") not in rows(result.runs, "run_id", "result_state")
-    success = F.col("last_successful_collection_at").cast("string")
-    assert rows(result.jobs, success, "last_error_message") == [("2026-08-25 11:55:00", "later failure")]
-    assert rows(failed_jobs(result.job_updates), "job_id") == [("42",)]
+# A failing stage, the records that arrive all the same, and whether confirmed absences still count.
+STAGES = {"details": ([], False), "completed": ([206], False), "active": ([204, 206], False), "lookup": ([203, 204, 206], True)}
 
 
-@pytest.mark.parametrize(("stage", "arrived"), [("details", []), ("completed", [1000]), ("active", [950, 1000])])
-def test_failed_stage_hides_later_ones(scenario, stage, arrived):
-    result = scenario((stage, "unavailable"))
+@pytest.mark.parametrize("stage", STAGES)
+def test_failed_stage_hides_later_ones(scenario, stage):
+    arrived, removes = STAGES[stage]
+    result = scenario((stage, f"{stage}\n  timed\tout"))
     assert sorted(run for (run,) in rows(changed_runs(result.changes, NOW), "run_id")) == arrived
-    assert removed_runs(result.changes).count() == 0
+    assert rows(removed_runs(result.changes), "run_id") == ([(202,)] if removes else [])
+    success = F.col("last_successful_collection_at").cast("string")
+    assert rows(result.jobs, success, "last_error_message") == [("2026-08-25 11:00:00", f"{stage} timed out")]
+    assert rows(failed_jobs(result.job_updates), "job_id") == [("61",)]
 
 
 def test_blank_name_fails_the_job(spark, scenario):
-    blank = spark.createDataFrame([("111", 42, (" ",))], S.JOB_DETAILS)
-    result = scenario(names=blank)
-    assert rows(result.job_updates, "last_error_message") == [("Jobs API returned no name for job ID 42",)]
-    assert result.changes.count() == 0
+    for name in (" \n", None):
+        result = scenario(names=spark.createDataFrame([("5", 61, (name,))], S.JOB_DETAILS))
+        assert rows(result.job_updates, "last_error_message") == [("Jobs API returned no name for job ID 61",)]
+        assert result.changes.count() == 0
 
 
 def test_catalogue(spark):
-    jobs = spark.createDataFrame(
-        [(30, "orders nightly"), (10, "Billing\nexport"), (123456, "placeholder twin"), (20, None), (40, "")],
-        "job_id long, name string",
-    )
-    listed = spark.createDataFrame([(123456,)], "job_id long")
+    names = {4: "Zebra count", 7: None, 11: "ärger  report", 15: "zebra feed", 16: "", 23: "Ärger mail", 9007: "twin"}
+    jobs = spark.createDataFrame(list(names.items()), "job_id long, name string")
+    listed = spark.createDataFrame([(9007,), (15,)], "job_id long")
     shown = catalogue.candidate_jobs(jobs, listed, ordered=True).collect()
-    assert [(r["job_id"], r["already_monitored"]) for r in shown] == [
-        (20, False), (40, False), (10, False), (30, False), (123456, True),
-    ]
-    assert rows(catalogue.candidate_jobs(jobs, listed, "ORDERS"), "job_id") == [(30,)]
-    entries = catalogue.default_entries(catalogue.new_jobs(jobs, listed), "06:30")
-    assert (10, "active", "daily", "06:30", "Billing export") in rows(entries)
-    with pytest.raises(ValueError, match="HH:MM"):
-        catalogue.default_entries(jobs, "25:00")
+    assert {r["job_id"] for r in shown if r["already_monitored"]} == {9007, 15} and len(shown) == len(names)
+    folded = [(r["name"] or "").upper().lower() for r in shown]
+    assert folded == sorted(folded)
+    assert {job for (job,) in rows(catalogue.candidate_jobs(jobs, listed, "ÄRGER"), "job_id")} == {11, 23}
+    assert {job for (job,) in rows(catalogue.candidate_jobs(jobs, listed, "zEBRA"), "job_id")} == {4, 15}
+    entries = rows(catalogue.default_entries(catalogue.new_jobs(jobs, listed), "18:40"))
+    assert {entry[0] for entry in entries} == {4, 7, 11, 16, 23}
+    assert (11, "active", "daily", "18:40", "ärger report") in entries
+    for bad in ("18:4", "24:00", ""):
+        with pytest.raises(ValueError, match="HH:MM"):
+            catalogue.default_entries(jobs, bad)
