@@ -36,8 +36,7 @@ def op3_segment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
-    return lm_scoring.score_documents(documents, lm_scoring.fit_models(documents, table(spark, sf_dir, "labels")))
+    return lm_scoring.score_documents(lm_scoring.fit_models(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from llm import embedding_dedup, html_text, language_id, lm_scoring, minhash, packing, piece_sampling, quality, toxicity, vector_search
+from llm import embedding_dedup, html_text, language_id, minhash, packing, piece_sampling, quality, toxicity, vector_search
 from llm.shipping import ready
 from llm.textbatch import crc_bucket
 
@@ -367,35 +367,6 @@ def test_counterfactual_pairs_lower_false_alarms(spark):
     assert abs(fair[1] - fair[2]) < abs(biased[1] - biased[2]) and fair[1] < 0.5 < fair[3]
 
 
-def test_lm_scoring(spark, documents, labels):
-    models = lm_scoring.fit_models(documents, labels)
-    found = lm_scoring.score_documents(documents, models)
-    assert found.count() == 11
-    empty = {r.doc_id: r for r in found.collect()}[4]
-    assert (empty.n_tokens, empty.score) == (0, 0.0)
-    assert lm_scoring.score_documents(none(documents), lm_scoring.fit_models(none(documents), none(labels))).count() == 0
-    # brute force on one document: the same buckets, one token after the other
-    text = "the cat sat on the mat"
-    target, background = models
-    data = np.frombuffer(text.encode(), np.uint8)
-    word, before, pair, _ = lm_scoring.tokens(data, np.array([0, len(data)]), target.settings)
-    s, losses = target.settings, []
-    for w, b, p in zip(word, before, pair, strict=True):
-        single = (target.words[w] + s.pseudo_words) / (target.words.sum() + s.pseudo_words * s.vocabulary)
-        seen, context = (min(target.pairs[p], target.words[b]), target.words[b]) if b >= 0 else (0, 0)
-        losses.append(-np.log((seen + s.pseudo_pairs * single) / (context + s.pseudo_pairs)))
-    one = lm_scoring.score_documents(spark.createDataFrame([(1, text)], "doc_id long, text string"), models).first()
-    assert one.n_tokens == 6 and abs(one.target_loss - np.mean(losses)) < 1e-9
-
-
-def test_lm_target_counts_every_good_document(spark):
-    ids = spark.range(12_000).withColumnRenamed("id", "doc_id")
-    made = ids.withColumn("text", F.concat(F.lit("word w"), F.col("doc_id").cast("string")))
-    target, background = lm_scoring.fit_models(made, ids.withColumn("quality", (F.col("doc_id") % 2).cast("int")).union(ids.withColumn("quality", F.lit(1))))
-    assert target.words.sum() == 24_000 and target.pairs.sum() == 12_000
-    assert abs(background.words.sum() - 24_000) < 1e-6
-
-
 PAGE = (
     "<html><head><title>t</title></head><body><div class='nav'><ul><li>Home</li><li>About</li></ul></div>"
     "<div id='top'>Daily   Paper</div><div id='x'><h2>{title}</h2><p>{one}&amp; more<br>text<p>{two}<script>var a='</p>';</script></div>"
