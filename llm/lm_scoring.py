@@ -1,13 +1,14 @@
 """Cross-entropy difference of two matched n-gram models, counted exactly over the whole corpus.
 
 A target model (documents labelled good) and a background model (all documents) share one vocabulary: all
-words and word pairs of the corpus, as 64-bit keys. Both have the same form. A token's loss is the weighted mean of
-its unigram loss and its bigram loss, the bigram probability being the smoothed share of the pair over that of
-the word before. Background counts are scaled to the number of target tokens. Every document is scored
+words and word pairs of the corpus, as 56-bit keys, and a boundary before the first and after the last word. Both
+have the same form. An event's (a word's or the end's) loss is the weighted mean of its unigram loss and its bigram
+loss, the bigram probability being the smoothed share of the pair over that of the event before. Background counts are scaled to the number of target tokens. Every document is scored
 against what the *other* documents hold: its own counts are taken out of both models first. The score is
-the mean over its tokens of target loss minus background loss; lower means more like the target.
+the mean over its events of target loss minus background loss; lower means more like the target.
 
-The loss is a sum of logarithms of single counts, so no task needs the model as a whole:
+Every word is the event before exactly one other, so a text's loss is a sum over its keys, a word weighing
+2 * ``unigram`` - 1 each time and a pair 1 - ``unigram``. No task needs a model as a whole:
 
 1. Keys that make up a share ``heavy`` of the corpus are found with bounded summaries per task; there can be at most
    2 / ``heavy`` of them, so they are broadcast with their exact counts, and no key is hot in what follows.
@@ -47,8 +48,8 @@ class Settings:
     unigram: float = 0.7
     pseudo_words: float = 0.1
     pseudo_pairs: float = 0.01
-    heavy: float = 2e-6
-    bucket: int = 4_000_000
+    heavy: float = 1e-6
+    bucket: int = 1_000_000
     summary: int = 1 << 18
     filter_bits: int = 1 << 24
 
@@ -67,44 +68,49 @@ class Models:
 
 @dataclass
 class Postings:
-    """Distinct keys of each row with their number and the weight of their loss; words first, pairs flagged."""
+    """Distinct keys of each row with the number of their occurrences, sorted by key, then row."""
 
     keys: np.ndarray
     rows: np.ndarray
     times: np.ndarray
-    weights: np.ndarray
     n_tokens: np.ndarray
 
 
+#: The lowest bit of a key tells pairs from words; the upper byte is empty. The boundary is a word of its own.
 _PAIR = np.uint64(1)
+_KEY_BITS = np.uint64(56)
+_BOUNDARY = np.uint64(0x5BD1E995)
 
 
-def postings(data: np.ndarray, offsets: np.ndarray, settings: Settings) -> Postings:
-    """The keys of consecutive texts, sorted by key, then row. The lowest bit of a key tells pairs from words."""
+def _key(hashes: np.ndarray, pair: bool) -> np.ndarray:
+    return (hashes >> (np.uint64(64) - _KEY_BITS) | _PAIR) ^ (np.uint64(0) if pair else _PAIR)
+
+
+def postings(data: np.ndarray, offsets: np.ndarray) -> Postings:
+    """The keys of consecutive texts; a text without words has none, not even the boundary."""
 
     n_rows = len(offsets) - 1
     starts, ends, rows = word_spans(data, offsets)
     if not len(starts):
         none = np.zeros(0, np.int64)
-        return Postings(none.astype(np.uint64), none, none, none.astype(float), np.zeros(n_rows, np.int64))
+        return Postings(none.astype(np.uint64), none, none, np.zeros(n_rows, np.int64))
+    n_tokens = np.bincount(rows, minlength=n_rows)
     words = span_hashes(prefix_sums(fold_case(data)), starts, ends)
-    follows = rows[1:] == rows[:-1]
-    pairs = mix(words[:-1][follows] * np.uint64(0x9E3779B97F4A7C15) + words[1:][follows]) | _PAIR
-    words &= ~_PAIR
-    # A token weighs its unigram loss, a pair its joint loss less the unigram loss of its first word.
-    lam = settings.unigram
-    weight = np.full(len(words), lam)
-    weight[np.concatenate([[True], ~follows])] += 1 - lam
-    weight[:-1][follows] -= 1 - lam
-    keys = np.concatenate([words, pairs])
-    owner = np.concatenate([rows, rows[1:][follows]])
-    weight = np.concatenate([weight, np.full(len(pairs), 1 - lam)])
+    # Each text's events: its words, then the boundary; the event before the first word is the boundary too.
+    last = np.flatnonzero(np.append(rows[1:] != rows[:-1], True))
+    events = np.insert(words, last + 1, _BOUNDARY)
+    owner = np.insert(rows, last + 1, rows[last])
+    before = np.concatenate([[_BOUNDARY], events[:-1]])
+    pairs = mix(before * np.uint64(0x9E3779B97F4A7C15) + events)
+    keys, owner = np.concatenate([_key(events, False), _key(pairs, True)]), np.concatenate([owner, owner])
     order = np.lexsort((owner, keys))
-    keys, owner, weight = keys[order], owner[order], weight[order]
-    first = np.concatenate([[True], (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])])
-    at = np.flatnonzero(first)
-    times = np.diff(np.append(at, len(keys)))
-    return Postings(keys[at], owner[at], times, np.add.reduceat(weight, at), np.bincount(rows, minlength=n_rows))
+    keys, owner = keys[order], owner[order]
+    at = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])]))
+    return Postings(keys[at], owner[at], np.diff(np.append(at, len(keys))), n_tokens)
+
+
+def weights(keys: np.ndarray, times: np.ndarray, settings: Settings) -> np.ndarray:
+    return np.where(keys & _PAIR, 1 - settings.unigram, 2 * settings.unigram - 1) * times
 
 
 def _totals(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -138,7 +144,8 @@ def _flagged(documents: DataFrame, labels: DataFrame, id_col: str, text_col: str
     marked = source.withColumn("p", place(F.col("id"))).withColumn("word", F.expr("p div 64"))
     marked = marked.join(F.broadcast(bits), "word", "left")
     maybe = F.col("id").isNotNull() & F.coalesce(F.expr("shiftright(bits, cast(p % 64 as int)) & 1L = 1L"), F.lit(False))
-    known = marked.where(maybe).select("id", "text").join(good.withColumn("target", F.lit(True)), "id", "left")
+    # The same join at every size: a plan that broadcasts small label tables says nothing about large ones.
+    known = marked.where(maybe).select("id", "text").join(good.withColumn("target", F.lit(True)).hint("merge"), "id", "left")
     known = known.select("id", "text", F.coalesce("target", F.lit(False)).alias("target"))
     ordered = known.sortWithinPartitions("id", F.xxhash64("text"), "target")
     return marked.where(~maybe).select("id", "text", F.lit(False).alias("target")).unionByName(ordered)
@@ -167,7 +174,7 @@ def fit_models(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         keys, counts, seen = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
         for batch in batches:
             for _, _, data, offsets, _ in chunks(batch.column("text")):
-                own = postings(data, offsets, settings)
+                own = postings(data, offsets)
                 seen += int(own.times.sum())
                 more, n = _totals(own.keys, own.times)
                 joined = np.concatenate([keys, more])
@@ -199,7 +206,7 @@ def fit_models(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         for batch in batches:
             good = _flags(batch)
             for low, high, data, offsets, _ in chunks(batch.column("text")):
-                found = postings(data, offsets, settings)
+                found = postings(data, offsets)
                 mine = good[low:high]
                 at, hit = _positions(keys, found.keys)
                 np.add.at(every, at[hit], found.times[hit])
@@ -277,25 +284,24 @@ def _blocks(batches: Iterator[pa.RecordBatch], held: Models, buckets: int) -> It
     for batch in batches:
         good = _flags(batch)
         for low, high, data, offsets, _ in chunks(batch.column("text")):
-            found, mine = postings(data, offsets, held.settings), good[low:high]
+            found, mine = postings(data, offsets), good[low:high]
             at, hit = _positions(held.keys, found.keys)
             sums = _row_sums(found, hit, held.counts[at[hit]], held.target[at[hit]], mine, held, high - low)
             light = ~hit
             # Unanswered keys have count zero in both models.
             alone = _row_sums(found, light, found.times[light], found.times[light] * mine[found.rows[light]], mine, held, high - low)
-            spread = [np.bincount(found.rows, weights=found.weights * ((found.keys & _PAIR) == kind), minlength=high - low) for kind in (0, 1)]
             head = pa.RecordBatch.from_arrays(
-                [batch.column("id").slice(low, high - low), *map(pa.array, (found.n_tokens, mine, *spread, *(a + b for a, b in zip(sums, alone))))],
-                ["id", "n_tokens", "mine", "word_weight", "pair_weight", "target_sum", "background_sum"],
+                [batch.column("id").slice(low, high - low), *map(pa.array, (found.n_tokens, mine, *(a + b for a, b in zip(sums, alone))))],
+                ["id", "n_tokens", "mine", "target_sum", "background_sum"],
             )
             rows = [(int(block % buckets), block, 0, b"", _bytes_of(head))]
-            keys, owner, times, weights = found.keys[light], found.rows[light], found.times[light], found.weights[light]
+            keys, owner, times = found.keys[light], found.rows[light], found.times[light]
             # Keys are sorted, so each bucket of their upper bits is one stretch.
-            home = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+            home = ((keys >> (_KEY_BITS - np.uint64(32))) * np.uint64(buckets)) >> np.uint64(32)
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(home)) + 1, [len(keys)]]) if len(keys) else [0]
             signed = np.where(mine[owner], -times, times).astype(np.int32)
             for a, b in zip(cuts, cuts[1:]):
-                packed = _pack(keys[a:b], owner[a:b].astype(np.uint32), signed[a:b], weights[a:b].astype(np.float32))
+                packed = _pack(keys[a:b], owner[a:b].astype(np.uint32), signed[a:b])
                 rows.append((int(home[a]), block, b - a, packed, None))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(values, kind) for values, kind in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))],
@@ -311,7 +317,7 @@ def _row_sums(found: Postings, which: np.ndarray, counts, target, mine: np.ndarr
         return np.zeros(n_rows), np.zeros(n_rows)
     rows, times = found.rows[which], found.times[which]
     logs = log_counts(found.keys[which], counts - times, target - times * mine[rows], models)
-    return tuple(np.bincount(rows, weights=found.weights[which] * log, minlength=n_rows) for log in logs)
+    return tuple(np.bincount(rows, weights=weights(found.keys[which], times, models.settings) * log, minlength=n_rows) for log in logs)
 
 
 def _bytes_of(batch: pa.RecordBatch) -> bytes:
@@ -333,23 +339,24 @@ def _answer(batches: Iterator[pa.RecordBatch], models: Models) -> Iterator[pa.Re
                 yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((block, 0, b"", head), kinds)], names)
             else:
                 blocks.append(np.full(n, block, np.int64))
-                parts.append(_unpack(packed, n, np.uint64, np.uint32, np.int32, np.float32))
+                parts.append(_unpack(packed, n, np.uint64, np.uint32, np.int32))
     if not parts:
         return
     block = np.concatenate(blocks)
-    keys, rows, signed, weights = (np.concatenate(values) for values in zip(*parts))
+    keys, rows, signed = (np.concatenate(values) for values in zip(*parts))
     del blocks, parts
     order = np.argsort(keys, kind="stable")
-    keys, block, rows, signed, weights = keys[order], block[order], rows[order], signed[order].astype(np.int64), weights[order]
+    keys, block, rows, signed = keys[order], block[order], rows[order], signed[order].astype(np.int64)
     at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     size = np.diff(np.append(at, len(keys)))
     shared = np.repeat(size > 1, size)
     times, mine = np.abs(signed), signed < 0
     counts = np.repeat(np.add.reduceat(times, at), size) - times
     target = np.repeat(np.add.reduceat(times * mine, at), size) - times * mine
-    keys, block, rows, weights, counts, target = (v[shared] for v in (keys, block, rows, weights, counts, target))
+    keys, block, rows, times, counts, target = (v[shared] for v in (keys, block, rows, times, counts, target))
     zero = np.zeros(len(keys), np.int64)
-    changes = [weights * (log - none) for log, none in zip(log_counts(keys, counts, target, models), log_counts(keys, zero, zero, models))]
+    weight = weights(keys, times, models.settings)
+    changes = [weight * (log - none) for log, none in zip(log_counts(keys, counts, target, models), log_counts(keys, zero, zero, models))]
     order = np.lexsort((rows, block))
     block, rows = block[order], rows[order]
     new = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (rows[1:] != rows[:-1])])) if len(block) else np.zeros(0, np.int64)
@@ -372,12 +379,13 @@ def _finish(batches: Iterator[pa.RecordBatch], models: Models, schema: pa.Schema
     def done() -> Iterator[pa.RecordBatch]:
         if head is None:
             return
-        n, mine, words, pairs = (np.asarray(head.column(name).to_numpy(zero_copy_only=False)) for name in ("n_tokens", "mine", "word_weight", "pair_weight"))
+        n, mine = (np.asarray(head.column(name).to_numpy(zero_copy_only=False)) for name in ("n_tokens", "mine"))
         # Both models have the size of the target and the document's own tokens are out of both.
         scale = models.target_tokens / max(1, models.tokens)
         sizes = [models.target_tokens - n * mine, (models.tokens - n) * scale]
-        losses = [np.log(np.maximum(size, 0) + 1.0) * (words + pairs) - total for size, total in zip(sizes, sums)]
-        one, two = (np.where(n > 0, loss / np.maximum(n, 1), 0.0) for loss in losses)
+        # The weights of an event's keys add up to ``unigram``.
+        losses = [np.log(np.maximum(size, 0) + 1.0) * models.settings.unigram - total / (n + 1) for size, total in zip(sizes, sums)]
+        one, two = (np.where(n > 0, loss, 0.0) for loss in losses)
         yield pa.RecordBatch.from_arrays([head.column("id"), *map(pa.array, (n, one, two, one - two))], schema=schema)
 
     for batch in batches:

@@ -23,17 +23,24 @@ def slow_scores(rows, good, s=lm_scoring.Settings()):
     """(n_tokens, target loss, background loss) of each (id, text): every token by its formula."""
 
     counted = [(i is not None and i in good, folded(text)) for i, text in rows]
+
+    def keys_of(words):
+        events = [*words, None] if words else []
+        return events, list(zip([None, *events], events))
+
     models = [Counter(), Counter()]
     sizes = [0, 0]
     for mine, words in counted:
         for model, taken in ((0, mine), (1, True)):
             if taken:
-                models[model].update(words)
-                models[model].update(zip(words, words[1:]))
+                events, pairs = keys_of(words)
+                models[model].update(events)
+                models[model].update(pairs)
                 sizes[model] += len(words)
     scale = sizes[0] / max(1, sizes[1])
     for mine, words in counted:
-        own = Counter(words) + Counter(zip(words, words[1:]))
+        events, pairs = keys_of(words)
+        own = Counter(events) + Counter(pairs)
         losses = []
         for model in (0, 1):
             removed = model == 1 or mine
@@ -45,14 +52,10 @@ def slow_scores(rows, good, s=lm_scoring.Settings()):
 
             size = math.log(max(0, sizes[model] - (len(words) if removed else 0)) * times + 1)
             total = 0.0
-            for k, word in enumerate(words):
-                single = size - log(word)
-                if k == 0:
-                    total += single
-                else:
-                    joint, context = size - log((words[k - 1], word)), size - log(words[k - 1])
-                    total += s.unigram * single + (1 - s.unigram) * (joint - context)
-            losses.append(total / len(words) if words else 0.0)
+            for event, pair in zip(events, pairs):
+                bigram = (size - log(pair)) - (size - log(pair[0]))
+                total += s.unigram * (size - log(event)) + (1 - s.unigram) * bigram
+            losses.append(total / len(events) if events else 0.0)
         yield len(words), *losses
 
 
