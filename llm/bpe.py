@@ -66,7 +66,8 @@ class BytePairIds:
             "byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
         self.whole = Tokenizer.from_file(tokenizer_file)
-        self.whole.encode_special_tokens = True
+        # Texts that spell out an added token get its id, which only the whole tokenizer knows.
+        self.added = [token.content.encode() for token in self.whole.get_added_tokens_decoder().values()]
         self.ascii_class, self.wide_class = _classes()
         self.cached = cached
         self.line_end = ranks[b"\n"]
@@ -199,7 +200,7 @@ class BytePairIds:
             return np.zeros(0, np.int32), np.zeros(rows + 1, np.int64)
         kinds = self._kinds(data)
         foreign = np.concatenate([[0], np.cumsum(kinds == _FOREIGN)])
-        strange = foreign[offsets[1:]] > foreign[offsets[:-1]]
+        strange = (foreign[offsets[1:]] > foreign[offsets[:-1]]) | self._spells_added(data, offsets)
         if not strange.any():
             return self._plain(data, kinds, offsets)
         bounds, parts = np.zeros(rows + 1, np.int64), []
@@ -222,6 +223,19 @@ class BytePairIds:
             run = end
         return np.concatenate(parts), np.cumsum(bounds)
 
+    def _spells_added(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Rows that hold the text of an added token."""
+
+        rows, whole = np.zeros(len(offsets) - 1, bool), data.tobytes()
+        for token in self.added:
+            at = whole.find(token)
+            while at >= 0:
+                row = int(np.searchsorted(offsets, at, side="right")) - 1
+                rows[row] |= at + len(token) <= offsets[row + 1]
+                # The rest of a row that is marked needs no search.
+                at = whole.find(token, max(at + 1, int(offsets[row + 1]) if rows[row] else 0))
+        return rows
+
     def _plain(self, data: np.ndarray, kinds: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows = len(offsets) - 1
         if not len(data):

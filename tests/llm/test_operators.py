@@ -81,7 +81,6 @@ def brute_ids():
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_file(packing.vocabulary_paths()[0])
-    coder.encode_special_tokens = True
     return lambda text: [*coder.encode(text or "", add_special_tokens=False).ids, 1]
 
 
@@ -123,6 +122,16 @@ def test_packing_whole_table(spark):
     assert used.padding < 0.03 * used.ids
 
 
+def test_packing_spelled_out_tokens(spark):
+    """Added tokens in a text get their own ids, also beside plain rows, at row ends and across them."""
+
+    token = "<|endoftext|>"
+    texts = [token, f"a {token}b", "plain words", token * 3, f"汉字 {token}", "<|endof", "text|>", f"{token[:-1]} >", f"é\x85{token}", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    assert_packed(list(enumerate(texts)), packing.pack_documents(docs).collect())
+    assert brute_ids()(token) == [50256, 1]
+
+
 def test_cut_points_cover_every_length():
     settings = packing.Settings()
     for length in range(1, 5000):
