@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from llm.sampling import sample_labels
 from llm.shipping import ready
-from llm.textbatch import byte_set, chunks, fold_case, map_rows, prefix_sums, span_hashes, word_spans
+from llm.textbatch import byte_set, chunks, fold_case, map_rows, mix, prefix_sums, span_hashes, word_spans
 
 # Identity terms by group; a swap stays within a group.
 IDENTITY_TERMS = (
@@ -53,10 +53,12 @@ _STOPS_COUNT = _STOPS.astype(np.int64)
 
 @dataclass(frozen=True)
 class Settings:
-    """``documents_per_class`` bounds the training sample, ``sentence_words`` a sentence. Features in
-    fewer than ``least_documents`` of the sample have no weight."""
+    """``documents_per_class`` bounds the training sample, ``document_sentences`` what it takes of one document
+    (the sentences of smallest hash), ``sentence_words`` a sentence: together at most 0.6 GB. Features in
+    fewer than ``least_documents`` of the sample have no weight. Scores read whole texts."""
 
     documents_per_class: int = 1500
+    document_sentences: int = 256
     bits: int = 18
     sentence_words: int = 64
     steps: int = 60
@@ -124,6 +126,14 @@ def swapped_sentences(text: str, settings: Settings) -> list[tuple[str, str]]:
     return found
 
 
+def _some(n: int, most: int) -> np.ndarray:
+    """At most ``most`` of the places 0 to n - 1, in order, spread by a hash."""
+
+    if n <= most:
+        return np.arange(n)
+    return np.sort(np.argpartition(mix(np.arange(1, n + 1, dtype=np.uint64)), most)[:most])
+
+
 def training_rows(documents: DataFrame, sample: DataFrame, settings: Settings) -> DataFrame:
     """Features of the sampled documents and of the counterfactual pairs of their sentences."""
 
@@ -144,10 +154,13 @@ def training_rows(documents: DataFrame, sample: DataFrame, settings: Settings) -
             words = np.append(first, len(features))
             bounds = np.searchsorted(rows, np.arange(high - low + 1))
             for row in range(high - low):
-                own = slice(words[bounds[row]], words[bounds[row + 1]])
-                add(low + row, False, features[own], first[bounds[row] : bounds[row + 1]] - own.start)
+                chosen = bounds[row] + _some(bounds[row + 1] - bounds[row], settings.document_sentences)
+                parts = [features[words[k] : words[k + 1]] for k in chosen]
+                own = np.concatenate(parts) if parts else features[:0]
+                add(low + row, False, own, np.cumsum([0, *map(len, parts)])[:-1])
                 text = data[offsets[row] : offsets[row + 1]].tobytes().decode()
-                for pair in swapped_sentences(text, settings):
+                pairs = swapped_sentences(text, settings)
+                for pair in (pairs[k] for k in _some(len(pairs), settings.document_sentences)):
                     parts = [np.frombuffer(x.encode(), np.uint8) for x in pair]
                     both = [sentence_features(x, np.array([0, len(x)]), settings)[0] for x in parts]
                     add(low + row, True, np.concatenate(both), np.array([0, len(both[0])]))

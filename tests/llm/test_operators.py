@@ -329,6 +329,17 @@ def test_kth_largest(spark):
     assert quality.kth_largest(df, "x", 801) is None and quality.kth_largest(df, "x", 0) is None
 
 
+def test_toxicity_sample_is_bounded_by_document(spark):
+    long = "the muslim man said so. " * 50_000
+    docs = spark.createDataFrame([(1, long, 1), (2, "one. two. three", 0)], "id long, text string, y int")
+    sample = docs.select("id", "y")
+    settings = toxicity.Settings()
+    rows = toxicity.training_rows(docs.select("id", "text"), sample, settings).toPandas()
+    documents = rows[~rows["pair"]].set_index("id")
+    assert len(documents.loc[1, "first"]) == 4 * settings.document_sentences and len(documents.loc[2, "first"]) == 4 * 3
+    assert int(rows["pair"].sum()) == settings.document_sentences
+
+
 def test_toxicity_odd_rows(spark, documents, labels):
     model = toxicity.fit_toxicity(documents, labels)
     found = toxicity.score_toxicity(documents, model)
