@@ -17,6 +17,7 @@ decoding gives back every text unchanged.
 
 from __future__ import annotations
 
+import math
 import zlib
 from dataclasses import dataclass
 
@@ -135,7 +136,7 @@ class PieceLattice:
             if len(rows):
                 parts += self._short(data, sums, bare, starts[rows], sizes[rows], base[rows], high)
         for row in np.flatnonzero(sizes > self.settings.short):
-            parts.append(self._long(data, bare, int(starts[row]), int(sizes[row]), int(base[row])))
+            parts += self._long(data, sums, bare, int(starts[row]), int(sizes[row]), int(base[row]))
         node, rank, share, piece, length = (np.concatenate(x) for x in zip(*parts, strict=True))
         first = np.concatenate([[0], np.cumsum(np.bincount(node, minlength=base[-1]))])
         slot = first[node] + rank
@@ -177,32 +178,47 @@ class PieceLattice:
                 rank[hit] += 1
         return parts
 
-    def _long(self, data, bare, start, size, base):
-        text = data[start : start + size].tobytes()
-        alpha = [-np.inf] * (size + 1)
+    def _long(self, data, sums, bare, start, size, base):
+        """Like ``_short`` for one long segment: edges are found for blocks of positions at once, and
+        only the running sum over them goes from position to position."""
+
+        alpha = np.full(size + 1, -np.inf)
         alpha[0] = 0.0
-        out = [], [], [], [], []
-        for end in range(1, size + 1):
-            edges = []
+        reach = [-np.inf] * self.lengths[-1] + [0.0]  # alphas of the last positions, the newest last
+        parts = []
+        for low in range(0, size, 1 << 16):
+            ends = np.arange(low + 1, min(low + (1 << 16), size) + 1)
+            found = []
             for length in self.lengths:
-                if length > end:
-                    break
-                piece = self.known.get(text[end - length : end]) if alpha[end - length] > -np.inf else None
-                if piece is not None:
-                    edges.append((alpha[end - length] + self.log[piece], piece, length))
-            if bare[start + end - 1] and alpha[end - 1] > -np.inf:
-                piece = int(self.byte_ids[text[end - 1]])
-                edges.append((alpha[end - 1] + self.log[piece], piece, 1))
-            if not edges:
-                continue
-            top = max(e[0] for e in edges)
-            alpha[end] = top + np.log(sum(np.exp(e[0] - top) for e in edges))
-            share = 0.0
-            for rank, (weight, piece, length) in enumerate(edges):
-                share += np.exp(weight - alpha[end])
-                for column, value in zip(out, (base + end, rank, share, piece, length), strict=True):
-                    column.append(value)
-        return tuple(np.array(x, t) for x, t in zip(out, (np.int64, np.int64, float, np.int32, np.int64), strict=True))
+                inside = ends[ends >= length]
+                ids = self.find(span_hashes(sums, start + inside - length, start + inside))
+                hit = np.flatnonzero(ids >= 0)
+                found.append((inside[hit], ids[hit], np.full(len(hit), length)))
+            spelled = ends[bare[start + ends - 1]]
+            found.append((spelled, self.byte_ids[data[start + spelled - 1]], np.ones(len(spelled), np.int64)))
+            end, ids, length = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.argsort(end, kind="stable")
+            end, ids, length = end[order], ids[order].astype(np.int32), length[order]
+            bounds = np.searchsorted(end, np.append(ends, ends[-1] + 1))
+            weight, steps, known = self.log[ids].tolist(), length.tolist(), len(reach) - 1
+            for at, (one, two) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True), known + 1):
+                terms = [reach[at - steps[e]] + weight[e] for e in range(one, two)]
+                top = max(terms, default=-math.inf)
+                if len(terms) > 1 and top > -math.inf:
+                    top += math.log(sum([math.exp(x - top) for x in terms]))
+                reach.append(top)
+            alpha[ends] = reach[known + 1 :]
+            del reach[: -self.lengths[-1] - 1]
+            live = alpha[end - length] > -np.inf
+            end, ids, length = end[live], ids[live], length[live]
+            share = np.exp(alpha[end - length] + self.log[ids] - alpha[end])
+            first = np.searchsorted(end, end)
+            rank = np.arange(len(end)) - first
+            for step in range(1, int(rank.max(initial=0)) + 1):
+                at = np.flatnonzero(rank == step)
+                share[at] += share[at - 1]
+            parts.append((base + end, rank, share, ids, length))
+        return parts
 
     def sample(self, data: np.ndarray, offsets: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(pieces of all rows in order, first piece of each row); an empty text has none."""
@@ -228,12 +244,15 @@ class PieceLattice:
         rows = np.searchsorted(offsets, starts, side="right") - 1
         seeds = mix(keys.astype(np.int64).view(np.uint64) + np.uint64(self.settings.seed) * np.uint64(0x9E3779B97F4A7C15))
         drawn = np.full(len(data), -1, np.int32)
-        left, place = np.arange(len(starts)), sizes.copy()
+        left, place = np.flatnonzero(sizes <= self.settings.short), sizes.copy()
+
+        def numbers(row, end):
+            number = mix(seeds[row] + (end - offsets[row]).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+            return (number >> np.uint64(11)).astype(float) * 2.0**-53
+
         while len(left):
             end = starts[left] + place[left]
-            row = rows[left]
-            number = mix(seeds[row] + (end - offsets[row]).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
-            number = (number >> np.uint64(11)).astype(float) * 2.0**-53
+            number = numbers(rows[left], end)
             node = base[which[left]] + place[left]
             edge, last = first[node], first[node + 1] - 1
             ahead = np.flatnonzero((share[edge] <= number) & (edge < last))
@@ -243,6 +262,22 @@ class PieceLattice:
             drawn[end - 1] = piece[edge]
             place[left] -= length[edge]
             left = left[place[left] > 0]
+        # A long segment draws at every position at once, then walks over the draws.
+        for segment in np.flatnonzero(sizes > self.settings.short).tolist():
+            places = np.arange(1, sizes[segment] + 1)
+            number = numbers(rows[segment], starts[segment] + places)
+            edges = first[base[which[segment]] + np.append(places, places[-1] + 1)]
+            counts = np.diff(edges)
+            passed = np.concatenate([[0], np.cumsum(share[edges[0] : edges[-1]] <= np.repeat(number, counts))])
+            passed = np.diff(passed[edges - edges[0]])
+            edge = edges[:-1] + np.maximum(np.minimum(passed, counts - 1), 0)
+            edge = np.minimum(edge, len(piece) - 1)  # no walk comes to a place without edges
+            steps, at, ends = length[edge].tolist(), int(sizes[segment]), []
+            while at > 0:
+                ends.append(at - 1)
+                at -= steps[at - 1]
+            ends = np.array(ends)
+            drawn[starts[segment] + ends] = piece[edge[ends]]
         ids = drawn[drawn >= 0]
         counts = np.concatenate([[0], np.cumsum(drawn >= 0)])
         return ids, counts[offsets]
