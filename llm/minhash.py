@@ -306,7 +306,11 @@ def _group_ends(*columns: np.ndarray) -> np.ndarray:
 
 
 def _confirm(settings: Settings):
-    """Keep the pairs whose full shingle sets are similar enough."""
+    """Keep the pairs whose full shingle sets are similar enough.
+
+    Rows are sorted by ``a`` and ``piece``; the text of ``a`` itself (null ``b``) leads its members, so
+    its set is made once for all of them.
+    """
 
     def sets(column: pa.Array):
         for _, _, data, offsets, _ in chunks(column):
@@ -315,14 +319,74 @@ def _confirm(settings: Settings):
             for row in range(len(offsets) - 1):
                 yield np.unique(hashes[(ends[row - 1] if row else 0) : ends[row]])
 
-    def confirm(batch: pa.RecordBatch):
-        linked = np.zeros(batch.num_rows, bool)
-        for i, (one, two) in enumerate(zip(sets(batch.column("text_a")), sets(batch.column("text_b")), strict=True)):
-            common = len(np.intersect1d(one, two, assume_unique=True))
-            linked[i] = 100 * common >= settings.percent * (len(one) + len(two) - common) and common > 0
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["src", "dst"]).filter(pa.array(linked))
+    def similar(one: np.ndarray, two: np.ndarray) -> bool:
+        common = len(np.intersect1d(one, two, assume_unique=True))
+        return 100 * common >= settings.percent * (len(one) + len(two) - common) and common > 0
+
+    def each(batches):
+        owner, leads = None, []  # several when one id has several texts
+        for batch in batches:
+            linked = np.zeros(batch.num_rows, bool)
+            keys = zip(batch.column("a").to_pylist(), batch.column("piece").to_pylist(), strict=True)
+            heads = np.asarray(batch.column("b").is_null())
+            for i, (key, own) in enumerate(zip(keys, sets(batch.column("text")), strict=True)):
+                if key != owner:
+                    owner, leads = key, []
+                if heads[i]:
+                    leads.append(own)
+                else:
+                    linked[i] = any(similar(lead, own) for lead in leads)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["src", "dst"]).filter(pa.array(linked))
+
+    return each
+
+
+def _pieces(df: DataFrame) -> int:
+    """Into how many pieces a large group is split: as many as a shuffle has partitions."""
+
+    return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def spread_join(rows: DataFrame, facts: DataFrame, keys: list[str], by: str, how: str = "inner") -> DataFrame:
+    """Join ``rows`` to the few ``facts`` of each key, where one key may hold a large share of the rows.
+
+    Rows of a key are split by the hash of ``by``; facts are repeated for the pieces that occur, so
+    no task meets more than a piece of a key.
+    """
+
+    split = rows.withColumn("piece", F.pmod(F.xxhash64(by), F.lit(_pieces(rows))).cast("int"))
+    wanted = split.select(*keys, "piece").distinct().join(facts, keys)
+    return split.join(wanted, [*keys, "piece"], how).drop("piece")
+
+
+def _hot_keys(marks: DataFrame, settings: Settings) -> DataFrame:
+    """Band keys that hold an unusual share of a 64th of the documents.
+
+    They only decide how rows are spread. A key needs a thousandth of the sample or more, so there
+    are at most 1000 times ``bands`` of them at any size.
+    """
+
+    part = marks.where((F.pmod(F.xxhash64(F.lit("hot"), "id"), F.lit(64)) == 0) & (F.col("n") > 0))
+    least = max(16, part.count() // min(1000, _pieces(marks)))
+    return part.select(F.explode("bands").alias("key")).groupBy("key").count().where(F.col("count") >= least).select("key").checkpoint()
+
 
-    return confirm
+def _extent(rows: DataFrame, column: str, hot: DataFrame) -> DataFrame:
+    """Rows (id, key, ...) with the least and greatest ``column`` and the number of rows of their key.
+
+    Hot keys are aggregated before the shuffle and known to all tasks (their number is bounded),
+    their rows are then spread; other keys take one window.
+    """
+
+    def over(frame):
+        return [(f"_{name}", frame(value)) for name, value in (("low", F.min(column)), ("high", F.max(column)), ("size", F.count("*")))]
+
+    large = rows.join(F.broadcast(hot), "key").groupBy("key").agg(*[value.alias(f"{name}_hot") for name, value in over(lambda x: x)])
+    spread = rows.join(F.broadcast(large), "key", "left")
+    piece = F.when(F.col("_size_hot").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.lit(_pieces(rows))))
+    whole = Window.partitionBy("key", "_piece")
+    found = spread.withColumn("_piece", piece).select("*", *[value.alias(name) for name, value in over(lambda x: x.over(whole))])
+    return found.select(*rows.columns, *[F.coalesce(f"_{x}_hot", f"_{x}").alias(x) for x in ("low", "high", "size")])
 
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -337,14 +401,13 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     marks = signatures(documents, id_col, text_col, settings).checkpoint()
     sizes = marks.select("id", "n", "one", "two")
     classes = sizes.where("n > 0").groupBy("n", "one", "two").agg(F.min("id").alias("rep"))
-    members = sizes.where("n > 0").join(classes, ["n", "one", "two"]).select("id", "n", "rep")
+    members = spread_join(sizes.where("n > 0"), classes, ["n", "one", "two"], "id").select("id", "n", "rep")
     first = marks.join(classes.select("n", "one", "two", F.col("rep").alias("id")), ["n", "one", "two", "id"], "left_semi")
     first = first.dropDuplicates(["id", "n", "one", "two"])
 
     buckets = first.select("id", F.explode("bands").alias("key"))
-    whole = Window.partitionBy("key")
-    shared = buckets.select("id", "key", F.min("id").over(whole).alias("lead"), F.max("id").over(whole).alias("last"))
-    shared = shared.where("lead <> last").select("id", "key", "lead").checkpoint()
+    hot = _hot_keys(marks, settings)
+    shared = _extent(buckets, "id", hot).where("low <> high").select("id", "key", F.col("low").alias("lead")).checkpoint()
 
     candidates = shared.select("id").distinct()
     known = first.join(candidates, "id", "left_semi").select("id", "n", "signature").checkpoint()
@@ -358,10 +421,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     # What the stars left apart: members of a bucket in different components, in tiles.
     placed = shared.select("id", "key").join(joined.withColumnRenamed("node", "id"), "id", "left")
     placed = placed.select("id", "key", F.coalesce("root", "id").alias("root"))
-    apart = placed.select(
-        "id", "key", "root", F.min("root").over(whole).alias("low"), F.max("root").over(whole).alias("high"), F.count("*").over(whole).alias("size")
-    )
-    apart = apart.where("low <> high").select("id", "key", "root", F.ceil(F.col("size") / settings.block).cast("int").alias("blocks")).checkpoint()
+    apart = _extent(placed, "root", hot).where("low <> high").select("id", "key", "root", F.ceil(F.col("size") / settings.block).cast("int").alias("blocks")).checkpoint()
     keys = apart.groupBy("id").agg(F.collect_list("key").alias("keys"))  # at most one per band
     rows = apart.join(known.join(keys, "id"), "id").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -378,7 +438,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
     roots = joined.where("node <> root").select(F.col("node").alias("src"), F.col("root").alias("dst"))
     final = components(roots.unionByName(more).unionByName(same))
-    placed = members.join(final.withColumnRenamed("node", "rep"), "rep", "left")
+    placed = spread_join(members, final.withColumnRenamed("node", "rep"), ["rep"], "id", "left")
     placed = placed.select("id", "n", F.coalesce("root", "rep").alias("root"))
     empty = sizes.where("n = 0").select("id", "n", F.lit(None).cast(placed.schema["root"].dataType).alias("root"))
     found = placed.unionByName(empty).groupBy("id").agg(F.max("n").alias("n_shingles"), F.min("root").alias("root"))
@@ -393,14 +453,21 @@ def _estimated(pairs: DataFrame, known: DataFrame, settings: Settings) -> DataFr
 
     a = known.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("signature").alias("sig_a"))
     b = known.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("signature").alias("sig_b"))
-    near = pairs.join(a, "a").join(b, "b")
+    near = spread_join(pairs, a, ["a"], "b").join(b, "b")
     near = near.where(100 * F.least("n_a", "n_b") >= settings.percent * F.greatest("n_a", "n_b"))
     return near.where(estimate("sig_a", "sig_b", settings) >= settings.least_estimate).select("a", "b").distinct()
 
 
 def _confirmed(near: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """(src, dst) of the pairs (a, b) that the full sets confirm."""
+    """(src, dst) of the pairs (a, b) that the full sets confirm.
+
+    The text of ``a`` moves once for each piece of its partners, not once for every partner.
+    """
 
-    full = near.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-    id_type = full.schema["a"].dataType.simpleString()
-    return map_rows(full, _confirm(settings), f"src {id_type}, dst {id_type}").distinct()
+    pairs = near.withColumn("piece", F.pmod(F.xxhash64("b"), F.lit(_pieces(near))).cast("int"))
+    members = pairs.join(texts.withColumnRenamed("id", "b"), "b").select("a", "piece", "b", "text")
+    heads = pairs.select("a", "piece").distinct().join(texts.withColumnRenamed("id", "a"), "a")
+    heads = heads.select("a", "piece", F.lit(None).cast(members.schema["b"].dataType).alias("b"), "text")
+    id_type = members.schema["a"].dataType.simpleString()
+    dealt = members.unionByName(heads).repartition("a", "piece").sortWithinPartitions("a", "piece", F.col("b").asc_nulls_first())
+    return dealt.mapInArrow(_confirm(settings), f"src {id_type}, dst {id_type}").distinct()

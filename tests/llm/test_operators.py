@@ -1,6 +1,7 @@
 """The operators on odd rows, and against brute force, round trips or held-out labels."""
 
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -285,6 +286,22 @@ def test_minhash_against_brute_force(spark, documents, settings):
     assert sorted(tuple(r) for r in found.collect()) == brute_documents(rows)
 
 
+def test_minhash_of_hot_keys(spark, documents, monkeypatch):
+    """All keys handled as hot ones give the same rows; one group of near copies is found as hot."""
+
+    rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+    rows += near_copies(150, 146, 16, 1) + [(20_000 + i, "one two three four five six seven eight") for i in range(40)]
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    with monkeypatch.context() as patch:
+        patch.setattr(minhash, "_hot_keys", lambda marks, _: marks.select(F.explode("bands").alias("key")).distinct())
+        assert sorted(tuple(r) for r in minhash.near_duplicates(made).collect()) == brute_documents(rows)
+    words = " ".join(f"w{i}" for i in range(120))
+    copies = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit(words + " x"), "id").alias("text"))
+    marks = minhash.signatures(copies, "doc_id", "text")
+    assert minhash._hot_keys(marks, minhash.Settings()).count() > 0
+    assert {r.component_id for r in minhash.near_duplicates(copies).select("component_id").distinct().collect()} == {0}
+
+
 def test_minhash_links_short_texts_at_the_threshold(spark):
     """Pairs of 3 to 20 shingles whose sets have exactly three quarters of their union in common."""
 
@@ -516,6 +533,24 @@ def test_long_and_short_segments_agree():
     assert one.tolist() == other.sample(data, np.array([0, len(data)]), np.array([3]))[0].tolist()
 
 
+def test_megabytes_without_spaces():
+    """Segments of more than a block of positions: pieces don't depend on what stands beside them."""
+
+    rng = np.random.default_rng(2)
+    lattice = piece_sampling.PieceLattice(piece_sampling.vocabulary_path(), piece_sampling.Settings())
+    latin = bytes(rng.choice(np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8), 300_000))
+    han = "".join(map(chr, rng.integers(0x4E00, 0x9000, 100_000))).encode()
+    both = np.frombuffer(latin + han, np.uint8)
+    offsets = np.array([0, len(latin), len(both)])
+    started = time.monotonic()
+    ids, bounds = lattice.sample(both, offsets, np.array([1, 2]))
+    assert time.monotonic() - started < 30
+    back, ends = lattice.decode(ids, bounds)
+    assert np.array_equal(back, both) and np.array_equal(ends, offsets)
+    alone = lattice.sample(np.frombuffer(han, np.uint8), np.array([0, len(han)]), np.array([2]))[0]
+    assert alone.tolist() == ids[bounds[1] :].tolist()
+
+
 def test_pipeline(spark, documents, tmp_path):
     import corpus_pipeline
 
