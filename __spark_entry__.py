@@ -20,7 +20,7 @@ from punctual import schemas as S
 from punctual.functions import run_states
 from punctual.functions.instants import instant
 from punctual.functions.schedules import CURRENT, HISTORY
-from punctual.operators import catalogue, config, periods, runs, state, workflows
+from punctual.operators import catalogue, config, ordering, periods, runs, state, workflows
 from punctual.operators.joins import SHUFFLE, JoinPlan, attach
 from punctual.plans import charts, checks, collection, history, status
 from punctual.session import ensure_checkpoints, use_utc
@@ -459,6 +459,8 @@ _QUERIES: dict[str, Query] = {
     "run_history": _run_history,
     "run_history_shuffled": lambda spark, sf_dir: _run_history(spark, sf_dir, SHUFFLE),
     "sla_history": _sla_history,
+    "run_history_order": _view(_run_history, ordering.run_history_order),
+    "sla_history_order": _view(_sla_history, ordering.sla_history_order),
     "sla_delivery_calendar": _view(_sla_history, charts.sla_delivery_calendar),
     "delivery_margin_timeline": _view(_sla_history, charts.delivery_margin_timeline),
     "workflow_risk_map": _view(_sla_history, charts.workflow_risk_map),
