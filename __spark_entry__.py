@@ -362,7 +362,7 @@ def latest_runs(spark: SparkSession, sf_dir: str, as_of: datetime = AS_OF) -> Da
     plan = JoinPlan.measure(settings)
     recent = runs.recent_runs(stored, as_of, S.RUN_WINDOW_DAYS, terminal_only=False)
     known = workflows.configured_workflows(settings, as_of).select(*S.WORKFLOW_KEY, "job_id")
-    return runs.latest_runs(attach(recent, known, plan), recent, plan)
+    return runs.latest_runs(attach(recent, known, plan))
 
 
 def today_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

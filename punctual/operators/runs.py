@@ -15,6 +15,11 @@ from punctual.functions.sla import is_unsuccessful
 from punctual.operators.joins import SHUFFLE, JoinPlan, attach
 from punctual.operators.periods import with_local_today
 
+# More than twice the distance of any run id from zero, so that starts decide first.
+RUN_ID_SPAN = "100000000000000000000"
+# Microseconds of the last instant of the year 9999.
+LAST_START = 253_402_300_799_999_999
+
 
 def to_run_state(raw: DataFrame, collected_at: AsOf, carried: Sequence[str] = ()) -> DataFrame:
     """Raw run records to state rows; a run that has not started takes the collection instant.
@@ -88,35 +93,42 @@ def run_columns(workflows: DataFrame) -> DataFrame:
     return dated.select(*S.WORKFLOW_KEY, "job_id", "timezone", "local_today", "workflow_name")
 
 
-def newest_start() -> Column:
-    return F.max("run_start_time").alias("run_start_time")
+def run_order() -> Column:
+    """Start, then run id, as one number of fixed width, which a hash aggregate can keep.
+
+    Starts after the year 9999, which no feed can date, count as its end.
+    """
+
+    micros = F.least(F.unix_micros("run_start_time"), F.lit(LAST_START)).cast("decimal(18,0)")
+    return micros * F.lit(RUN_ID_SPAN).cast("decimal(21,0)") + F.col("run_id").cast("decimal(19,0)")
 
 
-def with_latest_run(newest: DataFrame, recent: DataFrame, plan: JoinPlan = SHUFFLE) -> DataFrame:
-    """Add the latest run to one row per workflow that carries its newest start.
+def newest_by_state(runs: DataFrame, carried: Sequence[str], sums: Sequence[Column] = ()) -> DataFrame:
+    """One row per workflow: ``latest`` (state and ``carried`` columns of its newest run) and the sums.
 
-    Picking a whole row per group in one aggregation would sort every run. The newest start alone is
-    a hash aggregate, and a second narrow scan then keeps only the runs that have it, so just those
-    few are compared by run id.
+    Picking a whole row per group in one aggregation would sort every run, because a text is no
+    fixed-width value. As part of the key the state costs nothing: one hash aggregate finds the newest
+    run of every state, and only those few rows per workflow are compared as wholes. ``sums`` are named
+    counts or sums.
     """
 
-    keys = [*S.JOB_KEY, "run_start_time"]
-    carried = [column for column in newest.columns if column not in (*S.WORKFLOW_KEY, *S.JOB_KEY)]
-    side = F.broadcast(newest) if plan.broadcast_workflows else newest
-    latest = F.max(F.struct("run_id", "result_state", "run_end_time")).alias("latest")
-    return (
-        recent.join(side, keys)
-        .groupBy(*S.WORKFLOW_KEY)
-        .agg(latest, *[F.any_value(column).alias(column) for column in carried])
+    by_state = runs.groupBy(*S.WORKFLOW_KEY, "result_state").agg(
+        F.max(run_order()).alias("_newest"),
+        *[F.max_by(column, run_order()).alias(column) for column in carried],
+        *sums,
     )
+    fields = [*S.WORKFLOW_KEY, "result_state", "_newest", *carried]
+    totals = [F.sum(column).alias(column) for column in by_state.columns if column not in fields]
+    latest = F.max(F.struct("_newest", "result_state", *carried)).alias("latest")
+    return by_state.groupBy(*S.WORKFLOW_KEY).agg(latest, *totals)
 
 
-def latest_runs(monitored: DataFrame, recent: DataFrame, plan: JoinPlan = SHUFFLE) -> DataFrame:
+def latest_runs(monitored: DataFrame) -> DataFrame:
     """Newest run per workflow by start, then run id."""
 
-    newest = monitored.groupBy(*S.WORKFLOW_KEY, "job_id").agg(newest_start())
-    found = with_latest_run(newest, recent, plan)
-    return found.select(*S.WORKFLOW_KEY, "run_start_time", "latest.*")
+    carried = ["run_start_time", "run_id", "run_end_time"]
+    found = newest_by_state(monitored, carried)
+    return found.select(*S.WORKFLOW_KEY, *[f"latest.{name}" for name in (*carried, "result_state")])
 
 
 def is_today(as_of: AsOf) -> Column:

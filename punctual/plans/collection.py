@@ -13,12 +13,11 @@ from punctual.functions.instants import AsOf, instant, shifted
 from punctual.operators.joins import JoinPlan, config_join
 from punctual.operators.runs import to_run_state
 from punctual.operators.state import (
+    FEED_RANKS,
     ORDER_FIELDS,
-    combine_feeds,
     feed_rank,
     incremental_windows,
     nonterminal_gap,
-    select_incremental,
     upsert_jobs,
     with_order,
 )
@@ -107,20 +106,72 @@ def job_outcomes(
     )
 
 
-def _reached(feed: DataFrame, outcomes: DataFrame, plan: JoinPlan) -> DataFrame:
-    """Records of monitored jobs from the stages the job got to.
+def job_limits(outcomes: DataFrame, windows: DataFrame) -> DataFrame:
+    """What bounds the records of a job: its first failed stage and its windows, one row per job."""
 
-    Records that arrived before the failing stage broke off stay; a job that failed at its details
-    was never listed.
+    return outcomes.join(windows, S.JOB_KEY).select(
+        "workspace_id",
+        F.col("job_id").cast("bigint").alias("job_id"),
+        "failed_stage",
+        "history_start_at",
+        "incremental_start_at",
+    )
+
+
+def fold_feed(feed: DataFrame, limits: DataFrame, as_of: AsOf, plan: JoinPlan) -> DataFrame:
+    """One row per run over all its landed records, from one pass over the feed and one shuffle.
+
+    ``listed`` is the record that wins among the listings, ``answer`` the one among the lookups, and
+    ``open_before`` says that a listing showed the run open and started before its job's window.
+
+    Records count up to the stage at which their job failed: what arrived before it broke off stays,
+    and a job that failed at its details was never listed. Completed runs count from the job's window
+    on; the retention bound is a literal on the raw column, so that the scan can use it.
     """
 
-    limits = outcomes.select(
-        "workspace_id", F.col("job_id").cast("bigint").alias("job_id"), "failed_stage"
+    kind = F.col("feed_kind")
+    history_ms = (F.unix_micros(shifted(as_of, days=-S.RETENTION_DAYS)) / 1000).cast("bigint")
+    known = kind.isin(*FEED_RANKS) & ((kind != "completed") | (F.col("start_time") >= history_ms))
+    from_ms = F.floor(F.unix_micros("incremental_start_at") / 1000)
+    reached = (
+        config_join(feed.filter(known), limits, S.JOB_KEY, F.col("run_id"), plan)
+        .filter(F.col("failed_stage").isNull() | (feed_rank(kind) <= F.col("failed_stage")))
+        .filter((kind != "completed") | (F.col("start_time") >= from_ms))
     )
+    record = F.struct(*[column for column in feed.columns if column not in S.RUN_KEY])
+    carried = [column for column in reached.columns if column not in S.RUN_KEY]
+    # Nulls are the least of a struct's field, so its maximum takes them last.
+    ties = ["observed_at", "end_time", "start_time", "status.state", "status.termination_details.code"]
+    ranked = F.struct(feed_rank(kind), *[F.col(tie).alias(f"_{k}") for k, tie in enumerate(ties)], record.alias("record"))
+    started, is_listing = F.col("period_start_time"), kind.isin("completed", "active")
+    early = (started >= F.col("history_start_at")) & (started < F.col("incremental_start_at"))
+    left_open = (kind == "active") & ~F.col("result_state").isin(*S.TERMINAL_STATES) & early
     return (
-        config_join(feed, limits, S.JOB_KEY, F.col("run_id"), plan)
-        .filter(F.col("failed_stage").isNull() | (feed_rank(F.col("feed_kind")) <= F.col("failed_stage")))
-        .select(*feed.columns)
+        to_run_state(reached, as_of, carried)
+        .groupBy(*S.RUN_KEY)
+        .agg(
+            F.max(F.when(is_listing, ranked)).getField("record").alias("listed"),
+            F.max(F.when(~is_listing, ranked)).getField("record").alias("answer"),
+            F.max(left_open).alias("open_before"),
+        )
+    )
+
+
+def round_changes(folded: DataFrame, gap: DataFrame) -> DataFrame:
+    """One raw record per run that was listed, or asked about and answered.
+
+    Lookups follow the listings: asked about are runs that a listing left open before the window, and
+    the stored ones of ``gap`` that no listing showed. An answer to what wasn't asked changes nothing.
+    """
+
+    stored_open = F.col("_stored_open").isNotNull() & F.col("listed").isNull()
+    asked = F.col("open_before") | stored_open
+    chosen = F.when(asked & F.col("answer").isNotNull(), F.col("answer")).otherwise(F.col("listed"))
+    return (
+        folded.join(gap.select(*S.RUN_KEY, F.lit(True).alias("_stored_open")), S.RUN_KEY, "left")
+        .select("workspace_id", F.col("job_id").cast("bigint").alias("job_id"), "run_id", chosen.alias("record"))
+        .filter(F.col("record").isNotNull())
+        .select(*S.RUN_KEY, "record.*")
     )
 
 
@@ -164,18 +215,8 @@ def collect_round(
 
     outcomes = job_outcomes(monitored, details, errors, as_of)
     windows = incremental_windows(monitored, stored_jobs, as_of)
-    reached = _reached(feed, outcomes, plan)
-    kind = F.col("feed_kind")
-    completed = select_incremental(reached.filter(kind == "completed"), windows, as_of, plan)
-    active = reached.filter(kind == "active")
-    answers = reached.filter(kind.isin("detail", "missing"))
-    # Lookups follow the listings: a listed run is asked about as it was listed.
-    listed = F.col("job_id").cast("string").alias("job_id")
-    listed_keys = completed.unionByName(active).select("workspace_id", listed, "run_id")
-    known_open = kept.join(listed_keys, S.RUN_KEY, "left_anti").unionByName(to_run_state(active, as_of))
-    gap = nonterminal_gap(known_open, windows, plan)
-    asked = gap.select("workspace_id", F.col("job_id").cast("bigint").alias("job_id"), "run_id")
-    changes = combine_feeds(completed, active, answers.join(asked, S.RUN_KEY, "left_semi"))
+    folded = fold_feed(feed, job_limits(outcomes, windows), as_of, plan)
+    changes = round_changes(folded, nonterminal_gap(kept, windows, plan)).select(*feed.columns)
     succeeded_at = F.when(F.col("failed_stage").isNull(), instant(as_of))
     updates = outcomes.select(
         *S.JOB_KEY,

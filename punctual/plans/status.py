@@ -11,7 +11,7 @@ from punctual.functions.instants import AsOf
 from punctual.functions.schedules import CURRENT
 from punctual.operators.joins import JoinPlan, attach
 from punctual.operators.periods import due_periods
-from punctual.operators.runs import is_today, newest_start, recent_runs, with_latest_run
+from punctual.operators.runs import is_today, newest_by_state, recent_runs
 from punctual.operators.workflows import monitored_workflows
 
 STATUS_COLUMNS = [
@@ -44,7 +44,7 @@ def _succeeded_within(opens: str, deadline: str) -> Column:
 
 
 def _run_facts(workflows: DataFrame, runs: DataFrame, as_of: AsOf, plan: JoinPlan) -> DataFrame:
-    """Everything the status needs from runs: one hash aggregation, then the latest run.
+    """Everything the status needs from runs, from one scan and one hash aggregation over them.
 
     The latest due and the next period are fixed by the configuration alone, so each run meets its
     workflow's two periods as plain columns of the joined row.
@@ -62,18 +62,13 @@ def _run_facts(workflows: DataFrame, runs: DataFrame, as_of: AsOf, plan: JoinPla
     )
     recent = recent_runs(runs, as_of, S.RUN_WINDOW_DAYS, terminal_only=False)
     state, today = F.col("result_state"), is_today(as_of)
-    counted = (
-        attach(recent, lookup, plan)
-        .groupBy(*S.WORKFLOW_KEY, "job_id")
-        .agg(
-            newest_start(),
-            F.count_if((state == S.SUCCEEDED) & today).alias("succeeded_today"),
-            F.count_if(sla.is_unsuccessful(state) & today).alias("unsuccessful_today"),
-            _succeeded_within("last_opens_utc", "last_deadline_utc").alias("last_successes"),
-            _succeeded_within("next_opens_utc", "next_deadline_utc").alias("next_successes"),
-        )
-    )
-    return with_latest_run(counted, recent, plan)
+    counts = [
+        F.count_if((state == S.SUCCEEDED) & today).alias("succeeded_today"),
+        F.count_if(sla.is_unsuccessful(state) & today).alias("unsuccessful_today"),
+        _succeeded_within("last_opens_utc", "last_deadline_utc").alias("last_successes"),
+        _succeeded_within("next_opens_utc", "next_deadline_utc").alias("next_successes"),
+    ]
+    return newest_by_state(attach(recent, lookup, plan), ["run_end_time"], counts)
 
 
 def workflow_status(

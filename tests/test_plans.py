@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from punctual.operators import joins
 from punctual.operators.joins import BROADCAST, SHUFFLE, JoinPlan, salted_join
+from punctual.plans.collection import collect_round
 from punctual.plans.history import matched_history, run_history, sla_history
 from punctual.plans.status import workflow_status
 from punctual.sources import driver_tables as data
@@ -63,6 +64,27 @@ def test_scans_push_filters_and_prune_columns(tables, capsys):
     assert "run_id" not in "".join(re.findall(r"ReadSchema: (.*)", shown))
 
 
+def scans_of(plan, column):
+    return [line for line in plan.splitlines() if "FileScan" in line and column in line]
+
+
+@pytest.mark.parametrize("how", [BROADCAST, SHUFFLE])
+def test_status_reads_the_runs_once(tables, how):
+    plan = plan_of(workflow_status(*tables, data.AS_OF, how))
+    assert len(scans_of(plan, "period_start_time")) == 1
+    nearest = [line for line in plan.splitlines() if "Aggregate(" in line and "result_state" in line][-1]
+    assert "HashAggregate" in nearest and "partial_max" in nearest
+
+
+def test_a_round_reads_its_feed_once(spark, tables, tmp_path):
+    config, jobs, runs = tables
+    data.round_feed(spark, SF_DIR).write.parquet(str(tmp_path / "feed"))
+    feed = spark.read.parquet(str(tmp_path / "feed"))
+    details, errors = data.job_details(spark, SF_DIR), data.collection_errors(spark, SF_DIR)
+    result = collect_round(runs, jobs, config, feed, details, errors, data.AS_OF, BROADCAST)
+    assert len(scans_of(plan_of(result.changes), "feed_kind")) == 1
+
+
 def test_join_plan_follows_the_row_count(tables, monkeypatch):
     config = tables[0]
     assert JoinPlan.measure(config) == BROADCAST

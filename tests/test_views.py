@@ -6,10 +6,12 @@ import pytest
 from conftest import at, rows
 from pyspark.sql import functions as F
 
+from punctual import schemas as S
 from punctual.functions.schedules import CURRENT, HISTORY
 from punctual.operators import periods
-from punctual.operators.joins import BROADCAST, SHUFFLE
-from punctual.operators.workflows import monitored_workflows
+from punctual.operators.joins import BROADCAST, SHUFFLE, attach
+from punctual.operators.runs import latest_runs, recent_runs
+from punctual.operators.workflows import configured_workflows, monitored_workflows
 from punctual.plans import charts
 from punctual.plans.history import run_history, sla_history
 from punctual.plans.status import current_workflow_health, workflow_status
@@ -79,6 +81,27 @@ def test_pending_flag_before_the_first_deadline(make):
     assert (status["latest_run_result"], status["latest_run_end_time"]) == ("RUNNING", None)
 
 
+def test_newest_run_by_start_then_run_id(make, no_jobs):
+    """A later start wins over any run id, the larger id at equal starts, whatever the states are."""
+
+    largest, smallest = 2**63 - 1, -(2**63)
+    same = "2026-03-10 09:00:00"
+    cases = {
+        1: [(largest, "2026-03-10 08:59:59", "RUNNING"), (smallest, same, "FAILED")],
+        2: [(smallest, same, "SUCCEEDED"), (largest, same, "CANCELLED"), (-1, same, "WAITING_FOR_A_PLACE")],
+        3: [(7, same, "UNKNOWN"), (6, same, "SUCCEEDED"), (-7, same, "QUEUED")],
+        4: [(5, "2026-03-10 09:00:00.000001", "FAILED"), (6, same, "SUCCEEDED"), (4, "2026-03-10 09:00:00.000001", "FAILED")],
+    }
+    config = make.config(*[(1, job, job, *DAILY) for job in (*cases, 5)])
+    runs = make.runs(*[(1, job, run, start, None, state) for job, found in cases.items() for run, start, state in found])
+    shown = rows(workflow_status(config, no_jobs, runs, NOW), "configured_order", "latest_run_result")
+    assert shown == [(1, "FAILED"), (2, "CANCELLED"), (3, "UNKNOWN"), (4, "FAILED"), (5, None)]
+    known = configured_workflows(config, NOW).select(*S.WORKFLOW_KEY, "job_id")
+    for plan in (BROADCAST, SHUFFLE):
+        newest = latest_runs(attach(recent_runs(runs, NOW, 60, False), known, plan))
+        assert rows(newest, "configured_order", "run_id") == [(1, smallest), (2, largest), (3, 7), (4, 5)]
+
+
 def test_collection_problems(make):
     config = make.config(*[(1, i, i, *DAILY) for i in range(1, 7)])
     jobs = make.jobs(
