@@ -12,13 +12,21 @@ from punctual.session import ensure_checkpoints
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents outside the importance sample go."""
+    """Documents outside the importance sample go; all columns stay as they are.
+
+    A null or empty text counts as one without n-grams, a row with a null id shares one noise value
+    with its like, repeated rows share their fate. No documents give none.
+    """
 
     return quality.keep_important(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents predicted toxic go; the classifier learns from the labelled ones of ``docs``."""
+    """Documents predicted toxic go; the classifier learns from the labelled ones of ``docs``.
+
+    Texts are judged by themselves, so repeated rows share their fate; a null or empty text has the
+    score of the bias. All columns stay as they are.
+    """
 
     model = toxicity.fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.remove_toxic(docs, model)
@@ -33,6 +41,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Whole texts in sequences of at most 2048 ids, one row per piece; a null text is an empty one."""
+
     return packing.pack_documents(docs.select("doc_id", "text"))
 
 
