@@ -31,6 +31,17 @@ class JoinPlan:
         return JoinPlan(rows <= BROADCAST_WORKFLOWS, rows <= BROADCAST_PERIOD_WORKFLOWS)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """Keep a join from broadcasting this side.
+
+    Spark takes exploded rows to be as large as what they were exploded from, and compressed shuffle
+    files to be as large as the rows they hold, so it would build sides on the driver that are many
+    times its limit.
+    """
+
+    return df.hint("merge")
+
+
 BROADCAST = JoinPlan(broadcast_workflows=True, broadcast_periods=True)
 SHUFFLE = JoinPlan(broadcast_workflows=False, broadcast_periods=False)
 
@@ -58,7 +69,7 @@ def salted_join(
     salts = salt_count(left.sparkSession)
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted_right = right.withColumn("_salt", every_salt)
+    salted_right = shuffled(right.withColumn("_salt", every_salt))
     return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
 
 

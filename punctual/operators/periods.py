@@ -15,7 +15,7 @@ from punctual.functions.schedules import (
     last_and_next_period,
     period_array,
 )
-from punctual.operators.joins import SHUFFLE, JoinPlan
+from punctual.operators.joins import SHUFFLE, JoinPlan, shuffled
 
 PERIOD_FIELDS = ["deadline_date", "previous_deadline_utc", "deadline_utc", "next_deadline_utc"]
 
@@ -97,8 +97,7 @@ def first_successes(periods: DataFrame, runs: DataFrame, plan: JoinPlan = SHUFFL
         "deadline_utc",
         F.explode(touched).alias("_day"),
     )
-    if plan.broadcast_periods:
-        by_day = F.broadcast(by_day)
+    by_day = F.broadcast(by_day) if plan.broadcast_periods else shuffled(by_day)
     inside = (F.col("period_end_time") > F.col("previous_deadline_utc")) & (
         F.col("period_end_time") <= F.col("deadline_utc")
     )
@@ -117,6 +116,8 @@ def match_runs(periods: DataFrame, runs: DataFrame, plan: JoinPlan = SHUFFLE) ->
     status = sla.deadline_status(
         F.col("on_time_completion_utc").isNotNull(), F.col("deadline_utc"), F.col("as_of")
     )
+    if not plan.broadcast_periods:
+        first = shuffled(first)
     return periods.join(first, [*S.WORKFLOW_KEY, "deadline_utc"], "left").select(
         *[periods[column] for column in periods.columns],
         "on_time_completion_utc",

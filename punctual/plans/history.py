@@ -9,7 +9,7 @@ from punctual import schemas as S
 from punctual.functions import sla
 from punctual.functions.instants import AsOf, local_date, midnight, whole_seconds_between
 from punctual.functions.schedules import HISTORY
-from punctual.operators.joins import JoinPlan
+from punctual.operators.joins import JoinPlan, shuffled
 from punctual.operators.periods import (
     deadline_periods,
     eligible,
@@ -111,9 +111,12 @@ def sla_history(
 ) -> DataFrame:
     """One row per workflow and deadline; ``ordered`` sorts by deadline for display."""
 
+    plan = plan or JoinPlan.measure(config)
     matched = matched_history(config, runs, as_of, plan)
     metrics = run_metrics(terminal(in_window(runs, as_of, S.SLA_RUN_WINDOW_DAYS)), as_of)
     names = jobs.select(*S.JOB_KEY, "job_name")
+    if not plan.broadcast_workflows:
+        metrics, names = shuffled(metrics), shuffled(names)
 
     # All of a workflow's deadlines (at most 93) share one partition, sorted, since the recovery
     # lookup, so ranks and metrics over them need neither another shuffle nor another sort.

@@ -1,5 +1,6 @@
 """Shape of the physical plans: what is shuffled, broadcast and read."""
 
+import itertools
 import re
 
 import pytest
@@ -94,6 +95,27 @@ def test_join_plan_follows_the_row_count(tables, monkeypatch):
     assert JoinPlan.measure(config) == SHUFFLE
 
 
+def ran(df):
+    """The plan as it was run, with what Spark decided on the way."""
+
+    df.collect()
+    return plan_of(df).split("Initial Plan")[0]
+
+
+@pytest.mark.parametrize("build", [matched_history, sla_history, run_history, workflow_status])
+def test_the_shuffled_plan_broadcasts_no_exploded_side(tables, build):
+    """Spark's estimate leaves out the explosion, so such a side went to the driver whatever its rows."""
+
+    config, jobs, runs = tables
+    given = (config, runs) if build is matched_history else (config, jobs, runs)
+    plan = ran(build(*given, data.AS_OF, SHUFFLE)).splitlines()
+    for i, line in enumerate(plan):
+        if "BroadcastExchange" in line:
+            # Down to the next shuffle, whose size is known.
+            below = itertools.takewhile(lambda other: "Exchange" not in other and "Scan" not in other, plan[i + 1 :])
+            assert not [other for other in below if "Generate" in other]
+
+
 def test_salted_join_splits_a_hot_key(spark):
     from pyspark.sql import functions as F
 
