@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -15,11 +15,9 @@ def components(edges: DataFrame) -> DataFrame:
     no edges give no rows.
     """
 
-    current = _tidy(edges.select(F.col("src").alias("u"), F.col("dst").alias("v"))).checkpoint()
-    state = _state(current)
-    while state[0]:
-        current = _tidy(_small_star(_large_star(current))).checkpoint()
-        after = _state(current)
+    current, state = _fixed(_tidy(edges.select(F.col("src").alias("u"), F.col("dst").alias("v"))))
+    while state["n"]:
+        current, after = _fixed(_tidy(_small_star(_large_star(current))))
         if after == state:
             break
         state = after
@@ -35,17 +33,21 @@ def _tidy(edges: DataFrame) -> DataFrame:
     return edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], row["h"]
+def _fixed(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """The edges as a checkpoint, with their number and the sum of their hashes, taken while they are written."""
+
+    seen = Observation()
+    total = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")
+    return edges.observe(seen, F.count("*").alias("n"), total).checkpoint(), seen.get
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Larger neighbours of every node move to its smallest neighbour."""
+    """Larger neighbours of every node move to its smallest neighbour; ``edges`` are tidy."""
 
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = edges.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    larger = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
+    return larger.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -53,5 +55,5 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v")))
+    moved = F.struct(F.col("v").alias("u"), F.col("m").alias("v"))
+    return down.join(least, "u").select(F.inline(F.array(moved, F.struct("u", F.col("m").alias("v")))))

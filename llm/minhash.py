@@ -428,7 +428,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "root", "n", "signature", "keys")
     id_type = rows.schema["id"].dataType.simpleString()
     dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    near = dealt.mapInArrow(_near_in_buckets(settings), f"a {id_type}, b {id_type}")
+    near = _smaller_first(dealt.mapInArrow(_near_in_buckets(settings), f"a {id_type}, b {id_type}"))
     more = _confirmed(near, texts, settings)
 
     # One document with several texts links them.
@@ -458,6 +458,12 @@ def _estimated(pairs: DataFrame, known: DataFrame, settings: Settings) -> DataFr
     return near.where(estimate("sig_a", "sig_b", settings) >= settings.least_estimate).select("a", "b").distinct()
 
 
+def _smaller_first(pairs: DataFrame) -> DataFrame:
+    """Pairs in an order of their own: that of a tile's rows may be another each time they are fetched."""
+
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def _confirmed(near: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     """(src, dst) of the pairs (a, b) that the full sets confirm.
 
