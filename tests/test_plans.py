@@ -6,8 +6,9 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from punctual.operators import joins
+from punctual.operators import joins, ordering
 from punctual.operators.joins import BROADCAST, SHUFFLE, JoinPlan, salted_join
+from punctual.plans import charts
 from punctual.plans.collection import collect_round
 from punctual.plans.history import matched_history, run_history, sla_history
 from punctual.plans.status import workflow_status
@@ -108,7 +109,21 @@ def test_the_shuffled_plan_broadcasts_no_exploded_side(tables, build):
 
     config, jobs, runs = tables
     given = (config, runs) if build is matched_history else (config, jobs, runs)
-    plan = ran(build(*given, data.AS_OF, SHUFFLE)).splitlines()
+    assert_no_exploded_broadcast(build(*given, data.AS_OF, SHUFFLE))
+
+
+@pytest.mark.parametrize(
+    "cut", [charts.sla_compliance_trend, charts.sla_delivery_calendar, charts.workflow_risk_map, ordering.sla_history_order]
+)
+@pytest.mark.parametrize("as_of", [data.AS_OF, data.IN_FEBRUARY])
+def test_views_of_the_deadline_history_broadcast_no_exploded_side(tables, cut, as_of):
+    """A view reads few columns, which makes Spark's estimate of the exploded side smaller still."""
+
+    assert_no_exploded_broadcast(cut(sla_history(*tables, as_of, JoinPlan(broadcast_workflows=True, broadcast_periods=False))))
+
+
+def assert_no_exploded_broadcast(df):
+    plan = ran(df).splitlines()
     for i, line in enumerate(plan):
         if "BroadcastExchange" in line:
             # Down to the next shuffle, whose size is known.
