@@ -399,29 +399,42 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
     ready(documents.sparkSession)
     marks = signatures(documents, id_col, text_col, settings).checkpoint()
+    parts = marks.rdd.getNumPartitions()
+
+    def fixed(df: DataFrame) -> DataFrame:
+        """A checkpoint in no more partitions than the documents came in, since it holds no more than they do.
+
+        Every task over a checkpoint leaves files of its own, however few its rows are.
+        """
+
+        return df.coalesce(parts).checkpoint()
+
     sizes = marks.select("id", "n", "one", "two")
-    classes = sizes.where("n > 0").groupBy("n", "one", "two").agg(F.min("id").alias("rep"))
-    members = spread_join(sizes.where("n > 0"), classes, ["n", "one", "two"], "id").select("id", "n", "rep")
+    split = sizes.where("n > 0").withColumn("piece", F.pmod(F.xxhash64("id"), F.lit(_pieces(marks))).cast("int"))
+    digest = ["n", "one", "two"]
+    classes = split.groupBy(*digest).agg(F.min("id").alias("rep"), F.collect_set("piece").alias("pieces"))
     first = marks.join(classes.select("n", "one", "two", F.col("rep").alias("id")), ["n", "one", "two", "id"], "left_semi")
     first = first.dropDuplicates(["id", "n", "one", "two"])
 
     buckets = first.select("id", F.explode("bands").alias("key"))
     hot = _hot_keys(marks, settings)
-    shared = _extent(buckets, "id", hot).where("low <> high").select("id", "key", F.col("low").alias("lead")).checkpoint()
+    shared = _extent(buckets, "id", hot).where("low <> high").select("id", "key", F.col("low").alias("lead"))
+    shared = fixed(shared)
 
     candidates = shared.select("id").distinct()
-    known = first.join(candidates, "id", "left_semi").select("id", "n", "signature").checkpoint()
+    known = fixed(first.join(candidates, "id", "left_semi").select("id", "n", "signature"))
     texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    texts = texts.join(candidates, "id", "left_semi").checkpoint()
+    texts = fixed(texts.join(candidates, "id", "left_semi"))
 
     stars = shared.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    links = _confirmed(_estimated(stars, known, settings), texts, settings).checkpoint()
-    joined = components(links)
+    links = fixed(_confirmed(_estimated(stars, known, settings), texts, settings))
+    joined = components(links, parts)
 
     # What the stars left apart: members of a bucket in different components, in tiles.
     placed = shared.select("id", "key").join(joined.withColumnRenamed("node", "id"), "id", "left")
     placed = placed.select("id", "key", F.coalesce("root", "id").alias("root"))
-    apart = _extent(placed, "root", hot).where("low <> high").select("id", "key", "root", F.ceil(F.col("size") / settings.block).cast("int").alias("blocks")).checkpoint()
+    apart = _extent(placed, "root", hot).where("low <> high").select("id", "key", "root", F.ceil(F.col("size") / settings.block).cast("int").alias("blocks"))
+    apart = fixed(apart)
     keys = apart.groupBy("id").agg(F.collect_list("key").alias("keys"))  # at most one per band
     rows = apart.join(known.join(keys, "id"), "id").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -432,12 +445,13 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     more = _confirmed(near, texts, settings)
 
     # One document with several texts links them.
-    own = members.select("id", "rep").distinct()
-    several = own.groupBy("id").agg(F.min("rep").alias("lo"), F.count("*").alias("c")).where("c > 1").select("id", "lo")
-    same = own.join(several, "id").where("rep <> lo").select(F.col("rep").alias("src"), F.col("lo").alias("dst"))
+    wanted = classes.select(*digest, F.explode("pieces").alias("piece"), "rep")  # no task meets more than a piece of a class
+    members = fixed(split.join(wanted, [*digest, "piece"]).select("id", "n", "rep"))
+    several = members.groupBy("id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi").select("id", "lo")
+    same = members.join(several, "id").where("rep <> lo").select(F.col("rep").alias("src"), F.col("lo").alias("dst"))
 
     roots = joined.where("node <> root").select(F.col("node").alias("src"), F.col("root").alias("dst"))
-    final = components(roots.unionByName(more).unionByName(same))
+    final = components(roots.unionByName(more).unionByName(same), parts)
     placed = spread_join(members, final.withColumnRenamed("node", "rep"), ["rep"], "id", "left")
     placed = placed.select("id", "n", F.coalesce("root", "rep").alias("root"))
     empty = sizes.where("n = 0").select("id", "n", F.lit(None).cast(placed.schema["root"].dataType).alias("root"))

@@ -53,3 +53,19 @@ def test_a_step_reads_its_edges_in_one_set_of_tasks(spark):
 def test_pairs_do_not_depend_on_the_order_of_their_rows(spark):
     pairs = spark.createDataFrame([(7, 3), (3, 7), (1, 2)], "a long, b long")
     assert sorted(map(tuple, _smaller_first(pairs).collect())) == [(1, 2), (3, 7), (3, 7)]
+
+
+def test_edges_between_steps_lie_in_no_more_partitions_than_asked_for(spark):
+    """Every task over a step's edges leaves files, also where a shuffle has many more partitions than they need."""
+
+    edges = spark.createDataFrame([(k, k + 1) for k in range(40)], "src long, dst long").repartition(16)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        found = components(edges, 2)
+        assert found.rdd.getNumPartitions() <= 2 + 16
+        assert {row["root"] for row in found.collect()} == {0}
+        assert components(edges).rdd.getNumPartitions() > 2 + 16
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
