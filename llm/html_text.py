@@ -283,6 +283,7 @@ class _Forest:
         self.kinds: list[str] = []
         self.below: list[tuple[int, ...]] = []
         self.sizes: list[int] = []
+        self.sizes_above = 0  # no subtree holds more nodes
 
     def add(self, kinds: list[str], children: list[list[int]]) -> list[int]:
         """The number of the subtree at every node; parents come before their children."""
@@ -296,101 +297,147 @@ class _Forest:
                 self.kinds.append(kinds[node])
                 self.below.append(below)
                 self.sizes.append(1 + sum(self.sizes[child] for child in below))
+                self.sizes_above = max(self.sizes_above, self.sizes[-1])
             found[node] = self.numbers[key]
         return found
 
 
-#: Table cells that one pair of child lists, and one pair of trees in all, may take.
+#: Table cells up to which one pair of child lists, and one pair of trees in all, is scored cell by cell; beyond, a
+#: row at a time. Both give the same numbers.
 LIST_CELLS, TREE_CELLS = 40_000, 400_000
-#: Siblings of each side that are compared at once where a whole table would take more.
-WINDOW = 64
+#: Scores of pairs that are kept, and bytes of rows of scores.
+KEPT_SCORES, KEPT_BYTES = 500_000, 32 << 20
+
+
+class _Group:
+    """Different subtrees of one kind, ready to be scored against a subtree all at once.
+
+    The children of all of them follow each other. Running values carry an offset that grows from one subtree
+    to the next by more than any score, so that one running maximum serves them all.
+    """
+
+    def __init__(self, forest: _Forest, members):
+        self.forest, self.size = forest, len(members)
+        below = [forest.below[y] for y in members]
+        counts = np.fromiter(map(len, below), np.int64, len(below))
+        children = np.fromiter((child for kids in below for child in kids), np.int64, int(counts.sum()))
+        owner = np.repeat(np.arange(len(below)), counts)
+        self.offset = owner * (forest.sizes_above + 1)
+        self.starts = np.flatnonzero(np.diff(owner, prepend=-1))
+        self.holds = np.flatnonzero(counts)
+        self.ends = np.cumsum(counts)[self.holds] - 1
+        self.by_kind = _by_kind(forest, children)
+        self.below: dict[str, _Group] = {}
+
+    def of_kind(self, kind: str) -> _Group:
+        """The different children of one kind."""
+
+        if kind not in self.below:
+            self.below[kind] = _Group(self.forest, self.by_kind[kind][1].tolist())
+        return self.below[kind]
+
+    def with_child(self, state: np.ndarray, kind: str, scores: np.ndarray) -> np.ndarray:
+        """The running values after one more child, whose scores with ``of_kind(kind)`` are given."""
+
+        places, _, which = self.by_kind[kind]
+        before = np.empty_like(state)
+        before[1:] = state[:-1]
+        before[self.starts] = self.offset[self.starts]
+        before[places] += scores[which]
+        return np.maximum.accumulate(np.maximum(state, before, out=before), out=before)
+
+    def scores(self, state: np.ndarray) -> np.ndarray:
+        found = np.ones(self.size, np.int64)
+        found[self.holds] += state[self.ends] - self.offset[self.ends]
+        return found
+
+
+def _by_kind(forest: _Forest, numbers: np.ndarray) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per kind its places among ``numbers``, the different numbers there and which of them each place has."""
+
+    places: dict[str, list[int]] = {}
+    for place, number in enumerate(numbers.tolist()):
+        places.setdefault(forest.kinds[number], []).append(place)
+    return {kind: (at := np.array(own), *np.unique(numbers[at], return_inverse=True)) for kind, own in places.items()}
 
 
 class _Matcher:
     """Simple tree matching of numbered subtrees.
 
     Equal subtrees at both ends of two child lists are matched at once, which a best matching allows. The
-    rest is matched by a table of the greatest number of matched nodes. Where the tables would take more than
-    the limits, the same is done for windows of ``WINDOW`` siblings, one after the other, and unequal subtrees that
-    weren't compared yet count by the smaller one's size.
+    rest is matched by a table of the greatest number of matched nodes, whatever its size: small tables are
+    made cell by cell and their scores kept, large ones row by row, where a subtree is scored against all
+    its partners together and rows are made again when they are needed. Time grows with the product of two
+    trees, memory with the longer list times the root of the shorter one.
     """
 
     def __init__(self, forest: _Forest):
         self.forest = forest
         self.scores: dict[tuple[int, int], int] = {}
-        self.cells = 0
+        self.cells = self.held = 0
+
+    def _inner(self, a: int, b: int):
+        """Number of equal subtrees at the head and at the tail of two child lists, and what lies between."""
 
-    def _ends(self, left, right) -> tuple[int, int]:
+        left, right = self.forest.below[a], self.forest.below[b]
         head, most = 0, min(len(left), len(right))
         while head < most and left[head] == right[head]:
             head += 1
         tail = 0
         while tail < most - head and left[-1 - tail] == right[-1 - tail]:
             tail += 1
-        return head, tail
+        return head, tail, left[head : len(left) - tail], right[head : len(right) - tail]
 
-    def _pairs(self, a: int, b: int) -> list[tuple[int, int]] | None:
-        """Pairs of unequal subtrees of one kind that the table of two child lists needs; None beyond the limits."""
+    def _unequal(self, left, right) -> list[tuple[int, int]]:
+        """Pairs of unequal subtrees of one kind."""
 
-        left, right = self.forest.below[a], self.forest.below[b]
-        head, tail = self._ends(left, right)
-        left, right = left[head : len(left) - tail], right[head : len(right) - tail]
-        size = len(left) * len(right)
-        if size > LIST_CELLS or self.cells + size > TREE_CELLS:
-            return None
-        kinds, ones, others = self.forest.kinds, set(left), {}
+        kinds, others = self.forest.kinds, {}
         for y in set(right):
             others.setdefault(kinds[y], []).append(y)
-        return [(x, y) for x in ones for y in others.get(kinds[x], ()) if x != y]
+        return [(x, y) for x in set(left) for y in others.get(kinds[x], ()) if x != y]
 
-    def score(self, a: int, b: int) -> int:
-        """Matched nodes of two subtrees."""
+    def _scored(self, left, right) -> bool:
+        """Score all pairs of two lists cell by cell; whether that stayed within the limits."""
 
-        if self.forest.kinds[a] != self.forest.kinds[b]:
-            return 0
-        todo = [(a, b)]
+        self.cells = len(left) * len(right)
+        if self.cells > LIST_CELLS:
+            return False
+        if len(self.scores) > KEPT_SCORES:
+            self.scores.clear()
+        todo = self._unequal(left, right)
         while todo:
             pair = todo[-1]
-            if pair[0] == pair[1] or pair in self.scores:
+            if pair in self.scores:
                 todo.pop()
                 continue
-            needed = self._pairs(*pair)
-            missing = [p for p in needed or () if p not in self.scores]
+            head, tail, x, y = self._inner(*pair)
+            self.cells += len(x) * len(y) + 1
+            if self.cells > TREE_CELLS:
+                return False
+            missing = [p for p in self._unequal(x, y) if p not in self.scores]
             if missing:
                 todo += missing
                 continue
             todo.pop()
-            matched = self.matched(*pair)
-            self.scores[pair] = 1 + sum(self._known(*m) for m in matched)
-        return self._known(a, b)
+            below, sizes = self.forest.below[pair[0]], self.forest.sizes
+            equal = sum(sizes[child] for child in below[:head]) + sum(sizes[child] for child in below[len(below) - tail :])
+            self.scores[pair] = 1 + equal + self._table(x, y)[-1][-1]
+        return True
 
     def _known(self, a: int, b: int) -> int:
         if a == b:
             return self.forest.sizes[a]
-        if self.forest.kinds[a] != self.forest.kinds[b]:
-            return 0
-        return self.scores.get((a, b), min(self.forest.sizes[a], self.forest.sizes[b]))
-
-    def matched(self, a: int, b: int) -> list[tuple[int, int]]:
-        return [(self.forest.below[a][i], self.forest.below[b][j]) for i, j in self.places(a, b)]
+        return self.scores[a, b] if self.forest.kinds[a] == self.forest.kinds[b] else 0
 
     def places(self, a: int, b: int) -> list[tuple[int, int]]:
         """Places of the matched children of two subtrees."""
 
-        left, right = self.forest.below[a], self.forest.below[b]
-        head, tail = self._ends(left, right)
-        found = [(k, k) for k in range(head)]
-        ends = [(len(left) - k, len(right) - k) for k in range(tail, 0, -1)]
-        inner = left[head : len(left) - tail], right[head : len(right) - tail]
-        size = len(inner[0]) * len(inner[1])
-        if size <= LIST_CELLS and self.cells + size <= TREE_CELLS:
-            self.cells += size
-            middle = self._by_table(*inner)
-        else:
-            middle = self._in_order(*inner)
-        return found + [(head + i, head + j) for i, j in middle] + ends
+        head, tail, left, right = self._inner(a, b)
+        ends = [(head + len(left) + k, head + len(right) + k) for k in range(tail)]
+        middle = self._by_table(left, right) if self._scored(left, right) else self._by_rows(left, right)
+        return [(k, k) for k in range(head)] + [(head + i, head + j) for i, j in middle] + ends
 
-    def _by_table(self, left, right) -> list[tuple[int, int]]:
+    def _table(self, left, right) -> list[list[int]]:
         table = [[0] * (len(right) + 1)]
         for x in left:
             row, above = [0], table[-1]
@@ -399,6 +446,10 @@ class _Matcher:
                 match = self._known(x, y)
                 row.append(max(best, above[j] + match) if match else best)
             table.append(row)
+        return table
+
+    def _by_table(self, left, right) -> list[tuple[int, int]]:
+        table = self._table(left, right)
         i, j, found = len(left), len(right), []
         while i and j:
             if table[i][j] == table[i - 1][j]:
@@ -410,26 +461,83 @@ class _Matcher:
                 found.append((i, j))
         return found[::-1]
 
-    def _in_order(self, left, right) -> list[tuple[int, int]]:
-        """Windows of both lists are matched by tables; the first half of a window's pairs is kept."""
-
-        i = j = 0
-        found = []
-        while i < len(left) and j < len(right):
-            pairs = self._by_table(left[i : i + WINDOW], right[j : j + WINDOW])
-            if i + WINDOW < len(left) or j + WINDOW < len(right):
-                pairs = [pair for pair in pairs if max(pair) < WINDOW // 2]
-            found += [(i + x, j + y) for x, y in pairs]
-            step = (pairs[-1][0] + 1, pairs[-1][1] + 1) if pairs else (WINDOW // 2, WINDOW // 2)
-            i, j = i + step[0], j + step[1]
-        return found
+    def _by_rows(self, left, right) -> list[tuple[int, int]]:
+        """The same path through the same table, of which every so many rows are kept and those between made again."""
+
+        kinds = self.forest.kinds
+        by_kind = _by_kind(self.forest, np.array(right, np.int64))
+        groups = {kind: _Group(self.forest, different.tolist()) for kind, (_, different, _) in by_kind.items()}
+        rows: dict[tuple[int, int], np.ndarray] = {}
+        self.held = 0
+
+        def below(x: int, above: np.ndarray) -> np.ndarray:
+            row = above.copy()
+            if kinds[x] in groups:
+                places, _, which = by_kind[kinds[x]]
+                match = np.zeros(len(right), np.int64)
+                match[places] = self._row(x, groups[kinds[x]], rows)[which]
+                np.maximum.accumulate(np.maximum(above[1:], above[:-1] + match), out=row[1:])
+            return row
+
+        step = int(len(left) ** 0.5) + 1
+        kept, row = [], np.zeros(len(right) + 1, np.int64)
+        for i, x in enumerate(left):
+            if i % step == 0:
+                kept.append(row)
+            row = below(x, row)
+        j, found = len(right), []
+        for k in range(len(kept) - 1, -1, -1):
+            low, block = k * step, [kept[k]]
+            for x in left[low : low + step]:
+                block.append(below(x, block[-1]))
+            i = len(block) - 1
+            while i and j:
+                if block[i][j] == block[i - 1][j]:
+                    i -= 1
+                elif block[i][j] == block[i][j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    found.append((low + i, j))
+        return found[::-1]
+
+    def _row(self, x: int, group: _Group, rows: dict[tuple[int, int], np.ndarray]) -> np.ndarray:
+        """Matched nodes of a subtree and every member of a group of its kind."""
+
+        kinds, lists = self.forest.kinds, self.forest.below
+        todo = [[x, group, 0, group.offset.copy()]]
+        while True:
+            node, own, i, state = todo[-1]
+            kids = lists[node]
+            while i < len(kids):
+                kind = kinds[kids[i]]
+                if kind in own.by_kind:
+                    key = (kids[i], id(own.of_kind(kind)))
+                    if key not in rows:
+                        break
+                    state = own.with_child(state, kind, rows[key])
+                i += 1
+            todo[-1][2:] = i, state
+            if i < len(kids):
+                partners = own.of_kind(kinds[kids[i]])
+                todo.append([kids[i], partners, 0, partners.offset.copy()])
+                continue
+            found = own.scores(state)
+            todo.pop()
+            if not todo:
+                return found
+            if self.held > KEPT_BYTES:
+                rows.clear()
+                self.held = 0
+            rows[node, id(own)] = found
+            self.held += found.nbytes + 200
 
 
 def align(shape: str, reference: str) -> list[int]:
     """For every node of ``shape`` the node of ``reference`` that simple tree matching gives it, or -1.
 
     Two trees match if their roots are of one kind; the children are matched in order so that the
-    number of matched nodes is greatest (see ``_Matcher`` for very long lists).
+    number of matched nodes is greatest.
     """
 
     kinds, children = _tree(shape)
@@ -438,9 +546,8 @@ def align(shape: str, reference: str) -> list[int]:
     left, right = forest.add(kinds, children), forest.add(own_kinds, own_children)
     found = [-1] * len(kinds)
     matcher = _Matcher(forest)
-    if not matcher.score(left[0], right[0]):
+    if kinds[0] != own_kinds[0]:
         return found
-    matcher.cells = 0
     todo = [(0, 0)]
     while todo:
         a, b = todo.pop()

@@ -65,6 +65,46 @@ def test_long_lists_are_matched_in_order():
     assert html_text.align(one, one) == list(range(len(one.split())))
 
 
+def test_a_long_list_has_a_greatest_matching_too():
+    """What both lists share lies further apart than any window."""
+
+    shared = [("x", [("y", [])] * (k % 5)) for k in range(220)]
+    one = ("r", [("x", [(f"l{k}", [])]) for k in range(150)] + shared)
+    two = ("r", [("z", [])] + shared + [("x", [(f"r{k}", [("y", [])])]) for k in range(150)])
+    found = html_text.align(shape_of(one), shape_of(two))
+    assert sum(place >= 0 for place in found) == slow_score(one, two)
+
+
+@pytest.mark.parametrize("kept", [0, 1 << 20])
+def test_both_ways_of_scoring_find_the_same_places(monkeypatch, kept):
+    rng = random.Random(5)
+    pairs = [[shape_of(("r", random_tree(rng, 40)[1])) for _ in range(2)] for _ in range(300)]
+    cell_by_cell = [html_text.align(*pair) for pair in pairs]
+    monkeypatch.setattr(html_text, "LIST_CELLS", 0)
+    monkeypatch.setattr(html_text, "KEPT_BYTES", kept)
+    assert [html_text.align(*pair) for pair in pairs] == cell_by_cell
+
+
+def test_a_limit_met_below_changes_no_place(monkeypatch):
+    rng = random.Random(6)
+    pairs = [[shape_of(("r", random_tree(rng, 60)[1])) for _ in range(2)] for _ in range(200)]
+    within = [html_text.align(*pair) for pair in pairs]
+    monkeypatch.setattr(html_text, "TREE_CELLS", 20)
+    assert [html_text.align(*pair) for pair in pairs] == within
+
+
+def test_many_different_sections_end_in_seconds():
+    """Six nodes in each of 1,500 sections, all of them different: 1,500 x 1,500 pairs of lists."""
+
+    rng = random.Random(7)
+    section = lambda: ("s", [(rng.choice("abcd"), [(rng.choice("efgh"), [])] * rng.randrange(3)) for _ in range(6)])
+    one, two = (shape_of(("r", [section() for _ in range(1500)])) for _ in range(2))
+    began = time.time()
+    found = html_text.align(one, two)
+    assert time.time() - began < 60
+    assert sum(place >= 0 for place in found) > 1500
+
+
 HARD = {
     "nested": ("<div>" * 100_000 + "x", "x"),
     "nested names": ("<div class=ad>" * 50_000 + "x", ""),
