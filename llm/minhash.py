@@ -399,7 +399,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
     ready(documents.sparkSession)
     marks = signatures(documents, id_col, text_col, settings).checkpoint()
-    parts = marks.rdd.getNumPartitions()
+    parts = max(1, marks.rdd.getNumPartitions())
 
     def fixed(df: DataFrame) -> DataFrame:
         """A checkpoint in no more partitions than the documents came in, since it holds no more than they do.
