@@ -115,11 +115,17 @@ def sla_history(
     matched = matched_history(config, runs, as_of, plan)
     metrics = run_metrics(terminal(in_window(runs, as_of, S.SLA_RUN_WINDOW_DAYS)), as_of)
     names = jobs.select(*S.JOB_KEY, "job_name")
-    if not plan.broadcast_workflows:
+    # What is known of a job becomes one row per workflow, which meets the deadlines where they lie.
+    # Neither it nor its parts go through the driver, unless the periods may as well.
+    if not plan.broadcast_periods:
         metrics, names = shuffled(metrics), shuffled(names)
+    known = configured_workflows(config, as_of).select(*S.WORKFLOW_KEY, "job_id")
+    known = known.join(metrics, S.JOB_KEY, "left").join(names, S.JOB_KEY, "left").drop("job_id")
+    if not plan.broadcast_periods:
+        known = shuffled(known)
 
     # All of a workflow's deadlines (at most 93) share one partition, sorted, since the recovery
-    # lookup, so ranks and metrics over them need neither another shuffle nor another sort.
+    # lookup, so ranks, metrics and the job's facts need neither another shuffle nor another sort.
     workflow = Window.partitionBy(*S.WORKFLOW_KEY)
     position = F.row_number().over(workflow.orderBy("deadline_utc"))
     is_due = F.col("deadline_utc") <= F.col("as_of")
@@ -135,7 +141,7 @@ def sla_history(
     )
     deadline_date = local_date(F.col("deadline_utc"), F.col("timezone"))
     today = local_date(F.col("as_of"), F.col("timezone"))
-    history = counted.join(metrics, S.JOB_KEY, "left").join(names, S.JOB_KEY, "left").select(
+    history = counted.join(known, S.WORKFLOW_KEY, "left").select(
         workflow_name().alias("workflow_name"),
         deadline_date.alias("deadline_date"),
         "deadline_utc",

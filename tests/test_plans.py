@@ -122,6 +122,26 @@ def test_views_of_the_deadline_history_broadcast_no_exploded_side(tables, cut, a
     assert_no_exploded_broadcast(cut(sla_history(*tables, as_of, JoinPlan(broadcast_workflows=True, broadcast_periods=False))))
 
 
+@pytest.mark.parametrize(
+    "cut", [None, charts.sla_compliance_trend, charts.sla_delivery_calendar, charts.workflow_risk_map, ordering.sla_history_order]
+)
+@pytest.mark.parametrize("as_of", [data.AS_OF, data.IN_FEBRUARY])
+def test_views_of_the_deadline_history_send_no_workflows_to_the_driver(tables, cut, as_of):
+    """Names and run metrics have a row per workflow; the display order alone broadcasts, a row per hour."""
+
+    history = sla_history(*tables, as_of, JoinPlan(broadcast_workflows=True, broadcast_periods=False))
+    plan = ran(cut(history) if cut else history)
+    assert plan.count("BroadcastExchange") == (cut is ordering.sla_history_order)
+
+
+def test_jobs_meet_the_deadlines_without_moving_them(tables):
+    """Above the windows over a workflow's deadlines nothing is shuffled."""
+
+    plan = ran(sla_history(*tables, data.AS_OF, SHUFFLE)).splitlines()
+    windows = [i for i, line in enumerate(plan) if "Window " in line]
+    assert windows and not [line for line in plan[: windows[-1]] if "Exchange" in line]
+
+
 def assert_no_exploded_broadcast(df):
     plan = ran(df).splitlines()
     for i, line in enumerate(plan):
