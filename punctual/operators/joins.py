@@ -7,8 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# A workflow is one narrow row when runs look up their workflow, and at most about 190 rows of
-# about 100 bytes when runs look up their period by day. Both limits keep a broadcast near 100 MB.
+# A workflow is one narrow row when runs look up their workflow, and at most 93 rows of about 170
+# bytes when runs look up their period. Both limits keep a broadcast below 100 MB.
 BROADCAST_WORKFLOWS = 100_000
 BROADCAST_PERIOD_WORKFLOWS = 5_000
 # A key that owns a third of the rows should spread over about as many tasks as a shuffle has.

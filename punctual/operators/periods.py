@@ -73,37 +73,34 @@ def _second_slot() -> F.Column:
 def first_successes(periods: DataFrame, runs: DataFrame, plan: JoinPlan = SHUFFLE) -> DataFrame:
     """First success inside (previous deadline, deadline] of each period that has one.
 
-    Periods are repeated for every UTC day they touch, so a run probes the one or two periods of
-    its day by hash and the exact bounds only decide between those. Runs are never the build side.
-    When the periods are too many to broadcast, runs shrink to one row per job and second before
-    they are shuffled, and the day in the key spreads a hot job over the days of the window.
+    Runs are never the build side. Periods few enough to broadcast are sent once each, since copies
+    would take that much of the driver, and a run compares its job's periods, at most about 90.
+    Otherwise periods are repeated for every UTC day they touch, so a run probes the one or two of its
+    day by hash and the exact bounds only decide between those; runs shrink to one row per job and
+    second before they are shuffled, and the day in the key spreads a hot job over the days of the window.
     """
 
     ends = runs.filter(
         (F.col("result_state") == S.SUCCEEDED) & F.col("period_end_time").isNotNull()
     ).select(*S.JOB_KEY, "period_end_time")
-    if not plan.broadcast_periods:
+    bounds = periods.select(*S.WORKFLOW_KEY, "job_id", "previous_deadline_utc", "deadline_utc")
+    if plan.broadcast_periods:
+        candidates = ends.join(F.broadcast(bounds), S.JOB_KEY)
+    else:
         ends = (
             ends.groupBy(*S.JOB_KEY, _second_slot().alias("_slot"))
             .agg(F.min("period_end_time").alias("period_end_time"))
             .drop("_slot")
         )
-    ends = ends.withColumn("_day", F.to_date("period_end_time"))
-    touched = F.sequence(F.to_date("previous_deadline_utc"), F.to_date("deadline_utc"))
-    by_day = periods.select(
-        *S.WORKFLOW_KEY,
-        "job_id",
-        "previous_deadline_utc",
-        "deadline_utc",
-        F.explode(touched).alias("_day"),
-    )
-    by_day = F.broadcast(by_day) if plan.broadcast_periods else shuffled(by_day)
+        ends = ends.withColumn("_day", F.to_date("period_end_time"))
+        touched = F.sequence(F.to_date("previous_deadline_utc"), F.to_date("deadline_utc"))
+        by_day = bounds.withColumn("_day", F.explode(touched))
+        candidates = ends.join(shuffled(by_day), [*S.JOB_KEY, "_day"])
     inside = (F.col("period_end_time") > F.col("previous_deadline_utc")) & (
         F.col("period_end_time") <= F.col("deadline_utc")
     )
     return (
-        ends.join(by_day, [*S.JOB_KEY, "_day"])
-        .filter(inside)
+        candidates.filter(inside)
         .groupBy(*S.WORKFLOW_KEY, "deadline_utc")
         .agg(F.min("period_end_time").alias("on_time_completion_utc"))
     )

@@ -5,9 +5,13 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
+from punctual import schemas as S
 from punctual.operators import joins, ordering
 from punctual.operators.joins import BROADCAST, SHUFFLE, JoinPlan, salted_join
+from punctual.operators.periods import first_successes
 from punctual.plans import charts
 from punctual.plans.collection import collect_round
 from punctual.plans.history import matched_history, run_history, sla_history
@@ -142,6 +146,40 @@ def test_jobs_meet_the_deadlines_without_moving_them(tables):
     assert windows and not [line for line in plan[: windows[-1]] if "Exchange" in line]
 
 
+def test_a_broadcast_period_is_sent_once(tables):
+    """A copy for each day it touches made the broadcast, and with it the driver, about four times as large."""
+
+    config, _, runs = tables
+    plan = ran(matched_history(config, runs, data.AS_OF, BROADCAST)).splitlines()
+    sent = [i for i, line in enumerate(plan) if "BroadcastExchange" in line]
+    below = [itertools.takewhile(lambda other: "Exchange" not in other and "Scan" not in other, plan[i + 1 :]) for i in sent]
+    assert max(sum("Generate" in line for line in lines) for lines in below) == 1
+
+
+@pytest.mark.parametrize("how", [BROADCAST, SHUFFLE])
+def test_a_period_of_many_days_finds_its_first_success(spark, how):
+    """Ends on the opening bound, between days, on the deadline and after it; another job's and a period without opening."""
+
+    end = "timestamp'2024-01-{} {}'"
+    periods = spark.sql(
+        f"""SELECT * FROM VALUES
+        ('1', 1, 'a', {end.format("02", "06:00:00")}, {end.format("09", "06:00:00")}),
+        ('1', 1, 'a', {end.format("09", "06:00:00")}, {end.format("16", "06:00:00")}),
+        ('1', 2, 'b', {end.format("02", "06:00:00")}, {end.format("16", "06:00:00")}),
+        ('1', 3, 'a', NULL, {end.format("30", "06:00:00")})
+        AS t(workspace_id, configured_order, job_id, previous_deadline_utc, deadline_utc)"""
+    )
+    times = [("02", "06:00:00"), ("05", "23:59:59"), ("05", "12:00:00"), ("16", "06:00:00"), ("16", "06:00:01")]
+    rows = ", ".join(f"('1', 'a', 'succeeded', {end.format(*time)})" for time in times)
+    runs = spark.sql(
+        f"""SELECT workspace_id, job_id, IF(state = 'succeeded', '{S.SUCCEEDED}', 'other') AS result_state, period_end_time
+        FROM VALUES {rows}, ('1', 'a', 'failed', {end.format("03", "00:00:00")}), ('1', 'c', 'succeeded', {end.format("04", "00:00:00")})
+        AS t(workspace_id, job_id, state, period_end_time)"""
+    )
+    found = first_successes(periods, runs, how).select("configured_order", F.date_format("on_time_completion_utc", "dd HH:mm:ss"))
+    assert sorted(map(tuple, found.collect())) == [(1, "05 12:00:00"), (1, "16 06:00:00")]
+
+
 def assert_no_exploded_broadcast(df):
     plan = ran(df).splitlines()
     for i, line in enumerate(plan):
